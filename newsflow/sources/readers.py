@@ -32,15 +32,15 @@ def read_increment(spark: SparkSession, path: str, day: str, schema: T.StructTyp
 def read_history(spark: SparkSession, path: str, schema: T.StructType,
                  years: Iterable[int] = range(2020, 2025), tail_year: int = 2025,
                  tail_months: Iterable[str] = ("2025_01", "2025_02")) -> DataFrame:
-    """Whole year folders, plus those files of the folder `tail_year` named after `tail_months`.
+    """Whole year folders, plus what is named after `tail_months` in the folder `tail_year`.
 
-    The predicate reads file names only, so other files are dropped before the scan.
+    The predicate reads paths only, so other files are dropped before the scan.
     """
     file_path = F.col("_metadata.file_path")
     whole = "|".join(map(str, years))
     part = "|".join(tail_months)
     wanted = file_path.rlike(f"/({whole})/") | file_path.rlike(
-        f"/{tail_year}/(?:.*/)?[^/]*({part})[^/]*$")
+        f"/{tail_year}/.*({part})")
     return (spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
             .filter(wanted))
 
