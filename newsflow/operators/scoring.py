@@ -145,6 +145,16 @@ def score_udf(load: Callable[[], Scorer]):
     return score
 
 
+def add_scores(df: DataFrame, chunks: Column, load: Callable[[], Scorer], name: str) -> DataFrame:
+    """Add the struct of mean scores of an array of chunk texts.
+
+    The generator makes the chunks a column of their own. Without it the optimizer puts the array
+    functions back into the call, and a UDF called on them may stay in the projection.
+    """
+    cut = df.select("*", F.explode(F.array(chunks)).alias("_chunks"))
+    return cut.withColumn(name, score_udf(load)("_chunks")).drop("_chunks")
+
+
 def score_map(df: DataFrame, column: str, load: Callable[[], Scorer],
               length: int = scores.CHUNK_LENGTH, step: int = scores.CHUNK_STEP,
               top1: bool = False) -> DataFrame:
@@ -203,7 +213,7 @@ def score_label(df: DataFrame, column: str, load: Callable[[], Scorer],
     words = scores.windows_if_long(scores.tokens(F.col(column)), length, step)
     chunks = F.when(F.size(scores.tokens(F.col(column))) > 0,
                     F.transform(words, lambda c: F.array_join(c, " ")))
-    found = df.withColumn("_scores", score_udf(load)(chunks))
+    found = add_scores(df, chunks, load, "_scores")
     p = {label: F.col(f"_scores.{label}") for label in scores.LABELS}
     label = scores.weighted_label(p["negative"], p["neutral"], p["positive"], weight)
     info = F.struct(label.alias("sentiment_label"), p["negative"].alias("negative_prob"),
