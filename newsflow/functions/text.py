@@ -59,3 +59,9 @@ def combine_text(body: Column, parts: Column | None = None) -> Column:
     """The body and the optional text array joined by blanks; nulls are skipped."""
     attached = F.lit("") if parts is None else F.concat_ws(" ", parts)
     return F.concat_ws(" ", body, attached)
+
+
+def append_texts(body: Column, texts: Column) -> Column:
+    """The body and the texts of its attachments on lines of their own; empty ones are skipped."""
+    attached = F.filter(texts, lambda t: t.isNotNull() & (t != ""))
+    return F.concat_ws("\n", F.nullif(body, F.lit("")), attached)
