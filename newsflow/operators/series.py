@@ -21,9 +21,14 @@ BLOCK_ROWS = 1_000_000
 Step = Callable[[WindowSpec], dict[str, Column]]
 
 
-def same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
-    """Null-safe equality of the key columns of two tables."""
-    return reduce(and_, [a[k].eqNullSafe(b[k]) for k in keys])
+def attach(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join with a table of one row per key; null keys match each other.
+
+    No hint: a small table is broadcast when its size is known at run time, a large one is not.
+    """
+    named = stats.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return df.join(named, match, "left").drop(*[f"_key_{k}" for k in keys])
 
 
 def with_positions(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -41,9 +46,8 @@ def with_positions(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     runs = saved.groupBy(*keys, "_part").agg(F.min("_seq").alias("_first"), F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    joined = saved.join(runs, same(saved, runs, [*keys, "_part"]))
-    return joined.select(*[saved[c] for c in df.columns],
-                         (F.col("_offset") + F.col("_seq") - F.col("_first") + 1).alias("_pos"))
+    position = F.col("_offset") + F.col("_seq") - F.col("_first") + 1
+    return attach(saved, runs, [*keys, "_part"]).select(*df.columns, position.alias("_pos"))
 
 
 def largest_group(df: DataFrame, keys: list[str]) -> int:
