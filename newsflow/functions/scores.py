@@ -20,7 +20,7 @@ NEGATIVE_WEIGHT = 1.5
 
 def tokens(text: Column) -> Column:
     """Blank-separated words; an empty array for blank text."""
-    return F.filter(F.split(text, r"[ \t\n\r\f]+"), lambda t: t != "")
+    return F.array_remove(F.split(text, r"[ \t\n\r\f]+"), "")
 
 
 def windows(items: Column, length: int, step: int, lead: int = 0, trail: int = 0) -> Column:
@@ -69,11 +69,14 @@ FINANCE = Lexicon(
 
 
 def word_signs(items: Column, lexicon: Lexicon) -> Column:
-    """+1, -1 or 0 for every word."""
+    """+1, -1 or 0 for every lower-case word.
+
+    The one lambda of the score. Nearly all words are in no list, so that is asked first.
+    """
     def sign(word: Column) -> Column:
-        bare = F.btrim(F.lower(word), F.lit(PUNCTUATION))
-        return (F.when(bare.isin(*lexicon.positive), 1).when(bare.isin(*lexicon.negative), -1)
-                .otherwise(0))
+        bare = F.btrim(word, F.lit(PUNCTUATION))
+        listed = bare.isin(*lexicon.positive, *lexicon.negative)
+        return F.when(listed, F.when(bare.isin(*lexicon.positive), 1).otherwise(-1)).otherwise(0)
     return F.transform(items, sign)
 
 
@@ -88,11 +91,15 @@ def softmax(logits: Column) -> Column:
 
 
 def lexicon_logits(signs: Column, scale: float) -> Column:
-    """Logits (positive, neutral, negative) of one window of word signs."""
-    def share(s: Column, wanted: int) -> Column:
-        hits = F.size(F.filter(s, lambda v: v == wanted)).cast("double")
-        return F.lit(scale) * hits / F.greatest(F.size(s), F.lit(1))
-    return let(signs, lambda s: F.array(share(s, 1), F.lit(1.0), share(s, -1)))
+    """Logits (positive, neutral, negative) of one window of word signs.
+
+    Counting by removal runs as a plain loop over the array, without a lambda per word.
+    """
+    def logits(found: Column) -> Column:
+        positive = F.size(F.array_remove(found, -1))
+        weight = F.lit(scale) / F.greatest(F.size(signs), F.lit(1))
+        return F.array(positive * weight, F.lit(1.0), (F.size(found) - positive) * weight)
+    return let(F.array_remove(signs, 0), logits)
 
 
 def score_struct(probabilities: Column) -> Column:
@@ -104,7 +111,7 @@ def lexicon_scores(text: Column, lexicon: Lexicon = FINANCE, length: int = CHUNK
                    step: int = CHUNK_STEP, only_long: bool = False) -> Column:
     """Array with one probability array per window of `text`; stays in the row, no shuffle."""
     cut = windows_if_long if only_long else windows
-    signs = word_signs(tokens(text), lexicon)
+    signs = word_signs(tokens(F.lower(text)), lexicon)
     return F.transform(cut(signs, length, step),
                        lambda w: softmax(lexicon_logits(w, lexicon.scale)))
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsflow.operators import prep, series
+from newsflow.session import written
 
 FORECAST = ("symbol string, date date, model string, actual double, predicted double, "
             "prev_close double, status string")
@@ -174,7 +175,8 @@ def compare_regressors(df: DataFrame, feature_sets: dict[str, list[str]], window
     keys = ["symbol", "is_train"]
     estimator = estimator or LinearRegression(regParam=1e-6, solver="normal")
     w = Window.partitionBy(*keys).orderBy("date")
-    based = df.withColumn("prev_close", F.lag(target, 1).over(w))
+    # every fit reads the series several times, so it is computed once
+    based = written(df.withColumn("prev_close", F.lag(target, 1).over(w)), "regression")
     outputs = []
     for model, features in feature_sets.items():
         cut = series.sequences(based, features, target, window, keys)

@@ -14,9 +14,10 @@ BODY = pages.Element("article")
 
 
 def sql_decoded(c: str) -> str:
-    for entity, char in (("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&lt;", "<"),
-                         ("&gt;", ">"), ("&amp;", "&")):
-        c = f"replace({c}, '{entity}', '{char}')"
+    # the semicolon of these entities may be missing
+    for entity, char in (("&quot", '"'), ("&middot", "·"), ("&copy", "©"), ("&lt", "<"),
+                         ("&gt", ">"), ("&amp", "&")):
+        c = f"regexp_replace({c}, '{entity};?', '{char}', 'g')"
     return c
 
 
