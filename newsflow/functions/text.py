@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from newsflow.functions.binding import let
+
 # Patterns of the headline and summary scrub, applied in this order.
 URL = r"http[s]?://\S+"
 TAG = r"<.*?>"
@@ -12,7 +18,8 @@ BRACKETED = r"\[.*?\]|\(.*?\)"
 BLANKS = r"\s+"
 
 # Characters of Python's str.splitlines and str.strip.
-LINE_BREAK = ("\r\n|[\r\v\f\x1c-\x1e\x85\N{LINE SEPARATOR}\N{PARAGRAPH SEPARATOR}]")
+RARE_BREAKS = "\r\v\f\x1c\x1d\x1e\x85\N{LINE SEPARATOR}\N{PARAGRAPH SEPARATOR}"
+LINE_BREAK = f"\r\n|[{RARE_BREAKS}]"
 LINE_BLANKS = (" \t\x1f\xa0\N{OGHAM SPACE MARK}" + "".join(map(chr, range(0x2000, 0x200B)))
                + "\N{NARROW NO-BREAK SPACE}\N{MEDIUM MATHEMATICAL SPACE}\N{IDEOGRAPHIC SPACE}")
 
@@ -30,6 +37,13 @@ def scrub(col: Column) -> Column:
     return col
 
 
+def _replace_if(col: Column, parts: Iterable[str], pattern: str, to: str) -> Column:
+    """Replace `pattern` in texts that contain one of `parts`, as every match does."""
+    return let(col, lambda c: F.when(
+        reduce(or_, [c.contains(p) for p in parts]),
+        F.regexp_replace(c, F.lit(pattern), F.lit(to))).otherwise(c))
+
+
 def clean_body(col: Column) -> Column:
     """Body text of a crawled article: indented lines only, without related-article teasers.
 
@@ -38,8 +52,9 @@ def clean_body(col: Column) -> Column:
     """
     blanks = f"[{LINE_BLANKS}]*"
     teaser = f"(?dm)^{blanks}{MARKER}{blanks}(?:\n[^\n]*)?(?:\n|\\z)"
-    body = F.regexp_replace(F.btrim(col, F.lit(QUOTES)), F.lit(LINE_BREAK), F.lit("\n"))
-    body = F.regexp_replace(body, F.lit(teaser), F.lit(""))
+    # both replacements are rare, and looking for a substring is much cheaper than a pattern
+    body = _replace_if(F.btrim(col, F.lit(QUOTES)), RARE_BREAKS, LINE_BREAK, "\n")
+    body = _replace_if(body, [MARKER], teaser, "")
     lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(INDENT))
     text = F.array_join(F.transform(lines, lambda line: F.btrim(line, F.lit(LINE_BLANKS))), " ")
     return F.regexp_replace(text, F.lit(DATELINE), F.lit(""))
@@ -52,7 +67,7 @@ def is_blank(col: Column) -> Column:
 
 def pick_text(summary: Column, headline: Column) -> Column:
     """The text to score: the summary, or the headline when the summary is blank."""
-    return F.when(~is_blank(summary), summary).otherwise(F.coalesce(headline, F.lit("")))
+    return let(summary, lambda s: F.when(~is_blank(s), s).otherwise(F.coalesce(headline, F.lit(""))))
 
 
 def combine_text(body: Column, parts: Column | None = None) -> Column:
