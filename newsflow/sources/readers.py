@@ -60,9 +60,13 @@ def with_file_year(df: DataFrame, column: str | None = None) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header; quotes inside values are doubled and values may hold line breaks."""
+    """CSV with a header; quotes inside values are doubled and values may hold line breaks.
+
+    A missing value is null and a quoted empty one is empty: the reader puts `nullValue` in the
+    place of a missing value, so any text that occurs nowhere tells the two apart.
+    """
     return (spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("escape", '"').option("mode", "FAILFAST").csv(path))
+            .option("escape", '"').option("nullValue", "\x00").option("mode", "FAILFAST").csv(path))
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType,
