@@ -51,12 +51,13 @@ def _chunk_rows(df: DataFrame, column: str, cut: Column) -> DataFrame:
 
 def score_lexicon(df: DataFrame, column: str, lexicon: scores.Lexicon = scores.FINANCE,
                   length: int = scores.CHUNK_LENGTH, step: int = scores.CHUNK_STEP,
-                  weight: float = scores.NEGATIVE_WEIGHT) -> DataFrame:
+                  weight: float = scores.NEGATIVE_WEIGHT, only_long: bool = False) -> DataFrame:
     """Add probabilities and weighted label of a text; blank text keeps null.
 
     Windows are scored and averaged inside the row, so there is no exchange and no Python.
     """
-    means = scores.mean_scores(scores.lexicon_scores(F.col(column), lexicon, length, step))
+    means = scores.mean_scores(scores.lexicon_scores(
+        F.col(column), lexicon, length, step, only_long))
     blank = F.size(scores.tokens(F.col(column))) <= 0
     out = df.withColumn("_scores", F.when(~F.coalesce(blank, F.lit(True)), means))
     out = out.select("*", F.col("_scores.negative").alias("negative_prob"),
@@ -205,12 +206,13 @@ def _top1_documents(scorer: Scorer, chunk_lists: pd.Series) -> pd.DataFrame:
 
 def score_label(df: DataFrame, column: str, load: Callable[[], Scorer],
                 length: int = scores.CHUNK_LENGTH, step: int = scores.CHUNK_STEP,
-                weight: float = scores.NEGATIVE_WEIGHT) -> DataFrame:
+                weight: float = scores.NEGATIVE_WEIGHT, only_long: bool = True) -> DataFrame:
     """Add the weighted label and the three probabilities of a plugged-in scorer.
 
-    A text of up to `length` words is scored whole, a longer one in windows.
+    With `only_long` a text of up to `length` words is scored whole, a longer one in windows.
     """
-    words = scores.windows_if_long(scores.tokens(F.col(column)), length, step)
+    cut = scores.windows_if_long if only_long else scores.windows
+    words = cut(scores.tokens(F.col(column)), length, step)
     chunks = F.when(F.size(scores.tokens(F.col(column))) > 0,
                     F.transform(words, lambda c: F.array_join(c, " ")))
     found = add_scores(df, chunks, load, "_scores")

@@ -31,7 +31,8 @@ def attach(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(named, match, "left").drop(*[f"_key_{k}" for k in keys])
 
 
-def with_positions(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def with_positions(df: DataFrame, keys: list[str], order: list[str],
+                   partitions: int | None = None) -> DataFrame:
     """Add `_pos`, the exact row number of each row within its key, without one task per key.
 
     Rows are range-partitioned by key and order, numbered inside each partition and written to the
@@ -40,7 +41,8 @@ def with_positions(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     within a key.
     """
     sort = [*keys, *order]
-    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    count = [] if partitions is None else [partitions]
+    ranged = df.repartitionByRange(*count, *sort).sortWithinPartitions(*sort)
     saved = written(ranged.withColumn("_seq", F.monotonically_increasing_id()), "positions")
     saved = saved.withColumn("_part", F.shiftright("_seq", 33))
     runs = saved.groupBy(*keys, "_part").agg(F.min("_seq").alias("_first"), F.count("*").alias("_n"))
@@ -50,10 +52,10 @@ def with_positions(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return attach(saved, runs, [*keys, "_part"]).select(*df.columns, position.alias("_pos"))
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest key; reads the key columns only."""
-    row = df.groupBy(*keys).count().agg(F.max("count")).first()
-    return row[0] or 0
+def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows of the largest key and of all keys; reads the key columns only."""
+    row = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return row[0] or 0, row[1] or 0
 
 
 def over_rows(df: DataFrame, keys: list[str], order: list[str], steps: list[Step], before: int,
@@ -65,7 +67,8 @@ def over_rows(df: DataFrame, keys: list[str], order: list[str], steps: list[Step
     """
     if not order:
         raise ValueError("an order is required: rows of a table have none of their own")
-    if daily or largest_group(df, keys) <= block_rows:
+    largest, total = (0, 0) if daily else group_sizes(df, keys)
+    if largest <= block_rows:
         window = Window.partitionBy(*keys).orderBy(*order)
         for step in steps:
             df = df.withColumns(step(window))
@@ -73,7 +76,8 @@ def over_rows(df: DataFrame, keys: list[str], order: list[str], steps: list[Step
     block = F.floor((F.col("_pos") - 1) / block_rows)
     near_end = (F.col("_pos") - 1) % block_rows >= block_rows - before
     blocks = F.when(near_end, F.array(block, block + 1)).otherwise(F.array(block))
-    out = (with_positions(df, keys, order)
+    partitions = max(1, -(-total // block_rows))
+    out = (with_positions(df, keys, order, partitions)
            .withColumn("_home", block)
            .withColumn("_block", F.explode(blocks)))
     window = Window.partitionBy(*keys, "_block").orderBy("_pos")
