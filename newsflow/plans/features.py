@@ -153,12 +153,12 @@ def join_price_sentiment(spark, d) -> DataFrame:
 
 @query("join_ohlcv", """
 SELECT s.symbol, s.date, s.close, open, high, low, volume
-FROM (SELECT symbol, date, close FROM prices_v WHERE close > 100000) s
+FROM (SELECT symbol, date, close FROM prices_v) s
 LEFT JOIN (SELECT * FROM prices_v WHERE volume > 1) p ON p.symbol = s.symbol AND p.date = s.date""",
        "prices_v")
 def join_ohlcv(spark, d) -> DataFrame:
     prices = view(spark, d, "prices_v")
-    closes = prices.filter("close > 100000").select("symbol", "date", "close")
+    closes = prices.select("symbol", "date", "close")
     return series.join_ohlcv(closes, prices.filter("volume > 1"))
 
 
@@ -244,24 +244,24 @@ def direction_consecutive(spark, d) -> DataFrame:
 # Crawl index -----------------------------------------------------------------------------------
 
 @query("crawl_frontier", """
-SELECT doc_id, link, title FROM index_v i
-WHERE NOT EXISTS (SELECT 1 FROM articles_v a WHERE a.doc_id % 3 = 0
-  AND 'https://releases.example/' || CAST(a.doc_id AS VARCHAR) = i.link)""", "index_v articles_v")
+SELECT doc_id, link, title FROM index_v i WHERE NOT EXISTS (
+  SELECT 1 FROM index_v done WHERE done.category = 'Orders' AND done.link = i.link)""", "index_v")
 def crawl_frontier(spark, d) -> DataFrame:
-    done = view(spark, d, "articles_v").filter("doc_id % 3 = 0").select(
-        F.concat(F.lit("https://releases.example/"), "doc_id").alias("link"))
-    return index.frontier(view(spark, d, "index_v").select("doc_id", "link", "title"), done)
+    rows = view(spark, d, "index_v")
+    done = rows.filter("category = 'Orders'").select("link")
+    return index.frontier(rows.select("doc_id", "link", "title"), done)
 
 
 @query("index_upsert", """
 SELECT date, title, category, link, is_new FROM (SELECT *, row_number() OVER (
     PARTITION BY date, title, category ORDER BY is_new, doc_id) AS r FROM (
-  SELECT *, false AS is_new FROM index_v WHERE doc_id % 3 <> 0 UNION ALL
-  SELECT *, true AS is_new FROM index_v WHERE doc_id % 2 = 0)) WHERE r = 1""", "index_v")
+  SELECT *, false AS is_new FROM index_v WHERE category IS NULL OR category = 'Orders' UNION ALL
+  SELECT *, true AS is_new FROM index_v)) WHERE r = 1""", "index_v")
 def index_upsert(spark, d) -> DataFrame:
+    # the index so far has two categories; the new crawl lists everything
     rows = view(spark, d, "index_v")
-    return index.upsert_index(rows.filter("doc_id % 3 <> 0"), rows.filter("doc_id % 2 = 0"),
-                              index.PRESS_KEYS, ["doc_id"]).drop("doc_id")
+    old = rows.filter("category IS NULL OR category = 'Orders'")
+    return index.upsert_index(old, rows, index.PRESS_KEYS, ["doc_id"]).drop("doc_id")
 
 
 @query("symbol_day_grid", """

@@ -40,12 +40,11 @@ WHERE substr(date, 1, 4) IN ('2020', '2021') OR substr(date, 1, 7) IN ('2022-01'
        "articles_v")
 def scan_file_filter(spark, d) -> DataFrame:
     path = scratch_path(spark, "history")
-    articles = view(spark, d, "articles_v").select(*_ARTICLES)
-    for year in ("2020", "2021", "2023"):
-        writers.write_staging(articles.filter(F.col("date").startswith(year)), f"{path}/{year}/all")
-    for month in ("2022-01", "2022-02", "2022-03"):
-        writers.write_staging(articles.filter(F.col("date").startswith(month)),
-                              f"{path}/2022/articles_{month.replace('-', '_')}")
+    month = F.translate(F.substring("date", 1, 7), "-", "_")
+    articles = view(spark, d, "articles_v").select(
+        *_ARTICLES, F.substring("date", 1, 4).alias("year"),
+        F.concat(F.lit("articles_"), month).alias("file"))
+    articles.write.partitionBy("year", "file").parquet(path)
     return readers.read_history(spark, path, RAW_ARTICLES, (2020, 2021), 2022, ("2022_01", "2022_02"))
 
 
@@ -54,10 +53,10 @@ SELECT {', '.join(_ARTICLES)} FROM articles_v WHERE substr(date, 1, 4) IN ('2020
        "articles_v")
 def scan_year_union(spark, d) -> DataFrame:
     path = scratch_path(spark, "years")
-    articles = view(spark, d, "articles_v").select(*_ARTICLES)
-    for year in ("2020", "2022"):
-        writers.write_staging(articles.filter(F.col("date").startswith(year)), f"{path}/{year}")
-    return readers.read_years(spark, path, range(2019, 2026), RAW_ARTICLES)
+    articles = view(spark, d, "articles_v").select(*_ARTICLES, F.substring("date", 1, 4).alias("year"))
+    articles.write.partitionBy("year").parquet(path)
+    # there is no 2019
+    return readers.read_years(spark, path, (2019, 2020, 2022), RAW_ARTICLES, folder="year=")
 
 
 def _stored_news(spark, d) -> DataFrame:

@@ -20,7 +20,7 @@ _TICKER = """CASE doc_id % 7 WHEN 0 THEN 'AAPL' WHEN 1 THEN 'MSFT' WHEN 2 THEN '
     WHEN 3 THEN 'AMZN' WHEN 4 THEN 'META' WHEN 5 THEN 'TSLA' ELSE 'NVDA' END"""
 
 _HEADLINE = """concat('Story (', CAST(doc_id % 50 AS STRING), ')  [x] http://a.example/',
-    CAST(doc_id AS STRING), ' <b>', substr(text, 1, 40), '</b>')"""
+    CAST(doc_id AS STRING), ' <b>', source, ' in ', lang, '</b>')"""
 
 _SUMMARY = """CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN '   '
     ELSE concat('<p>', text, '</p> [pic] http://x.example/1') END"""
@@ -47,7 +47,7 @@ SELECT doc_id, {_KEYWORD} AS keyword,
   CASE WHEN doc_id % 13 = 0 THEN '9999-12-31'
     ELSE concat(CAST(date '2020-01-01' + CAST(doc_id % 1900 AS INT) AS STRING), 'T12:34:56.',
                 lpad(CAST(doc_id % 1000 AS STRING), 3, '0')) END AS date,
-  CASE WHEN doc_id % 17 = 0 THEN 'No title' ELSE concat('Title ', substr(text, 1, 40)) END AS title,
+  CASE WHEN doc_id % 17 = 0 THEN 'No title' ELSE concat('Title ', CAST(doc_id AS STRING)) END AS title,
   CASE WHEN doc_id % 19 = 0 THEN 'No content' WHEN doc_id % 23 = 0 THEN '' ELSE
     concat('“', '            New York CNN Business - ',
       replace(replace(text, chr(10), concat(chr(10), chr(9), chr(9), chr(9))), '. ',

@@ -34,21 +34,25 @@ def read_history(spark: SparkSession, path: str, schema: T.StructType,
                  tail_months: Iterable[str] = ("2025_01", "2025_02")) -> DataFrame:
     """Whole year folders, plus what is named after `tail_months` in the folder `tail_year`.
 
-    The predicate reads paths only, so other files are dropped before the scan.
+    Folders may be named `2020` or `year=2020`. The predicate reads paths only, so other files are
+    dropped before the scan.
     """
     file_path = F.col("_metadata.file_path")
     whole = "|".join(map(str, years))
     part = "|".join(tail_months)
-    wanted = file_path.rlike(f"/({whole})/") | file_path.rlike(
-        f"/{tail_year}/.*({part})")
+    wanted = file_path.rlike(f"/(?:year=)?({whole})/") | file_path.rlike(
+        f"/(?:year=)?{tail_year}/.*({part})")
     return (spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
             .filter(wanted))
 
 
 def read_years(spark: SparkSession, path: str, years: Iterable[int], schema: T.StructType,
-               pattern: str = "*.parquet") -> DataFrame:
-    """One table out of one folder per year; missing years and unreadable files are left out."""
-    folders = ",".join(map(str, years))
+               pattern: str = "*.parquet", folder: str = "") -> DataFrame:
+    """One table out of one folder per year; missing years and unreadable files are left out.
+
+    `folder` comes before the year in folder names, as in `year=2020`.
+    """
+    folders = ",".join(f"{folder}{year}" for year in years)
     return (spark.read.schema(schema).option("ignoreMissingFiles", True)
             .option("ignoreCorruptFiles", True).parquet(f"{path}/{{{folders}}}/{pattern}"))
 
