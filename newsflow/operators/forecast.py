@@ -165,12 +165,14 @@ def symbol_slots(symbol: Column, slots: int = SYMBOL_SLOTS) -> Column:
 
 
 def compare_regressors(df: DataFrame, feature_sets: dict[str, list[str]], window: int = 5,
-                       target: str = "close", estimator=None, noise: float = 0.0) -> DataFrame:
+                       target: str = "close", estimator=None, noise: float = 0.0,
+                       slots: int = SYMBOL_SLOTS) -> DataFrame:
     """Next-value predictions of one pooled regression per feature set, on the test rows.
 
     `df` is a daily series with `is_train`. Sequences are cut within the training and the test part,
     scaled by the training part per symbol, and one model over all symbols is fitted on them; its
     predictions are scaled back. With `noise` the training sequences come twice, once disturbed.
+    `slots` is the number of symbol indicators among the regressors; 0 leaves the symbol out.
     """
     keys = ["symbol", "is_train"]
     estimator = estimator or LinearRegression(regParam=1e-6, solver="normal")
@@ -186,7 +188,9 @@ def compare_regressors(df: DataFrame, feature_sets: dict[str, list[str]], window
             train = prep.augment_sequences(train, noise)
 
         def vectors(rows: DataFrame) -> DataFrame:
-            values = F.concat(F.flatten("X"), symbol_slots(F.col("symbol")))
+            values = F.flatten("X")
+            if slots:
+                values = F.concat(values, symbol_slots(F.col("symbol"), slots))
             return rows.withColumn("features", array_to_vector(values)).withColumn("label", F.col("y"))
 
         fitted = estimator.fit(vectors(train).select("features", "label"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.functions import scores
+from newsflow.functions.text import is_blank
 
 Scorer = Callable[[list[str]], np.ndarray]
 """A batch of chunk texts to an array (n, 3) of positive, neutral and negative probabilities."""
@@ -58,8 +59,7 @@ def score_lexicon(df: DataFrame, column: str, lexicon: scores.Lexicon = scores.F
     """
     means = scores.mean_scores(scores.lexicon_scores(
         F.col(column), lexicon, length, step, only_long))
-    blank = F.size(scores.tokens(F.col(column))) <= 0
-    out = df.withColumn("_scores", F.when(~F.coalesce(blank, F.lit(True)), means))
+    out = df.withColumn("_scores", F.when(~is_blank(F.col(column)), means))
     out = out.select("*", F.col("_scores.negative").alias("negative_prob"),
                      F.col("_scores.neutral").alias("neutral_prob"),
                      F.col("_scores.positive").alias("positive_prob")).drop("_scores")
@@ -213,8 +213,7 @@ def score_label(df: DataFrame, column: str, load: Callable[[], Scorer],
     """
     cut = scores.windows_if_long if only_long else scores.windows
     words = cut(scores.tokens(F.col(column)), length, step)
-    chunks = F.when(F.size(scores.tokens(F.col(column))) > 0,
-                    F.transform(words, lambda c: F.array_join(c, " ")))
+    chunks = F.when(~is_blank(F.col(column)), F.transform(words, lambda c: F.array_join(c, " ")))
     found = add_scores(df, chunks, load, "_scores")
     p = {label: F.col(f"_scores.{label}") for label in scores.LABELS}
     label = scores.weighted_label(p["negative"], p["neutral"], p["positive"], weight)

@@ -168,6 +168,22 @@ def ar1_coefficients(spark, d) -> DataFrame:
                         F.round(F.col("coef")[1], 6).alias("slope"))
 
 
+# With one lag the forecast has a closed form: the h-th step is phi^h times the last difference.
+@query("ar1_forecast", f"""
+WITH {SQL_FILLED}, z AS (SELECT symbol, date, close, close - lag(close) {_DAYS}) AS z,
+  lag(close) {_DAYS}) AS prev_close, row_number() {_DAYS}) AS t,
+  floor(count(*) OVER (PARTITION BY symbol) * 0.8::DOUBLE) AS k FROM filled),
+l AS (SELECT *, lag(z) {_DAYS}) AS l FROM z),
+phi AS (SELECT symbol, sum(z * l) / sum(l * l) AS phi FROM l
+  WHERE t <= k AND z IS NOT NULL AND l IS NOT NULL GROUP BY symbol),
+ends AS (SELECT symbol, close AS y, z AS d FROM z WHERE t = k)
+SELECT z.symbol, date, 'AR1' AS model, close AS actual,
+  {sql_round('y + d * phi * (1 - pow(phi, t - k)) / (1 - phi)', 'predicted', 4)}, prev_close, 'ok' AS status
+FROM z JOIN phi ON z.symbol = phi.symbol JOIN ends ON z.symbol = ends.symbol WHERE t > k""", "prices_v")
+def ar1_forecast(spark, d) -> DataFrame:
+    return rounded(forecast.fit_ar(filled(spark, d), p=1, model="AR1"), ["predicted"], 4)
+
+
 OHLCV = ["open", "high", "low", "volume"]
 SENTIMENT = ["Sentiment", "Sentiment_Diff", "Sentiment_Volatility"]
 
@@ -206,3 +222,25 @@ def seq_regression_compare(spark, d) -> DataFrame:
     sets = {"StockOnly": ["close"], "StockSentiment": ["close", *SENTIMENT, "Neutral", "Neutral_MA5"]}
     predictions = forecast.compare_regressors(joined(spark, d), sets)
     return metrics.forecast_metrics(predictions)
+
+
+# One step of one feature without symbol indicators is a simple regression on scaled closes.
+@query("seq_regression_line", f"""
+WITH split AS (SELECT symbol, date, close, date <= date '{TRAIN_END}' AS is_train FROM prices_v),
+pairs AS (SELECT *, lag(close) OVER (PARTITION BY symbol, is_train ORDER BY date) AS x FROM split),
+ends AS (SELECT symbol, min(x) AS a, max(x) AS b, min(close) AS ya, max(close) AS yb FROM pairs
+  WHERE is_train AND x IS NOT NULL GROUP BY symbol),
+scaled AS (SELECT p.*, ya, yb, (x - a) / (b - a) AS sx, (close - ya) / (yb - ya) AS sy
+  FROM pairs p JOIN ends e ON p.symbol = e.symbol WHERE x IS NOT NULL),
+line AS (SELECT regr_slope(sy, sx) AS m, regr_intercept(sy, sx) AS c FROM scaled WHERE is_train)
+SELECT symbol, date, 'Line' AS model, {sql_round('sy * (yb - ya) + ya', 'actual', 4)},
+  {sql_round('(m * sx + c) * (yb - ya) + ya', 'predicted', 4)}, x AS prev_close
+FROM scaled, line WHERE NOT is_train""", "prices_v")
+def seq_regression_line(spark, d) -> DataFrame:
+    from pyspark.ml.regression import LinearRegression
+
+    prices = view(spark, d, "prices_v").select("symbol", "date", "close")
+    found = forecast.compare_regressors(
+        series.split_date(prices, train_end=TRAIN_END), {"Line": ["close"]}, window=1, slots=0,
+        estimator=LinearRegression(solver="normal"))
+    return rounded(found, ["actual", "predicted"], 4)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from newsflow.functions import dates, scores, symbols, text
 from newsflow.operators import news, scoring, series
+from newsflow.operators.filters import usable_text
 from newsflow.plans.cleansing import sql_day, sql_keyword, sql_scrub
 from newsflow.plans.features import _AVG, _DAYS, rounded, sql_round
 from newsflow.plans.registry import query
@@ -120,8 +121,7 @@ FROM probs GROUP BY doc_id""")
 def document_mean(spark, d) -> DataFrame:
     """The same means without chunk rows: windows stay in the row, so nothing is shuffled."""
     means = scores.mean_scores(scores.lexicon_scores(F.col("text"), LEXICON, LENGTH, STEP))
-    found = documents(spark, d).filter(F.size(scores.tokens(F.col("text"))) > 0).select(
-        "doc_id", means.alias("m"))
+    found = usable_text(documents(spark, d), "text").select("doc_id", means.alias("m"))
     return rounded(scoring.expand_struct(found, "m"), list(scores.LABELS))
 
 
@@ -168,7 +168,7 @@ def _parsed(df: DataFrame) -> DataFrame:
 FROM probs GROUP BY doc_id""")
 def scores_json(spark, d) -> DataFrame:
     means = scores.mean_scores(scores.lexicon_scores(F.col("text"), LEXICON, LENGTH, STEP))
-    stored = documents(spark, d).filter(F.size(scores.tokens(F.col("text"))) > 0).select(
+    stored = usable_text(documents(spark, d), "text").select(
         "doc_id", scores.scores_json(means).alias("finbert_sentiment"))
     return _parsed(stored)
 
@@ -189,14 +189,10 @@ def score_map_partitions(spark, d) -> DataFrame:
 @query("score_map_top1", f"""
 {_PROBS}, {_TOP} SELECT doc_id, {_TOP_MEANS}, CAST(NULL AS VARCHAR) AS error FROM top GROUP BY doc_id""")
 def score_map_top1(spark, d) -> DataFrame:
-    docs = text_only(documents(spark, d))
+    docs = usable_text(documents(spark, d), "text")
     return _parsed(scoring.score_map(docs, "text", load_scorer, LENGTH, STEP, top1=True)).drop("text")
 
 
-def text_only(df: DataFrame) -> DataFrame:
-    return df.filter(F.size(scores.tokens(F.col("text"))) > 0)
-
-
 @query("score_pandas_udf", _ALL_MEANS)
 def score_pandas_udf(spark, d) -> DataFrame:
     chunks = scoring.document_chunks(F.col("text"), LENGTH, STEP)
@@ -214,7 +210,7 @@ _STRUCT_PROBS = f"WITH {_DOCS},{sql_probabilities('words', 'doc_id', 'docs', LEN
 SELECT doc_id, {_WEIGHTED} AS sentiment_label,
   {', '.join(sql_round(c, f'{c}_prob') for c in scores.LABELS)} FROM means""")
 def score_struct(spark, d) -> DataFrame:
-    found = scoring.score_label(text_only(documents(spark, d)), "text", load_scorer, LENGTH, STEP)
+    found = scoring.score_label(usable_text(documents(spark, d), "text"), "text", load_scorer, LENGTH, STEP)
     return rounded(found.drop("text", "error"), [f"{c}_prob" for c in scores.LABELS])
 
 

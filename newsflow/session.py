@@ -11,7 +11,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # long texts: bound the bytes of one Arrow batch by its rows
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.streaming.stateStore.providerClass":

@@ -49,10 +49,14 @@ def read_months(spark: SparkSession, path: str, months: list[tuple[int, int]] |
 
 
 def land_by_year(df: DataFrame, path: str, date: str = "date", sort: str = "keyword") -> str:
-    """Land crawled rows in one folder per year, without rows dated by the sentinel."""
+    """Land crawled rows in one folder per year, without rows dated by the sentinel.
+
+    Years that do not occur in `df` stay as they are.
+    """
     dated = drop_sentinel_dates(df, date).withColumn("year", F.substring(date, 1, 4).try_cast("int"))
     (dated.hint("rebalance", "year").sortWithinPartitions("year", sort)
-     .write.mode("overwrite").partitionBy("year").parquet(path))
+     .write.mode("overwrite").partitionBy("year")
+     .option("partitionOverwriteMode", "dynamic").parquet(path))
     return path
 
 
