@@ -100,7 +100,8 @@ def fit_ar(df: DataFrame, p: int = 5, d: int = 1, fraction: float = 0.8, exog: l
     business day, which bounds the group. One failing symbol gets a status and no predictions.
     """
     size = int(intercept) + p + len(exog)
-    rows = regression_rows(df, target, p, d, exog, fraction, intercept)
+    # the sums and the recursion both read the rows, which may come out of a very large table
+    rows = written(regression_rows(df, target, p, d, exog, fraction, intercept), "regression")
     fitted = coefficients(normal_equations(rows, size, target))
     w = Window.partitionBy("symbol").orderBy("date")
     last_train = F.max(F.when(F.col("is_train"), F.col("_t"))).over(Window.partitionBy("symbol"))

@@ -10,6 +10,7 @@ from newsflow.plans.features import (SQL_DAILY, SQL_FEATURES, SQL_FILLED, _DAYS,
                                      filled, rounded, sql_round)
 from newsflow.plans.registry import query
 from newsflow.plans.views import view
+from newsflow.session import written
 
 TRAIN_END = "1995-10-31"
 CANDIDATES = series.SENTIMENT_FEATURES
@@ -212,8 +213,10 @@ def arx_forecast_combined(spark, d) -> DataFrame:
 @query("ar_model_comparison")
 def ar_model_comparison(spark, d) -> DataFrame:
     models = ["ARIMA", "StockExog", "Combined"]
-    found = metrics.union_metrics([ar_forecast(spark, d), arx_forecast_ohlcv(spark, d),
-                                   arx_forecast_combined(spark, d)])
+    base = written(combined(spark, d), "series")
+    found = metrics.union_metrics([
+        forecast.fit_ar(base, exog=exog, model=model)
+        for model, exog in zip(models, ([], OHLCV, [*OHLCV, *SENTIMENT]))])
     return metrics.model_comparison(metrics.forecast_metrics(found), models)
 
 

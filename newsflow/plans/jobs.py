@@ -18,6 +18,7 @@ from newsflow.schema import (LABEL_STRUCT, NEWS, NEWS_COLUMNS, RAW_ARCHIVE, RAW_
                              SCORE_COLUMNS)
 from newsflow.session import written
 from newsflow.sources import readers, writers
+from newsflow.streaming.ingest import upsert_months
 
 RAW = {"articles": RAW_ARTICLES, "archive": RAW_ARCHIVE, "wire": RAW_WIRE}
 
@@ -28,16 +29,36 @@ def cleanse(spark: SparkSession, feed: str, raw: list[str], staging: str, day: s
     return writers.write_staging(news.CONFORM[feed](df), f"{staging}/feed={feed}/day={day}")
 
 
+def _staged(spark: SparkSession, staging: list[str]) -> DataFrame:
+    """Staged news with their months, computed once."""
+    staged = readers.read_parquet(spark, *staging, schema=NEWS, allow_empty=True)
+    return written(news.with_months(staged), "merged")
+
+
+def _quarantine(undated: DataFrame, path: str) -> None:
+    writers.write_staging(undated.select(*NEWS_COLUMNS), path)
+
+
 def merge(spark: SparkSession, staging: list[str], target: str, quarantine: str) -> DataFrame:
-    """Write staged news to its months and rows without a date to the quarantine folder.
+    """Rebuild the months of all staged news and replace the quarantine of rows without a date.
 
-    The merged rows are computed once. Returns the rows per month, null for the quarantine.
+    A month is replaced as a whole, so `staging` must hold all its days; `add_day` adds a single one.
+    Returns the rows per month, null for the quarantine.
     """
-    staged = readers.read_parquet(spark, *staging, schema=NEWS, allow_empty=True)
-    merged = written(news.with_months(staged), "merged")
+    merged = _staged(spark, staging)
     dated, undated = split_undated(merged)
     writers.write_months(dated, target)
-    undated.select(*NEWS_COLUMNS).write.mode("append").parquet(quarantine)
+    _quarantine(undated, quarantine)
+    return news.partition_counts(merged)
+
+
+def add_day(spark: SparkSession, staging: list[str], day: str, target: str, stage: str,
+            quarantine: str) -> DataFrame:
+    """Add the staged news of one day, as yyyyMMdd, to their months; stored stories win."""
+    merged = _staged(spark, staging)
+    dated, undated = split_undated(merged)
+    upsert_months(target, stage)(dated, int(day))
+    _quarantine(undated, f"{quarantine}/day={day}")
     return news.partition_counts(merged)
 
 
@@ -67,15 +88,19 @@ def features(spark: SparkSession, scored: str) -> DataFrame:
     return series.add_lags(series.daily_sentiment(rows))
 
 
-def price_features(spark: SparkSession, scored: str, prices: DataFrame, order: list[str]) -> DataFrame:
+def price_features(spark: SparkSession, scored: str, prices: DataFrame) -> DataFrame:
     """Prices with the daily means of the rolling article features.
 
-    `order` sorts the articles of a symbol and must be unique, as rows of a table have no order.
+    Articles of a symbol are sorted by date, and within a day by a hash of their content, as rows of a
+    table have no order. Texts do not travel through the series, only their scores.
     """
-    rows = spark.read.parquet(scored).withColumn("date", dates.normalize_date(F.col("datetime")))
-    named = rows.withColumnsRenamed({f"{c.removeprefix('finbert_')}_prob": c for c in SCORE_COLUMNS})
-    daily = series.daily_feature_mean(series.sentiment_features(named, ["symbol"], order))
-    return series.join_sentiment(prices, daily)
+    rows = spark.read.parquet(scored)
+    articles = rows.select(
+        "symbol", dates.normalize_date(F.col("datetime")).alias("date"),
+        F.xxhash64(*NEWS_COLUMNS).alias("article"),
+        *[F.col(f"{c.removeprefix('finbert_')}_prob").alias(c) for c in SCORE_COLUMNS])
+    rolled = series.sentiment_features(articles, ["symbol"], ["date", "article"])
+    return series.join_sentiment(prices, series.daily_feature_mean(rolled))
 
 
 def evaluate(df: DataFrame, feature_sets: dict[str, list[str]], train_end: str,

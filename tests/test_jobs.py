@@ -40,6 +40,27 @@ def test_cleanse_again_changes_nothing(spark, layers):
     assert spark.read.parquet(f"{path}/staging/feed=wire").count() == before
 
 
+def test_merge_and_quarantine_again(spark, layers):
+    path, counts = layers
+    again = jobs.merge(spark, [f"{path}/staging/*/*"], f"{path}/news", f"{path}/quarantine")
+    assert sorted(map(str, again.collect())) == sorted(map(str, counts))
+    kept, bad = spark.read.parquet(f"{path}/news").count(), spark.read.parquet(f"{path}/quarantine").count()
+    assert kept + bad == sum(r.rows for r in counts)
+
+
+def test_days_add_up_in_one_month(spark):
+    path = scratch_path(spark, "days")
+    args = (f"{path}/news", f"{path}/stage", f"{path}/quarantine")
+    for day, epoch in (("20250317", "1742169600"), ("20250318", "1742256000"), ("20250318", "1742256000")):
+        raw = spark.createDataFrame([("A", "x", epoch, f"h{epoch}", "s"), ("A", "x", "", "undated", "s")], RAW_WIRE)
+        raw.write.mode("overwrite").parquet(f"{path}/raw/{day}")
+        jobs.cleanse(spark, "wire", [f"{path}/raw/{day}"], f"{path}/staging", day)
+        jobs.add_day(spark, [f"{path}/staging/*/day={day}"], day, *args)
+    got = spark.read.parquet(f"{path}/news").collect()
+    assert sorted(r.datetime for r in got) == ["2025-03-17", "2025-03-18"]
+    assert spark.read.parquet(f"{path}/quarantine").count() == 2
+
+
 def test_score_and_features(spark, layers):
     path, _ = layers
     jobs.score(spark, f"{path}/news", f"{path}/scored", lexicon=LEX)
@@ -56,8 +77,7 @@ def test_evaluation_files(spark, layers):
     path, _ = layers
     prices = view(spark, FOLDER, "prices_v")
     jobs.score(spark, f"{path}/news", f"{path}/scored", lexicon=LEX)
-    order = ["date", "source", "headline", "summary", "datetime"]
-    joined = jobs.price_features(spark, f"{path}/scored", prices, order)
+    joined = jobs.price_features(spark, f"{path}/scored", prices)
     assert joined.count() == prices.count()
     errors = jobs.evaluate(joined, {"Stock": ["close"], "Both": ["close", "Sentiment"]}, "1996-12-31",
                            f"{path}/result")
