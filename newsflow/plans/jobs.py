@@ -54,7 +54,10 @@ def merge(spark: SparkSession, staging: list[str], target: str, quarantine: str)
 
 def add_day(spark: SparkSession, staging: list[str], day: str, target: str, stage: str,
             quarantine: str) -> DataFrame:
-    """Add the staged news of one day, as yyyyMMdd, to their months; stored stories win."""
+    """Add the staged news of one day, as yyyyMMdd, to their months; stored stories win.
+
+    After a failure run the same day again before any other.
+    """
     merged = _staged(spark, staging)
     dated, undated = split_undated(merged)
     upsert_months(target, stage)(dated, int(day))

@@ -7,6 +7,7 @@ scheduler may start it as often as it likes. Sinks are files; nothing passes thr
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -57,7 +58,7 @@ def daily_stream(stream: DataFrame, time: str, delay: str) -> DataFrame:
                        "avg_neutral", "avg_negative", "news_count")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _marked(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.schema("done int").parquet(path)
     except AnalysisException as problem:
@@ -67,19 +68,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _mark(spark: SparkSession, path: str) -> None:
+    spark.range(1).select(F.lit(1).alias("done")).write.mode("overwrite").parquet(path)
+
+
 def upsert_months(target: str, stage: str, keys: list[str] = STORY) -> Callable[[DataFrame, int], None]:
     """Batch function that adds news to the months they belong to; stored rows win.
 
     Replacing a month needs its stored rows, so they are read, merged and staged under the batch
-    number before the months are replaced. A batch that is run again after a crash finds its staged
-    rows and only repeats the replacement.
+    number before the months are replaced. A batch that is run again after a crash in the replacement
+    finds its staged rows and only repeats that; it must be run again before any other. A batch that
+    had ended is merged anew, which changes nothing when its rows are the same.
     """
     def upsert(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        staged, done = f"{stage}/rows/batch={number}", f"{stage}/done/batch={number}"
-        if not _exists(spark, done):
-            if not _exists(spark, target):
-                write_months(spark.createDataFrame([], NEWS_MONTHS), target)
+        attempts = (f"{stage}/batch={number}/attempt={i}" for i in count())
+        attempt = next(a for a in attempts if not _marked(spark, f"{a}/replaced"))
+        if not _marked(spark, f"{attempt}/staged"):
+            write_months(spark.createDataFrame([], NEWS_MONTHS), target)  # makes sure there is a table
             news = batch.select(*NEWS_COLUMNS, "year", "month").filter("year IS NOT NULL")
             months = news.select("year", "month").distinct()
             # one row per calendar month, which prunes the folders of all other months
@@ -87,9 +93,10 @@ def upsert_months(target: str, stage: str, keys: list[str] = STORY) -> Callable[
             rows = (stored.withColumn("_new", F.lit(0)).select(*NEWS_MONTHS.names, "_new")
                     .unionByName(news.withColumn("_new", F.lit(1))))
             merged = keep_first(rows, keys, ["_new", "source", "summary"]).drop("_new")
-            merged.write.mode("overwrite").parquet(staged)
-            spark.range(1).select(F.lit(1).alias("done")).write.mode("overwrite").parquet(done)
-        write_months(spark.read.schema(NEWS_MONTHS).parquet(staged), target)
+            merged.write.mode("overwrite").parquet(f"{attempt}/rows")
+            _mark(spark, f"{attempt}/staged")
+        write_months(spark.read.schema(NEWS_MONTHS).parquet(f"{attempt}/rows"), target)
+        _mark(spark, f"{attempt}/replaced")
 
     return upsert
 

@@ -51,7 +51,8 @@ def test_merge_and_quarantine_again(spark, layers):
 def test_days_add_up_in_one_month(spark):
     path = scratch_path(spark, "days")
     args = (f"{path}/news", f"{path}/stage", f"{path}/quarantine")
-    for day, epoch in (("20250317", "1742169600"), ("20250318", "1742256000"), ("20250318", "1742256000")):
+    for day, epoch in (("20250317", "1742169600"), ("20250318", "1742256000"), ("20250318", "1742256000"),
+                       ("20250317", "1742169600")):
         raw = spark.createDataFrame([("A", "x", epoch, f"h{epoch}", "s"), ("A", "x", "", "undated", "s")], RAW_WIRE)
         raw.write.mode("overwrite").parquet(f"{path}/raw/{day}")
         jobs.cleanse(spark, "wire", [f"{path}/raw/{day}"], f"{path}/staging", day)
