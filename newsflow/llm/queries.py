@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import lines, rules, sharding
+from newsflow.llm import bpe, lines, packing, rules, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,3 +58,18 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_sharding")
 def shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op2_packing")
+def packing_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op10_bpe")
+def bpe_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = bpe.encode_texts(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return done.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
