@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, lines, packing, rules, sharding
+from newsflow.llm import bpe, lines, packing, quality, rules, samples, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,3 +73,34 @@ def bpe_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def _fitted(spark: SparkSession, sf_dir: str, label: str, folds: int, held_out: int, fit):
+    """The model of the labelled sample outside the fold `held_out`."""
+    train = samples.fold(F.col("doc_id"), folds) != held_out
+    return fit(samples.labelled_sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+                                       label, train))
+
+
+def fitted_quality(spark: SparkSession, sf_dir: str) -> quality.Trees:
+    return _fitted(spark, sf_dir, "quality", 5, 0, quality.fit_quality)
+
+
+def fitted_toxicity(spark: SparkSession, sf_dir: str) -> toxicity.Linear:
+    return _fitted(spark, sf_dir, "toxic", 3, 1, toxicity.fit_toxicity)
+
+
+def _held_out(folds: int, fold: int) -> Column:
+    return F.coalesce(samples.fold(F.col("doc_id"), folds) == fold, F.lit(False)).alias("held_out")
+
+
+@query("op1_quality_classifier")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", _held_out(5, 0), "text")
+    return quality.score_quality(docs, fitted_quality(spark, sf_dir)).drop("text")
+
+
+@query("op9_toxicity")
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", _held_out(3, 1), "text")
+    return toxicity.score_toxicity(docs, fitted_toxicity(spark, sf_dir)).drop("text")
