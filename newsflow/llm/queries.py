@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, lines, packing, quality, rules, samples, sharding, toxicity
+from newsflow.llm import bpe, html, lines, packing, quality, rules, samples, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,3 +104,9 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", _held_out(3, 1), "text")
     return toxicity.score_toxicity(docs, fitted_toxicity(spark, sf_dir)).drop("text")
+
+
+@query("op7_html_extraction")
+def html_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract_text(pages, html.fit_weights(pages))
