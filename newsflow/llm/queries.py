@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, html, lines, packing, quality, rules, samples, sharding, toxicity
+from newsflow.llm import bpe, fingerprints, html, lines, packing, quality, rules, samples, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -110,3 +110,8 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def html_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html.extract_text(pages, html.fit_weights(pages))
+
+
+@query("op5_fingerprints")
+def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
