@@ -163,8 +163,8 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 2048, doc_
     places = _places(plan(counts, capacity))
     block = F.pmod(F.xxhash64(doc_id, "start"), F.lit(BLOCKS)).cast("int")
     numbered = number_within(pieces, "length", [doc_id, "start", "ids_crc32"], block, "number")
-    schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
     keep = pieces.columns
+    schema = pieces.select(keep).schema.add("sequence_id", "long").add("offset", "long")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wide = np.int64(1) << 40
