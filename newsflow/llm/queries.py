@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, fingerprints, html, lines, packing, quality, rules, samples, sharding, toxicity
+from newsflow.llm import bpe, fingerprints, html, jaccard, lines, packing, quality, rules, samples, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -115,3 +115,8 @@ def html_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_fingerprints")
 def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op4_jaccard_join")
+def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
