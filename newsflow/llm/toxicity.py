@@ -14,11 +14,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.llm.bpe import Remembered
 from newsflow.llm.text import names, small_batches
+from newsflow.session import written
 
 # Terms that name groups of people; a term is swapped for others of its row.
 IDENTITY_TERMS = """women men girls boys trans nonbinary
@@ -112,12 +113,11 @@ def fit_linear(rows: list[list[int]], y: np.ndarray, pairs: list[tuple[list[int]
     return float(bias), weights
 
 
-def _contrast(size: int) -> tuple:
-    """The share of label 1 with and without a feature, as a chi-square; columns n1, n0, ones, zeros."""
+def _contrast(ones: int, zeros: int) -> Column:
+    """Chi-square of a feature that n1 of `ones` and n0 of `zeros` texts have; null if all or none do."""
     n1, n0 = F.col("n1").cast("double"), F.col("n0").cast("double")
-    a, b = F.col("ones") - n1, F.col("zeros") - n0
-    rows = F.col("ones") + F.col("zeros")
-    return rows * (n1 * b - n0 * a) ** 2 / ((n1 + n0) * (a + b) * F.col("ones") * F.col("zeros")), size
+    a, b = ones - n1, zeros - n0
+    return F.try_divide((ones + zeros) * (n1 * b - n0 * a) ** 2, (n1 + n0) * (a + b) * float(ones * zeros))
 
 
 def choose_features(sample: DataFrame, size: int = 2000, least: int = 5, contrast: float = 15) -> list[str]:
@@ -134,14 +134,14 @@ def choose_features(sample: DataFrame, size: int = 2000, least: int = 5, contras
                 [pa.array(both), *[pa.array([seen[y][f] for f in both], pa.int64()) for y in (1, 0)]],
                 names=["feature", "n1", "n0"])
 
-    counts = (sample.select("text", "y").mapInArrow(count, "feature string, n1 long, n0 long")
-              .groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
-              .filter(F.col("n1") + F.col("n0") >= least))
-    # the row of the empty feature holds the numbers of texts; it sorts first
-    found = counts.withColumn("texts", F.col("feature") == "")
-    whole = found.filter("texts").select(F.col("n1").alias("ones"), F.col("n0").alias("zeros"))
-    score, size = _contrast(size)
-    best = (found.filter(~F.col("texts")).crossJoin(F.broadcast(whole)).withColumn("score", score)
+    counts = written(
+        sample.select("text", "y").mapInArrow(count, "feature string, n1 long, n0 long")
+        .groupBy("feature").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
+        .filter((F.col("n1") + F.col("n0") >= least) | (F.col("feature") == "")), "features")
+    texts = counts.filter("feature = ''").select("n1", "n0").collect()
+    if not texts:
+        return []
+    best = (counts.filter("feature != ''").withColumn("score", _contrast(*texts[0]))
             .filter(F.col("score") >= contrast).orderBy(F.desc("score"), "feature").limit(size))
     return [r["feature"] for r in best.select("feature").collect()]
 
@@ -153,7 +153,7 @@ def fit_toxicity(sample: DataFrame, **options) -> Linear:
     Without both labels the score is the smoothed share of label 1, 0.5 without rows.
     """
     small_batches(sample.sparkSession)
-    sample = sample.select("text", "y")
+    sample = written(sample.select("text", "y"), "sample")
     chosen = choose_features(sample)
     index = {f: i for i, f in enumerate(chosen)}
 
