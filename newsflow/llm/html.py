@@ -120,7 +120,7 @@ class Weights:
 
     word: float = 1.0
     tags: dict[str, float] = field(default_factory=dict)
-    other: float = -0.5
+    other: float = -0.1
 
 
 def weigh(counts: dict[str, tuple[int, int]]) -> Weights:

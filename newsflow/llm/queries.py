@@ -48,7 +48,37 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query("op6_quality_rules")
+STOPS = ", ".join(f"'{w}'" for w in rules.STOP_WORDS)
+
+SQL_RULES = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)),
+                lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
+w AS (SELECT doc_id, unnest(range(len(ws) - 2)) AS i, ws FROM d WHERE len(ws) >= 3),
+g AS (SELECT doc_id, i, concat_ws(' ', ws[i + 1], ws[i + 2], ws[i + 3]) AS g FROM w),
+c AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g),
+r AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+      FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM c WHERE n > 1) GROUP BY doc_id),
+m AS (SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+    len(ls) - len(list_distinct(ls)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    length(regexp_replace(t, '[^!]+', '', 'g')) AS bangs,
+    len(list_filter(ws, lambda x: lower(x) IN ({STOPS}))) AS stops,
+    length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS capitals,
+    length(regexp_replace(t, '[^\p{{L}}]+', '', 'g')) AS letters, greatest(len(ls), 1) AS n_lines,
+    len(list_filter(ls, lambda x: length(x) - length(replace(x, ' | ', '')) > 0.05 * 3 * length(x))) AS tables
+    FROM d LEFT JOIN r USING (doc_id)),
+j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    greatest(n_words, 1) AS n FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND word_chars / n BETWEEN 2 AND 15 AND n_symbols / n <= 0.1 AND bangs / n <= 0.3
+    AND stops / n >= 0.02 AND capitals / greatest(letters, 1) <= 0.4 AND tables / n_lines <= 0.5
+    AND n_dup_lines / n_lines <= 0.6 AS kept
+FROM j"""
+
+
+@query("op6_quality_rules", SQL_RULES)
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = rules.apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
