@@ -12,7 +12,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 def lower_ascii(text: Column) -> Column:
     """`text` with A-Z in lower case, all other characters as they are."""
-    return F.translate(text, UPPER, UPPER.lower())
+    plain = F.octet_length(text) == F.char_length(text)  # ASCII only: lower() does the same, faster
+    return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
 def words(text: Column) -> Column:
