@@ -34,8 +34,8 @@ def since(df: DataFrame, column: str, start) -> DataFrame:
 
 
 def drop_sentinel_dates(df: DataFrame, column: str) -> DataFrame:
-    """Without rows whose date text stands for "no date"."""
-    return df.filter(~F.col(column).startswith(SENTINEL_YEAR))
+    """Without rows whose date text stands for "no date"; rows without a date stay."""
+    return df.filter(~F.coalesce(F.col(column).startswith(SENTINEL_YEAR), F.lit(False)))
 
 
 def exclude_links(df: DataFrame, column: str,

@@ -1,4 +1,4 @@
-"""Autoregressive forecasts per symbol and pooled regressions on sequences.
+"""Autoregressive forecasts and regressions on sequences, a model per symbol.
 
 The autoregression is fitted by conditional least squares on the differenced series, without a
 constant unless asked for; exogenous columns enter differenced as further regressors. That is close
@@ -11,9 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import LinearRegression
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsflow.operators import prep, series
@@ -95,13 +93,15 @@ def fit_ar(df: DataFrame, p: int = 5, d: int = 1, fraction: float = 0.8, exog: l
            model: str = "AR", target: str = "close", intercept: bool = False) -> DataFrame:
     """Multi-step forecast of the last part of every daily series from a fit on its first part.
 
-    Returns symbol, date, model, actual, predicted, prev_close, status. Predictions feed on earlier
+    Returns symbol, date, model, actual, predicted, prev_close, status. Rows without the target, as on
+    the days of a grid before the first price, are left out before the split. Predictions feed on earlier
     predictions, so the recursion runs per symbol over its test days; a symbol has one row per
     business day, which bounds the group. One failing symbol gets a status and no predictions.
     """
     size = int(intercept) + p + len(exog)
     # the sums and the recursion both read the rows, which may come out of a very large table
-    rows = written(regression_rows(df, target, p, d, exog, fraction, intercept), "regression")
+    known = df.filter(F.col(target).isNotNull())
+    rows = written(regression_rows(known, target, p, d, exog, fraction, intercept), "regression")
     fitted = coefficients(normal_equations(rows, size, target))
     w = Window.partitionBy("symbol").orderBy("date")
     last_train = F.max(F.when(F.col("is_train"), F.col("_t"))).over(Window.partitionBy("symbol"))
@@ -154,54 +154,86 @@ def _recursion(coef: np.ndarray, past: np.ndarray, exog: np.ndarray, steps: int,
     return out
 
 
-# Pooled regression on sequences -----------------------------------------------------------------
+# Regression on sequences, one per symbol ------------------------------------------------------------
 
-SYMBOL_SLOTS = 32
+COMPARED = ("symbol string, date date, model string, actual double, predicted double, "
+            "prev_close double, features string, status string")
 
 
-def symbol_slots(symbol: Column, slots: int = SYMBOL_SLOTS) -> Column:
-    """The symbol as an indicator array; symbols share slots when there are many."""
-    slot = F.pmod(F.xxhash64(symbol), F.lit(slots))
-    return F.transform(F.sequence(F.lit(0), F.lit(slots - 1)), lambda i: (i == slot).cast("double"))
+def _regression(train: np.ndarray, y: np.ndarray, test: np.ndarray, ridge: float) -> tuple:
+    """Predictions for `test` of a least-squares fit with a constant, and its status."""
+    if len(train) <= train.shape[1] + 1:
+        return None, f"too few rows: {len(train)}"
+    u = np.column_stack([np.ones(len(train)), train])
+    weight = ridge * np.eye(u.shape[1])
+    weight[0, 0] = 0  # the constant is not drawn to 0
+    try:
+        found = np.linalg.lstsq(u.T @ u + len(u) * weight, u.T @ y, rcond=1e-12)[0]
+    except np.linalg.LinAlgError as problem:
+        return None, f"no solution: {problem}"
+    predicted = np.column_stack([np.ones(len(test)), test]) @ found
+    return (predicted, OK) if np.isfinite(predicted).all() else (None, "forecast not finite")
 
 
 def compare_regressors(df: DataFrame, feature_sets: dict[str, list[str]], window: int = 5,
-                       target: str = "close", estimator=None, noise: float = 0.0,
-                       slots: int = SYMBOL_SLOTS) -> DataFrame:
-    """Next-value predictions of one pooled regression per feature set, on the test rows.
-
-    `df` is a daily series with `is_train`. Sequences are cut within the training and the test part,
-    scaled by the training part per symbol, and one model over all symbols is fitted on them; its
-    predictions are scaled back. With `noise` the training sequences come twice, once disturbed.
-    `slots` is the number of symbol indicators among the regressors; 0 leaves the symbol out.
+                       target: str = "close", noise: dict[str, float] | None = None,
+                       selected: list[str] | None = None, ridge: float = 1e-6) -> DataFrame:
+    """Next-value predictions of a regression per symbol and feature set, on the test rows.
+
+    `df` is a daily series with `is_train`. Sequences are cut within the training and the test part and
+    scaled by the training part of their symbol; predictions are scaled back. Models named in
+    `selected` use, besides the target, the features of their set that `prep.select_features` picks on
+    the training rows of the symbol; models in `noise` are trained on a disturbed copy of their
+    sequences as well. A symbol that cannot be fitted keeps its rows, with a status and no predictions.
+
+    A symbol has one row per day, so its series is small, and every symbol is a group of its own.
     """
     keys = ["symbol", "is_train"]
-    estimator = estimator or LinearRegression(regParam=1e-6, solver="normal")
     w = Window.partitionBy(*keys).orderBy("date")
-    # every fit reads the series several times, so it is computed once
+    # every model reads the series several times, so it is computed once
     based = written(df.withColumn("prev_close", F.lag(target, 1).over(w)), "regression")
     outputs = []
     for model, features in feature_sets.items():
-        cut = series.sequences(based, features, target, window, keys)
-        scaled = prep.scale_sequences(cut, len(features))
-        train = scaled.filter("is_train")
-        if noise:
-            train = prep.augment_sequences(train, noise)
-
-        def vectors(rows: DataFrame) -> DataFrame:
-            values = F.flatten("X")
-            if slots:
-                values = F.concat(values, symbol_slots(F.col("symbol"), slots))
-            return rows.withColumn("features", array_to_vector(values)).withColumn("label", F.col("y"))
-
-        fitted = estimator.fit(vectors(train).select("features", "label"))
-        found = fitted.transform(vectors(scaled.filter("NOT is_train")))
-        outputs.append(found.select(
-            "symbol", "date", F.lit(model).alias("model"),
-            prep.unscaled(F.col("y"), F.col("y_min"), F.col("y_max")).alias("actual"),
-            prep.unscaled(F.col("prediction"), F.col("y_min"), F.col("y_max")).alias("predicted"),
-            "prev_close"))
+        scaled = prep.scale_sequences(series.sequences(based, features, target, window, keys), len(features))
+        rows = scaled.select("symbol", "date", "is_train", "X", "y", "y_min", "y_max", "prev_close")
+        if noise and model in noise:
+            extra = prep.noisy_sequences(rows.filter("is_train"), noise[model])
+            rows = rows.unionByName(extra)
+        if selected and model in selected:
+            others = [f for f in features if f != target]
+            picked = (prep.select_features(based.filter("is_train"), others, target).groupBy("symbol")
+                      .agg(F.collect_set("feature").alias("picked")))
+            rows = series.attach(rows, picked, ["symbol"])
+        else:
+            rows = rows.withColumn("picked", F.array(*[F.lit(f) for f in features]))
+        outputs.append(rows.groupBy("symbol").applyInPandas(
+            _symbol_regression(model, features, ridge), COMPARED))
     out = outputs[0]
     for more in outputs[1:]:
         out = out.unionByName(more)
     return out
+
+
+def _symbol_regression(model: str, features: list[str], ridge: float):
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("date", kind="stable")
+        picked = pdf["picked"].iloc[0]
+        names = [f for f in features if picked is not None and f in set(picked)]
+        columns = [features.index(f) for f in names]
+        test = pdf[~pdf["is_train"]]
+
+        def flat(rows: pd.DataFrame) -> np.ndarray:
+            values = [[step[c] for step in x for c in columns] for x in rows["X"]]
+            return np.array(values, dtype=float).reshape(len(rows), -1)
+
+        train = pdf[pdf["is_train"]]
+        x, y = flat(train), train["y"].to_numpy(float)
+        whole = np.isfinite(x).all(axis=1) & np.isfinite(y)
+        predicted, status = _regression(x[whole], y[whole], flat(test), ridge) if len(test) else (None, OK)
+        spread = (test["y_max"] - test["y_min"]).where(test["y_max"] != test["y_min"], 1.0)
+        back = None if predicted is None else (predicted * spread + test["y_min"]).astype(float)
+        return pd.DataFrame({
+            "symbol": test["symbol"], "date": test["date"], "model": model,
+            "actual": (test["y"] * spread + test["y_min"]).astype(float), "predicted": back,
+            "prev_close": test["prev_close"], "features": ", ".join(names), "status": status})
+    return fit

@@ -22,23 +22,27 @@ def forecast_metrics(df: DataFrame, keys: list[str] = ["symbol", "model"],
     """Errors of `predicted` against `actual`, and the share of right directions from `prev_close`.
 
     A direction without a base counts as a miss. For constant truth R2 is 1 when every prediction is
-    right, else 0. Rows without a prediction are left out.
+    right, else 0. Rows without a prediction count in no metric; where none has one, the metrics are
+    null and `n` is 0, and the row stays. With a column `status` the last one by name comes along.
     """
+    df = df.withColumn("actual", F.when(F.col("predicted").isNotNull(), F.col("actual")))
     error = F.col("actual") - F.col("predicted")
     relative = F.abs(error) / F.greatest(F.abs("actual"), F.lit(EPSILON))
     right = F.coalesce(_sign(F.col("actual") - F.col("prev_close"))
                        == _sign(F.col("predicted") - F.col("prev_close")), F.lit(False))
     spread = F.var_pop("actual")
     constant = F.when(F.max(F.abs(error)) == 0, 1.0).otherwise(0.0)
-    out = df.filter("predicted IS NOT NULL").groupBy(*keys).agg(
+    status = [F.max("status").alias("status")] if "status" in df.columns else []
+    out = df.groupBy(*keys).agg(
         F.avg(error * error).alias("MSE"),
         F.sqrt(F.avg(error * error)).alias("RMSE"),
         F.avg(F.abs(error)).alias("MAE"),
         F.avg(relative).alias("MAPE"),
         F.when(F.min("actual") == F.max("actual"), constant)
         .otherwise(1 - F.try_divide(F.avg(error * error), spread)).alias("R2"),
-        F.avg(right.cast("double")).alias("DirAcc"),
-        F.count("*").alias("n"),
+        F.avg(F.when(F.col("predicted").isNotNull(), right.cast("double"))).alias("DirAcc"),
+        F.count("predicted").alias("n"),
+        *status,
     )
     if digits is None:
         return out

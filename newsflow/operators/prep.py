@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,7 +79,7 @@ def select_features(df: DataFrame, candidates: list[str], target: str = "close",
     passes = F.coalesce(F.col("abs_corr") >= threshold, F.lit(False))
     per_key = Window.partitionBy(*keys)
     long = long.withColumn("_any", F.max(passes).over(per_key)).filter(passes | ~F.col("_any"))
-    order = [F.when(F.col("_any"), -F.round("abs_corr", 9)), F.col("_place")]
+    order = [F.when(F.col("_any"), -F.col("abs_corr")), F.col("_place")]
     ranked = long.withColumn("rank", F.row_number().over(per_key.orderBy(*order)))
     chosen = ranked.filter((F.col("rank") <= top) | ~F.col("_any"))
     first = wide.select(*keys, F.lit(0).alias("rank"), F.lit(target).alias("feature"),
@@ -85,14 +87,42 @@ def select_features(df: DataFrame, candidates: list[str], target: str = "close",
     return chosen.select(*keys, "rank", "feature", "abs_corr").unionByName(first)
 
 
-def augment_noise(df: DataFrame, columns: list[str], std: float = 0.01, seed: int = 42) -> DataFrame:
-    """The rows and a copy of each with normal noise on `columns`; `is_noisy` tells them apart."""
-    noisy = df.withColumns({c: F.col(c) + F.randn(seed + i) * std for i, c in enumerate(columns)})
+def row_noise(*parts: Column | str) -> Column:
+    """A standard normal value that depends on the texts of `parts` only (Box-Muller on their hash).
+
+    The same row gets the same noise whatever its partition, so a task that is run again gives the same
+    rows.
+    """
+    digest = F.md5(F.concat_ws("|", *[F.col(p) if isinstance(p, str) else p for p in parts]))
+
+    def uniform(first: int) -> Column:
+        return (F.conv(F.substring(digest, first, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
+
+    return F.sqrt(-2 * F.log(uniform(1))) * F.cos(2 * math.pi * uniform(13))
+
+
+def augment_noise(df: DataFrame, columns: list[str], keys: list[str], std: float = 0.01,
+                  seed: int = 42) -> DataFrame:
+    """The rows and a copy of each with normal noise on `columns`; `is_noisy` tells them apart.
+
+    `keys` name a row.
+    """
+    named = [F.col(k).cast("string") for k in keys]
+    noisy = df.withColumns({c: F.col(c) + row_noise(*named, F.lit(c), F.lit(str(seed))) * std
+                            for c in columns})
     return (df.withColumn("is_noisy", F.lit(False))
             .unionByName(noisy.withColumn("is_noisy", F.lit(True))))
 
 
-def augment_sequences(df: DataFrame, std: float = 0.01, seed: int = 42) -> DataFrame:
-    """As `augment_noise`, on every value of the sequences `X`."""
-    draws = F.transform("X", lambda step: F.transform(step, lambda v: v + F.randn(seed) * std))
-    return df.unionByName(df.withColumn("X", draws))
+def noisy_sequences(df: DataFrame, std: float = 0.01, seed: int = 42,
+                    keys: list[str] = ["symbol", "date"]) -> DataFrame:
+    """`df` with normal noise on every value of the sequences `X`."""
+    named = [F.col(k).cast("string") for k in keys]
+    return df.withColumn("X", F.transform("X", lambda step, i: F.transform(step, lambda v, j: (
+        v + row_noise(*named, i.cast("string"), j.cast("string"), F.lit(str(seed))) * std))))
+
+
+def augment_sequences(df: DataFrame, std: float = 0.01, seed: int = 42,
+                      keys: list[str] = ["symbol", "date"]) -> DataFrame:
+    """The rows and a copy of each with noise on its sequences."""
+    return df.unionByName(noisy_sequences(df, std, seed, keys))

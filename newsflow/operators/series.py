@@ -3,7 +3,7 @@
 Series of at most one row per key and calendar day are small per key by nature; for them a plain
 window is right (`daily=True`). A table of articles has no such bound: one symbol may hold a third
 of all rows. There the rows of every key are cut into blocks of known size, each with a copy of the
-few rows before it, and every block is a task of its own. Both ways give the same rows.
+few rows before it, and every block is a group of its own. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -31,8 +31,7 @@ def attach(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(named, match, "left").drop(*[f"_key_{k}" for k in keys])
 
 
-def with_positions(df: DataFrame, keys: list[str], order: list[str],
-                   partitions: int | None = None) -> DataFrame:
+def with_positions(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Add `_pos`, the exact row number of each row within its key, without one task per key.
 
     Rows are range-partitioned by key and order, numbered inside each partition and written to the
@@ -41,8 +40,7 @@ def with_positions(df: DataFrame, keys: list[str], order: list[str],
     within a key.
     """
     sort = [*keys, *order]
-    count = [] if partitions is None else [partitions]
-    ranged = df.repartitionByRange(*count, *sort).sortWithinPartitions(*sort)
+    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
     saved = written(ranged.withColumn("_seq", F.monotonically_increasing_id()), "positions")
     saved = saved.withColumn("_part", F.shiftright("_seq", 33))
     runs = saved.groupBy(*keys, "_part").agg(F.min("_seq").alias("_first"), F.count("*").alias("_n"))
@@ -52,23 +50,17 @@ def with_positions(df: DataFrame, keys: list[str], order: list[str],
     return attach(saved, runs, [*keys, "_part"]).select(*df.columns, position.alias("_pos"))
 
 
-def group_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Rows of the largest key and of all keys; reads the key columns only."""
-    row = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
-    return row[0] or 0, row[1] or 0
-
-
 def over_rows(df: DataFrame, keys: list[str], order: list[str], steps: list[Step], before: int,
               daily: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Add window columns that look at most `before` rows back.
 
     Each step gets the window and returns columns; later steps see the columns of earlier ones, and
-    `before` must cover the whole chain. Without an order there is no result, so it is required.
+    `before` must cover the whole chain. `daily` says that a key has one row per day at most; all other
+    series are cut into blocks of `block_rows`, whatever their size. Without an order there is no result, so it is required.
     """
     if not order:
         raise ValueError("an order is required: rows of a table have none of their own")
-    largest, total = (0, 0) if daily else group_sizes(df, keys)
-    if largest <= block_rows:
+    if daily:
         window = Window.partitionBy(*keys).orderBy(*order)
         for step in steps:
             df = df.withColumns(step(window))
@@ -76,8 +68,7 @@ def over_rows(df: DataFrame, keys: list[str], order: list[str], steps: list[Step
     block = F.floor((F.col("_pos") - 1) / block_rows)
     near_end = (F.col("_pos") - 1) % block_rows >= block_rows - before
     blocks = F.when(near_end, F.array(block, block + 1)).otherwise(F.array(block))
-    partitions = max(1, -(-total // block_rows))
-    out = (with_positions(df, keys, order, partitions)
+    out = (with_positions(df, keys, order)
            .withColumn("_home", block)
            .withColumn("_block", F.explode(blocks)))
     window = Window.partitionBy(*keys, "_block").orderBy("_pos")

@@ -53,7 +53,7 @@ corrs AS (SELECT symbol, feature, place, CASE WHEN isnan(abs_corr) THEN NULL ELS
 flagged AS (SELECT *, coalesce(abs_corr >= 0.1, false) AS passes,
   bool_or(coalesce(abs_corr >= 0.1, false)) OVER (PARTITION BY symbol) AS found FROM corrs),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY
-  CASE WHEN found THEN -round(abs_corr, 9) END, place) AS rank FROM flagged WHERE passes OR NOT found)
+  CASE WHEN found THEN -abs_corr END, place) AS rank FROM flagged WHERE passes OR NOT found)
 SELECT symbol, CAST(rank AS INTEGER) AS rank, feature, {sql_round('abs_corr', 'abs_corr')}
 FROM ranked WHERE rank <= 6 OR NOT found
 UNION ALL SELECT DISTINCT symbol, CAST(0 AS INTEGER), 'close', CAST(NULL AS DOUBLE) FROM corrs""",
@@ -63,9 +63,23 @@ def select_features(spark, d) -> DataFrame:
     return rounded(prep.select_features(train, CANDIDATES), ["abs_corr"])
 
 
-@query("augment_noise")
+def sql_noise(column: str) -> str:
+    """Box-Muller on two parts of the hash of the row's name, as the operator does it."""
+    digest = f"md5(concat_ws('|', symbol, CAST(date AS VARCHAR), '{column}', '42'))"
+    one, two = (f"((CAST('0x' || substr({digest}, {i}, 12) AS BIGINT) + 0.5) / 281474976710656.0)" for i in (1, 13))
+    return f"sqrt(-2 * ln({one}::DOUBLE)) * cos(2 * pi() * {two}::DOUBLE) * 0.01"
+
+
+@query("augment_noise", f"""
+WITH {SQL_JOINED} SELECT symbol, date, is_train, {sql_round('close', 'close')},
+  {sql_round('"Sentiment"', '"Sentiment"')}, false AS is_noisy FROM joined
+UNION ALL SELECT symbol, date, is_train, {sql_round(f"close + {sql_noise('close')}", 'close')},
+  {sql_round(f'"Sentiment" + {sql_noise("Sentiment")}', '"Sentiment"')}, true FROM joined""",
+       "senti_v prices_v")
 def augment_noise(spark, d) -> DataFrame:
-    return prep.augment_noise(joined(spark, d), ["close", "Sentiment"])
+    rows = joined(spark, d).select("symbol", "date", "is_train", "close", "Sentiment")
+    return rounded(prep.augment_noise(rows, ["close", "Sentiment"], ["symbol", "date"]),
+                   ["close", "Sentiment"])
 
 
 # Simple forecasts as input of the metrics: the last close and the mean of the last three -----------
@@ -157,13 +171,14 @@ def report_sentiment_vs_prediction(spark, d) -> DataFrame:
 
 @query("ar1_coefficients", f"""
 WITH {SQL_FILLED}, z AS (SELECT symbol, date, close - lag(close) {_DAYS}) AS z,
-  row_number() {_DAYS}) AS t, floor(count(*) OVER (PARTITION BY symbol) * 0.8::DOUBLE) AS k FROM filled),
+  row_number() {_DAYS}) AS t, floor(count(*) OVER (PARTITION BY symbol) * 0.8::DOUBLE) AS k FROM filled
+  WHERE close IS NOT NULL),
 l AS (SELECT *, lag(z) {_DAYS}) AS l FROM z)
 SELECT symbol, count(*) AS n, {sql_round('regr_intercept(z, l)', 'intercept', 3)},
   {sql_round('regr_slope(z, l)', 'slope')} FROM l
 WHERE t <= k AND z IS NOT NULL AND l IS NOT NULL GROUP BY symbol""", "prices_v")
 def ar1_coefficients(spark, d) -> DataFrame:
-    rows = forecast.regression_rows(filled(spark, d), p=1, intercept=True)
+    rows = forecast.regression_rows(filled(spark, d).filter("close IS NOT NULL"), p=1, intercept=True)
     found = forecast.coefficients(forecast.normal_equations(rows, 2))
     return found.select("symbol", "n", F.round(F.col("coef")[0], 3).alias("intercept"),
                         F.round(F.col("coef")[1], 6).alias("slope"))
@@ -173,7 +188,7 @@ def ar1_coefficients(spark, d) -> DataFrame:
 @query("ar1_forecast", f"""
 WITH {SQL_FILLED}, z AS (SELECT symbol, date, close, close - lag(close) {_DAYS}) AS z,
   lag(close) {_DAYS}) AS prev_close, row_number() {_DAYS}) AS t,
-  floor(count(*) OVER (PARTITION BY symbol) * 0.8::DOUBLE) AS k FROM filled),
+  floor(count(*) OVER (PARTITION BY symbol) * 0.8::DOUBLE) AS k FROM filled WHERE close IS NOT NULL),
 l AS (SELECT *, lag(z) {_DAYS}) AS l FROM z),
 phi AS (SELECT symbol, sum(z * l) / sum(l * l) AS phi FROM l
   WHERE t <= k AND z IS NOT NULL AND l IS NOT NULL GROUP BY symbol),
@@ -191,7 +206,7 @@ SENTIMENT = ["Sentiment", "Sentiment_Diff", "Sentiment_Volatility"]
 
 @query("ar_forecast")
 def ar_forecast(spark, d) -> DataFrame:
-    return forecast.fit_ar(filled(spark, d), model="ARIMA")
+    return forecast.fit_ar(filled(spark, d), model="AR")
 
 
 @query("arx_forecast_ohlcv")
@@ -200,9 +215,11 @@ def arx_forecast_ohlcv(spark, d) -> DataFrame:
 
 
 def combined(spark, d) -> DataFrame:
-    """Filled prices with daily sentiment, 0 on days without news."""
+    """Filled prices with daily sentiment: that of price days, 0 on all other business days."""
+    prices = view(spark, d, "prices_v").select("symbol", "date")
     sentiment = features(spark, d).select("symbol", "date", *SENTIMENT)
-    return series.join_sentiment(filled(spark, d), sentiment)
+    on_price_days = sentiment.join(prices, ["symbol", "date"], "left_semi")
+    return series.join_sentiment(filled(spark, d), on_price_days)
 
 
 @query("arx_forecast_combined")
@@ -212,7 +229,7 @@ def arx_forecast_combined(spark, d) -> DataFrame:
 
 @query("ar_model_comparison")
 def ar_model_comparison(spark, d) -> DataFrame:
-    models = ["ARIMA", "StockExog", "Combined"]
+    models = ["AR", "StockExog", "Combined"]
     base = written(combined(spark, d), "series")
     found = metrics.union_metrics([
         forecast.fit_ar(base, exog=exog, model=model)
@@ -222,28 +239,35 @@ def ar_model_comparison(spark, d) -> DataFrame:
 
 @query("seq_regression_compare")
 def seq_regression_compare(spark, d) -> DataFrame:
-    sets = {"StockOnly": ["close"], "StockSentiment": ["close", *SENTIMENT, "Neutral", "Neutral_MA5"]}
-    predictions = forecast.compare_regressors(joined(spark, d), sets)
+    """The comparison in full: selection per symbol on training rows, a disturbed copy of the training
+    sequences for the combined model, and a model per symbol."""
+    sets = {"StockOnly": ["close"], "StockSentiment": ["close", *CANDIDATES]}
+    predictions = forecast.compare_regressors(
+        joined(spark, d), sets, noise={"StockSentiment": 0.01}, selected=["StockSentiment"])
     return metrics.forecast_metrics(predictions)
 
 
-# One step of one feature without symbol indicators is a simple regression on scaled closes.
+# One step of one feature is a simple regression on scaled closes. A symbol with one training pair has no
+# line: its rows stay, without predictions.
 @query("seq_regression_line", f"""
 WITH split AS (SELECT symbol, date, close, date <= date '{TRAIN_END}' AS is_train FROM prices_v),
-pairs AS (SELECT *, lag(close) OVER (PARTITION BY symbol, is_train ORDER BY date) AS x FROM split),
-ends AS (SELECT symbol, min(x) AS a, max(x) AS b, min(close) AS ya, max(close) AS yb FROM pairs
-  WHERE is_train AND x IS NOT NULL GROUP BY symbol),
-scaled AS (SELECT p.*, ya, yb, (x - a) / (b - a) AS sx, (close - ya) / (yb - ya) AS sy
-  FROM pairs p JOIN ends e ON p.symbol = e.symbol WHERE x IS NOT NULL),
-line AS (SELECT regr_slope(sy, sx) AS m, regr_intercept(sy, sx) AS c FROM scaled WHERE is_train)
-SELECT symbol, date, 'Line' AS model, {sql_round('sy * (yb - ya) + ya', 'actual', 4)},
-  {sql_round('(m * sx + c) * (yb - ya) + ya', 'predicted', 4)}, x AS prev_close
-FROM scaled, line WHERE NOT is_train""", "prices_v")
+few AS (SELECT * FROM (SELECT *, min(symbol) OVER () AS first,
+  row_number() OVER (PARTITION BY symbol, is_train ORDER BY date) AS day FROM split)
+  WHERE symbol <> first OR NOT is_train OR day <= 2),
+pairs AS (SELECT *, lag(close) OVER (PARTITION BY symbol, is_train ORDER BY date) AS x FROM few),
+line AS (SELECT symbol, regr_slope(close, x) AS m, regr_intercept(close, x) AS c, count(x) AS n FROM pairs
+  WHERE is_train AND x IS NOT NULL GROUP BY symbol)
+SELECT p.symbol, date, 'Line' AS model, {sql_round('close', 'actual', 4)},
+  {sql_round('CASE WHEN n > 2 THEN m * x + c END', 'predicted', 4)}, x AS prev_close, 'close' AS features,
+  CASE WHEN n > 2 THEN 'ok' ELSE 'too few rows: ' || CAST(n AS VARCHAR) END AS status
+FROM pairs p JOIN line l ON p.symbol = l.symbol WHERE NOT is_train AND x IS NOT NULL""", "prices_v")
 def seq_regression_line(spark, d) -> DataFrame:
-    from pyspark.ml.regression import LinearRegression
-
     prices = view(spark, d, "prices_v").select("symbol", "date", "close")
-    found = forecast.compare_regressors(
-        series.split_date(prices, train_end=TRAIN_END), {"Line": ["close"]}, window=1, slots=0,
-        estimator=LinearRegression(solver="normal"))
+    split = series.split_date(prices, train_end=TRAIN_END)
+    first = split.agg(F.min("symbol")).first()[0]
+    w = Window.partitionBy("symbol", "is_train").orderBy("date")
+    # the first symbol keeps two training days only
+    few = (split.withColumn("day", F.row_number().over(w))
+           .filter((F.col("symbol") != first) | ~F.col("is_train") | (F.col("day") <= 2)).drop("day"))
+    found = forecast.compare_regressors(few, {"Line": ["close"]}, window=1, ridge=0.0)
     return rounded(found, ["actual", "predicted"], 4)

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from newsflow.functions import dates, scores, text
 from newsflow.operators import forecast, metrics, news, scoring, series
@@ -18,7 +19,6 @@ from newsflow.schema import (LABEL_STRUCT, NEWS, NEWS_COLUMNS, RAW_ARCHIVE, RAW_
                              SCORE_COLUMNS)
 from newsflow.session import written
 from newsflow.sources import readers, writers
-from newsflow.streaming.ingest import upsert_months
 
 RAW = {"articles": RAW_ARTICLES, "archive": RAW_ARCHIVE, "wire": RAW_WIRE}
 
@@ -29,40 +29,52 @@ def cleanse(spark: SparkSession, feed: str, raw: list[str], staging: str, day: s
     return writers.write_staging(news.CONFORM[feed](df), f"{staging}/feed={feed}/day={day}")
 
 
-def _staged(spark: SparkSession, staging: list[str]) -> DataFrame:
-    """Staged news with their months, computed once."""
-    staged = readers.read_parquet(spark, *staging, schema=NEWS, allow_empty=True)
-    return written(news.with_months(staged), "merged")
+def _staged(spark: SparkSession, staging: str, *folders: str) -> DataFrame:
+    """Staged news with their feed, staged day and month."""
+    schema = T.StructType([*NEWS.fields, T.StructField("feed", T.StringType()),
+                           T.StructField("day", T.StringType())])
+    return news.with_months(spark.read.schema(schema).option("basePath", staging).parquet(
+        *[f"{staging}/{f}" for f in folders or ("",)]))
 
 
-def _quarantine(undated: DataFrame, path: str) -> None:
-    writers.write_staging(undated.select(*NEWS_COLUMNS), path)
+def merge(spark: SparkSession, staging: str, target: str, quarantine: str) -> DataFrame:
+    """Rebuild the months and the quarantine of rows without a date from all staged news.
 
-
-def merge(spark: SparkSession, staging: list[str], target: str, quarantine: str) -> DataFrame:
-    """Rebuild the months of all staged news and replace the quarantine of rows without a date.
-
-    A month is replaced as a whole, so `staging` must hold all its days; `add_day` adds a single one.
     Returns the rows per month, null for the quarantine.
     """
-    merged = _staged(spark, staging)
-    dated, undated = split_undated(merged)
-    writers.write_months(dated, target)
-    _quarantine(undated, quarantine)
-    return news.partition_counts(merged)
+    dated, undated = split_undated(_staged(spark, staging))
+    writers.remove_folders(spark, f"{target}/year=*")
+    writers.write_days(dated, target)
+    writers.write_feeds(undated.select(*NEWS_COLUMNS, "feed", "day"), quarantine, ["day", "feed"])
+    return _counts(spark, target, quarantine)
 
 
-def add_day(spark: SparkSession, staging: list[str], day: str, target: str, stage: str,
-            quarantine: str) -> DataFrame:
-    """Add the staged news of one day, as yyyyMMdd, to their months; stored stories win.
+def add_day(spark: SparkSession, staging: str, day: str, target: str, quarantine: str,
+            remove: bool = False) -> DataFrame:
+    """Put the staged news of one day, as yyyyMMdd, into their months in the place of what that day had.
 
-    After a failure run the same day again before any other.
+    Nothing else in the months is read or written, so the outcome is that of `merge` over all days,
+    whatever their order and however often a day is added. With `remove` the staged day is deleted at
+    the end. Returns the rows per month of the day.
     """
-    merged = _staged(spark, staging)
-    dated, undated = split_undated(merged)
-    upsert_months(target, stage)(dated, int(day))
-    _quarantine(undated, f"{quarantine}/day={day}")
-    return news.partition_counts(merged)
+    dated, undated = split_undated(_staged(spark, staging, f"feed=*/day={day}"))
+    writers.remove_folders(spark, f"{target}/year=*/month=*/feed=*/day={day}")
+    writers.remove_folders(spark, f"{quarantine}/day={day}")
+    writers.write_days(dated, target)
+    writers.write_feeds(undated.select(*NEWS_COLUMNS, "feed", "day"), quarantine, ["day", "feed"])
+    counts = _counts(spark, target, quarantine, day)
+    if remove:
+        writers.remove_folders(spark, f"{staging}/feed=*/day={day}")
+    return counts
+
+
+def _counts(spark: SparkSession, target: str, quarantine: str, day: str | None = None) -> DataFrame:
+    """Rows per month of what was written, and of the quarantine; only folder names are read."""
+    schema = T.StructType([*NEWS.fields, T.StructField("day", T.StringType())])
+    bad = spark.read.schema(schema).parquet(quarantine).select(
+        "day", F.lit(None).cast("int").alias("year"), F.lit(None).cast("int").alias("month"))
+    rows = writers.read_months(spark, target, days=True).select("day", "year", "month").unionByName(bad)
+    return news.partition_counts(rows if day is None else rows.filter(F.col("day") == day))
 
 
 def score(spark: SparkSession, target: str, scored: str, months: list[tuple[int, int]] | None = None,

@@ -89,11 +89,12 @@ def scan_json(spark, d) -> DataFrame:
         "page_id", F.concat(F.lit("https://pages.example/"), "page_id").alias("url"),
         F.col("html").alias("content"))
     path = scratch_path(spark, "json")
-    # one crawl batch per file: an array of at most 50 pages
+    # a crawl batch is an array of at most 50 pages
     batch = pages.groupBy(F.floor(F.col("page_id") / 50).alias("batch")).agg(
         F.to_json(F.collect_list(F.struct("page_id", "url", "content"))).alias("value"))
-    batch.select("value").write.option("maxRecordsPerFile", 1).text(path)
-    return readers.read_json(spark, f"{path}/part-*", pages.schema)
+    # a file holds many batches, an array on each line
+    batch.select("value").write.text(path)
+    return readers.read_json(spark, f"{path}/part-*", pages.schema, multi_line=False)
 
 
 @query("sink_json_roundtrip", _STORED, "news_v")
@@ -136,12 +137,22 @@ def read_partition(spark, d) -> DataFrame:
 
 
 @query("land_by_year", f"""
-SELECT {', '.join(_ARTICLES)}, CAST(substr(date, 1, 4) AS INTEGER) AS year FROM articles_v
-WHERE date NOT LIKE '9999%'""", "articles_v")
+SELECT {', '.join(_ARTICLES[:1])}, date, {', '.join(_ARTICLES[2:])},
+  CAST(substr(date, 1, 4) AS INTEGER) AS year FROM
+  (SELECT *, CASE WHEN doc_id % 29 = 0 THEN NULL WHEN doc_id % 31 = 0 THEN 'none' ELSE date END AS d
+   FROM articles_v) x, LATERAL (SELECT x.d AS given) WHERE coalesce(given, '') NOT LIKE '9999%'
+  AND given IS NOT NULL AND given <> 'none'
+UNION ALL SELECT {', '.join(_ARTICLES[:1])}, CASE WHEN doc_id % 29 = 0 THEN NULL ELSE 'none' END,
+  {', '.join(_ARTICLES[2:])}, CAST(NULL AS INTEGER) FROM articles_v WHERE doc_id % 29 = 0 OR doc_id % 31 = 0""",
+       "articles_v")
 def land_by_year(spark, d) -> DataFrame:
-    articles = view(spark, d, "articles_v").select(*_ARTICLES)
-    path = writers.land_by_year(articles, scratch_path(spark, "landed"))
-    return spark.read.parquet(path)
+    # some dates are missing and some are none: these rows are in the quarantine, the others in their year
+    n, path = F.col("doc_id"), scratch_path(spark, "landed")
+    date = F.when(n % 29 == 0, F.lit(None)).when(n % 31 == 0, F.lit("none")).otherwise(F.col("date"))
+    articles = view(spark, d, "articles_v").withColumn("date", date).select(*_ARTICLES)
+    writers.land_by_year(articles, f"{path}/years", f"{path}/bad")
+    bad = spark.read.schema(RAW_ARTICLES).parquet(f"{path}/bad").withColumn("year", F.lit(None).cast("int"))
+    return spark.read.parquet(f"{path}/years").select(*_ARTICLES, "year").unionByName(bad)
 
 
 @query("sink_multi_format", f"""

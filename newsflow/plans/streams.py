@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.operators import news
+from newsflow.plans import jobs
 from newsflow.plans.cleansing import sql_epoch, sql_scrub
 from newsflow.plans.features import _AVG, rounded, sql_round
 from newsflow.plans.registry import query
 from newsflow.plans.views import table, view
 from newsflow.schema import RAW_WIRE
-from newsflow.session import scratch_path
+from newsflow.session import scratch_path, written
 from newsflow.sources import writers
 from newsflow.streaming import ingest
 
@@ -20,9 +21,10 @@ _SYMBOL = """CASE event_type WHEN 'view' THEN 'AAPL' WHEN 'click' THEN 'AMZN'
 
 
 def event_stream(spark, d) -> DataFrame:
-    """The events table as a stream of files."""
+    """The events table as a stream of its files, be it one file or a folder of them."""
     schema = table(spark, d, "events").schema
-    events = ingest.ingest_stream(spark, d, schema, "events.parquet")
+    # a stream takes a folder or a pattern; this pattern names the table, whichever of both it is
+    events = ingest.ingest_stream(spark, f"{d}/events.parque[t]", schema)
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -48,33 +50,56 @@ def stream_dedup(spark, d) -> DataFrame:
     return _written(spark, once, "dedup").drop("ts")
 
 
-@query("stream_daily_sentiment", f"""
+SQL_DAYS = f"""
 SELECT symbol, date, {sql_round('avg(p)', 'avg_positive')}, {sql_round('avg(1 - p - n)', 'avg_neutral')},
   {sql_round('avg(n)', 'avg_negative')}, count(*) AS news_count
 FROM (SELECT {_SYMBOL} AS symbol, CAST(ts AS DATE) AS date, value / (value + 100) AS p,
-  (1 - value / (value + 100)) / 2 AS n, max(ts) OVER () AS latest FROM events)
-WHERE date + INTERVAL 1 DAY <= latest - INTERVAL 12 HOUR GROUP BY symbol, date""")
-def stream_daily_sentiment(spark, d) -> DataFrame:
+  (1 - value / (value + 100)) / 2 AS n, max(ts) OVER () AS latest FROM events)"""
+
+
+def _scored(events: DataFrame) -> DataFrame:
     positive = F.col("value") / (F.col("value") + 100)
     negative = (1 - positive) / 2
-    scored = event_stream(spark, d).select(
+    return events.select(
         "ts", F.expr(_SYMBOL).alias("symbol"), positive.alias("positive_prob"),
         negative.alias("negative_prob"), (1 - positive - negative).alias("neutral_prob"))
-    return rounded(_written(spark, ingest.daily_stream(scored, "ts", "12 hours"), "daily"), _AVG)
 
 
+@query("stream_daily_sentiment", f"""{SQL_DAYS}
+WHERE date + INTERVAL 1 DAY <= latest - INTERVAL 12 HOUR GROUP BY symbol, date""")
+def stream_daily_sentiment(spark, d) -> DataFrame:
+    days = ingest.daily_stream(_scored(event_stream(spark, d)), "ts", "12 hours")
+    return rounded(_written(spark, days, "daily"), _AVG)
+
+
+# The events come as six files that are not cut by time, one file a batch: what the watermark leaves out is
+# found by the numbers and counted anew from the stored events.
+@query("stream_daily_rebuilt", f"{SQL_DAYS} GROUP BY symbol, date")
+def stream_daily_rebuilt(spark, d) -> DataFrame:
+    path = scratch_path(spark, "rebuilt")
+    events = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    events.repartition(6, "event_id").write.parquet(f"{path}/events")
+    stored = _scored(spark.read.schema(events.schema).parquet(f"{path}/events"))
+    stream = _scored(ingest.ingest_stream(spark, f"{path}/events", events.schema, files_per_batch=1))
+    ingest.append_files(ingest.daily_stream(stream, "ts", "12 hours"), f"{path}/daily", f"{path}/checkpoint")
+    daily = spark.read.schema("symbol string, date date, avg_positive double, avg_neutral double, "
+                              "avg_negative double, news_count long").parquet(f"{path}/daily")
+    days = written(ingest.incomplete_days(daily, stored, "ts"), "days")
+    return rounded(ingest.rebuild_days(daily, stored, "ts", days), _AVG)
+
+
+# Four increments; a fifth of the items comes again in the next one. Within an increment a story counts
+# once at its second; what comes again on another day stays, as in a merge of all days.
 @query("stream_month_upsert", f"""
-SELECT DISTINCT symbol, CAST(day AS VARCHAR) AS datetime, {sql_scrub('headline')} AS headline,
+SELECT symbol, CAST(day AS VARCHAR) AS datetime, {sql_scrub('headline')} AS headline,
   CAST(year(day) AS INTEGER) AS year, CAST(month(day) AS INTEGER) AS month
-FROM (SELECT *, CAST({sql_epoch('datetime')} AS DATE) AS day FROM wire_v) WHERE day IS NOT NULL""",
-       "wire_v")
+FROM (SELECT DISTINCT increment, symbol, headline, datetime, CAST({sql_epoch('datetime')} AS DATE) AS day
+  FROM (SELECT *, unnest(CASE WHEN doc_id % 5 = 0 THEN [doc_id % 4, (doc_id + 1) % 4]
+    ELSE [doc_id % 4] END) AS increment FROM wire_v)) WHERE day IS NOT NULL""", "wire_v")
 def stream_month_upsert(spark, d) -> DataFrame:
     path = scratch_path(spark, "upsert")
-    # four increments; a fifth of the items comes again in the next one
-    n = F.col("doc_id")
-    increments = F.when(n % 5 == 0, F.array(n % 4, (n + 1) % 4)).otherwise(F.array(n % 4))
-    raw = view(spark, d, "wire_v").withColumn("increment", F.explode(increments))
-    upsert = ingest.upsert_months(f"{path}/table", f"{path}/stage")
+    raw = _increments(spark, d)
+    upsert = ingest.upsert_months(f"{path}/table", "wire")
 
     def conform(batch: DataFrame, number: int) -> None:
         upsert(news.with_months(news.conform_wire(batch)), number)
@@ -84,5 +109,45 @@ def stream_month_upsert(spark, d) -> DataFrame:
         writers.write_staging(arrived, f"{path}/raw/day={increment}")
         stream = ingest.ingest_stream(spark, f"{path}/raw/*", RAW_WIRE)
         ingest.run_batches(stream, conform, f"{path}/checkpoint")
-    return writers.read_months(spark, f"{path}/table").select(
+    return writers.read_months(spark, f"{path}/table", days=True).select(
         "symbol", "datetime", "headline", "year", "month")
+
+
+def _increments(spark, d) -> DataFrame:
+    n = F.col("doc_id")
+    increments = F.when(n % 5 == 0, F.array(n % 4, (n + 1) % 4)).otherwise(F.array(n % 4))
+    return view(spark, d, "wire_v").withColumn("increment", F.explode(increments))
+
+
+# Three feeds of four days: merged at once, and added day by day out of order with one day twice.
+@query("merge_equals_days", f"""
+WITH wire AS (SELECT DISTINCT increment, symbol, headline, datetime,
+    CAST({sql_epoch('datetime')} AS DATE) AS day
+  FROM (SELECT *, unnest(CASE WHEN doc_id % 5 = 0 THEN [doc_id % 4, (doc_id + 1) % 4]
+    ELSE [doc_id % 4] END) AS increment FROM wire_v)),
+news AS (SELECT symbol, CAST(day AS VARCHAR) AS datetime, {sql_scrub('headline')} AS headline,
+    increment, day AS date, 'wire' AS feed FROM wire
+  UNION ALL SELECT 'AAPL', CASE WHEN page_id % 9 = 0 THEN NULL ELSE '2025-03-17' END, 'No title',
+    page_id % 4, CASE WHEN page_id % 9 = 0 THEN NULL ELSE DATE '2025-03-17' END, 'articles' FROM pages)
+SELECT how, feed, CAST(increment AS VARCHAR) AS day, symbol, datetime, headline,
+  CAST(year(date) AS INTEGER) AS year, CAST(month(date) AS INTEGER) AS month
+FROM news, (SELECT unnest(['merge', 'days']) AS how) WHERE date IS NOT NULL""", "wire_v")
+def merge_equals_days(spark, d) -> DataFrame:
+    path = scratch_path(spark, "days")
+    raw = _increments(spark, d)
+    pages = table(spark, d, "pages").select(
+        (F.col("page_id") % 4).alias("increment"), F.lit("AAPL").alias("symbol"), F.lit("CNN").alias("source"),
+        F.when(F.col("page_id") % 9 != 0, F.lit("2025-03-17")).alias("datetime"),
+        F.lit("No title").alias("headline"), F.lit("").alias("summary"))
+    for day in range(4):
+        wire = news.conform_wire(raw.filter(F.col("increment") == day).select(*RAW_WIRE.names))
+        crawled = pages.filter(F.col("increment") == day).drop("increment")
+        writers.write_staging(wire, f"{path}/staging/feed=wire/day={day}")
+        writers.write_staging(crawled, f"{path}/staging/feed=articles/day={day}")
+    jobs.merge(spark, f"{path}/staging", f"{path}/merge", f"{path}/bad")
+    for day in ("2", "0", "3", "2", "1"):
+        jobs.add_day(spark, f"{path}/staging", day, f"{path}/days", f"{path}/worse")
+    columns = ["feed", "day", "symbol", "datetime", "headline", "year", "month"]
+    return news.union_feeds([
+        writers.read_months(spark, f"{path}/{how}", days=True).select(F.lit(how).alias("how"), *columns)
+        for how in ("merge", "days")])

@@ -37,6 +37,9 @@ NEWS_SCORED = T.StructType(NEWS.fields + _doubles(*SCORE_COLUMNS))
 LABEL_STRUCT = T.StructType(
     _strings("sentiment_label") + _doubles("negative_prob", "neutral_prob", "positive_prob"))
 
+#: The analytic table by staged day: a feed's day can be replaced on its own.
+NEWS_DAYS = T.StructType([*NEWS_MONTHS.fields, *_strings("feed", "day")])
+
 API_ARTICLE = T.StructType([
     T.StructField("headline", T.StructType(_strings("main"))),
     *_strings("pub_date", "lead_paragraph", "snippet", "web_url", "news_desk"),

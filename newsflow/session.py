@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,12 +32,13 @@ def build_session(app: str = "newsflow", master: str | None = None, **settings:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read, named by `spark.checkpoint.dir`.
 
-    Only a local master may leave it unset; it then gets a fresh folder once per session.
+    Only a master that runs all tasks in the driver's process (`local`, `local[n]`) may leave it unset,
+    as in tests; the session then gets a fresh folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = spark.conf.get("spark.newsflow.localDir", None)
     if not folder:

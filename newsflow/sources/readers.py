@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from urllib.parse import quote, urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,32 +30,52 @@ def read_increment(spark: SparkSession, path: str, day: str, schema: T.StructTyp
             .option("pathGlobFilter", f"{prefix}{day}*").parquet(path))
 
 
-def read_history(spark: SparkSession, path: str, schema: T.StructType,
-                 years: Iterable[int] = range(2020, 2025), tail_year: int = 2025,
-                 tail_months: Iterable[str] = ("2025_01", "2025_02")) -> DataFrame:
+def read_history(spark: SparkSession, path: str, schema: T.StructType, years: Iterable[int],
+                 tail_year: int, tail_months: Iterable[str]) -> DataFrame:
     """Whole year folders, plus what is named after `tail_months` in the folder `tail_year`.
 
-    Folders may be named `2020` or `year=2020`. The predicate reads paths only, so other files are
-    dropped before the scan.
+    Folders may be named `2020` or `year=2020`, below `path`; years in `path` itself do not count. The
+    predicate reads paths only, so other files are dropped before the scan.
     """
-    file_path = F.col("_metadata.file_path")
+    root = quote(urlsplit(path).path.rstrip("/") if "://" in path or path.startswith("file:") else
+                 path.rstrip("/"), safe="/=:@+,")
     whole = "|".join(map(str, years))
     part = "|".join(tail_months)
-    wanted = file_path.rlike(f"/(?:year=)?({whole})/") | file_path.rlike(
-        f"/(?:year=)?{tail_year}/.*({part})")
+    below = F.substring_index(F.col("_metadata.file_path"), f"{root}/", -1)
+    wanted = below.rlike(f"(?:^|/)(?:year=)?({whole})/") | below.rlike(
+        f"(?:^|/)(?:year=)?{tail_year}/.*({part})")
     return (spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
             .filter(wanted))
 
 
 def read_years(spark: SparkSession, path: str, years: Iterable[int], schema: T.StructType,
                pattern: str = "*.parquet", folder: str = "") -> DataFrame:
-    """One table out of one folder per year; missing years and unreadable files are left out.
+    """One table out of one folder per year; missing years are left out, and so are unreadable files,
+    which `unread_files` names.
 
     `folder` comes before the year in folder names, as in `year=2020`.
     """
-    folders = ",".join(f"{folder}{year}" for year in years)
     return (spark.read.schema(schema).option("ignoreMissingFiles", True)
-            .option("ignoreCorruptFiles", True).parquet(f"{path}/{{{folders}}}/{pattern}"))
+            .option("ignoreCorruptFiles", True).parquet(_year_glob(path, years, pattern, folder)))
+
+
+def _year_glob(path: str, years: Iterable[int], pattern: str, folder: str) -> str:
+    return f"{path}/{{{','.join(f'{folder}{year}' for year in years)}}}/{pattern}"
+
+
+def unread_files(spark: SparkSession, path: str, years: Iterable[int], schema: T.StructType,
+                 pattern: str = "*.parquet", folder: str = "") -> DataFrame:
+    """The files (`path`, `length`) that `read_years` gives no row of: unreadable or empty ones.
+
+    The files are listed without their content, and only row positions of the table are read.
+    """
+    listed = (spark.read.format("binaryFile").load(_year_glob(path, years, pattern, folder))
+              .select("path", "length"))
+    seen = read_years(spark, path, years, schema, pattern, folder).select(
+        F.col("_metadata.file_path").alias("path")).distinct()
+    bare = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    return (listed.withColumn("path", bare("path"))
+            .join(seen.withColumn("path", bare("path")), "path", "left_anti"))
 
 
 def with_file_year(df: DataFrame, column: str | None = None) -> DataFrame:
@@ -63,14 +84,20 @@ def with_file_year(df: DataFrame, column: str | None = None) -> DataFrame:
     return df.withColumn("year", year_in_name(name)).filter("year IS NOT NULL")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType,
+             bad_row: str | None = None) -> DataFrame:
     """CSV with a header; quotes inside values are doubled and values may hold line breaks.
 
     A missing value is null and a quoted empty one is empty: the reader puts `nullValue` in the
-    place of a missing value, so any text that occurs nowhere tells the two apart.
+    place of a missing value, so any text that occurs nowhere tells the two apart. A value that does
+    not fit its type is null, and the raw row is then in the column `bad_row`, if one is named.
     """
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
-            .option("escape", '"').option("nullValue", "\x00").option("mode", "FAILFAST").csv(path))
+    reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+              .option("nullValue", "\x00").option("mode", "PERMISSIVE"))
+    if bad_row:
+        schema = T.StructType([*schema.fields, T.StructField(bad_row, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", bad_row)
+    return reader.schema(schema).csv(path)
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType,

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.operators.filters import drop_sentinel_dates
-from newsflow.schema import NEWS_COLUMNS, NEWS_MONTHS, PRICES
+from newsflow.operators.filters import drop_sentinel_dates, split_undated
+from newsflow.schema import NEWS_COLUMNS, NEWS_DAYS, NEWS_MONTHS, PRICES
 
 FILE_ROWS = 1_000_000
 
@@ -17,10 +17,10 @@ def write_staging(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> str:
     return path
 
 
-def write_feeds(df: DataFrame, path: str) -> str:
-    """Replace the staging folders of the feeds in `df` (column `feed`), each its own partition."""
-    (df.write.mode("overwrite").partitionBy("feed")
-     .option("partitionOverwriteMode", "dynamic").parquet(path))
+def write_feeds(df: DataFrame, path: str, keys: list[str] = ["feed"]) -> str:
+    """Replace the staging folders of the feeds in `df`, each its own partition."""
+    (df.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys)
+     .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", FILE_ROWS).parquet(path))
     return path
 
 
@@ -37,9 +37,11 @@ def write_months(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> str:
     return path
 
 
-def read_months(spark: SparkSession, path: str, months: list[tuple[int, int]] | None = None) -> DataFrame:
-    """The analytic table, or some (year, month) of it; other folders are not read."""
-    df = spark.read.schema(NEWS_MONTHS).parquet(path)
+def read_months(spark: SparkSession, path: str, months: list[tuple[int, int]] | None = None,
+                days: bool = False) -> DataFrame:
+    """The analytic table, or some (year, month) of it; other folders are not read. `days` for a table
+    of `write_days`, which has the feed and the staged day as well."""
+    df = spark.read.schema(NEWS_DAYS if days else NEWS_MONTHS).parquet(path)
     if months is not None:
         wanted = F.lit(False)
         for year, month in months:
@@ -48,18 +50,42 @@ def read_months(spark: SparkSession, path: str, months: list[tuple[int, int]] |
     return df
 
 
-def land_by_year(df: DataFrame, path: str, date: str = "date", sort: str = "keyword") -> str:
+def land_by_year(df: DataFrame, path: str, quarantine: str, date: str = "date",
+                 sort: str = "keyword") -> str:
     """Land crawled rows in one folder per year, without rows dated by the sentinel.
 
-    Years that do not occur in `df` stay as they are.
+    Rows whose date is missing or has no year replace the folder `quarantine`. Years that do not occur
+    in `df` stay as they are.
     """
-    dated = drop_sentinel_dates(df, date).withColumn("year", F.substring(date, 1, 4).try_cast("int"))
+    rows = drop_sentinel_dates(df, date).withColumn("year", F.substring(date, 1, 4).try_cast("int"))
+    dated, undated = split_undated(rows, "year")
     (dated.hint("rebalance", "year").sortWithinPartitions("year", sort)
      .write.mode("overwrite").partitionBy("year")
      .option("partitionOverwriteMode", "dynamic").parquet(path))
+    write_staging(undated.drop("year"), quarantine)
+    return path
+
+
+def write_days(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> str:
+    """Replace what the staged days (`feed`, `day`) in `df` have in their months; all else stays.
+
+    A month is a folder with a folder per feed and staged day, so that adding a day reads and rewrites
+    nothing of the month, and a write that is repeated changes nothing.
+    """
+    keys = ["year", "month", "feed", "day"]
+    (df.select(*NEWS_COLUMNS, *keys).hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys)
+     .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", file_rows).parquet(path))
     return path
 
 
+def remove_folders(spark: SparkSession, pattern: str) -> int:
+    """Delete the folders that a path with wildcards names; returns how many."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.globStatus(hadoop) or []
+    return sum(files.delete(status.getPath(), True) for status in found)
+
+
 def write_csv(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> str:
     """CSV with a header that `read_csv` reads back to equal values, blanks included."""
     (df.write.mode("overwrite").option("header", True).option("escape", '"')

@@ -2,21 +2,21 @@
 
 Every stream runs with `availableNow`: it takes what has arrived since its checkpoint and stops, so a
 scheduler may start it as often as it likes. Sinks are files; nothing passes through the driver.
+
+Where a watermark follows, files must be taken oldest event day first, at most a day's files at a time,
+or all that has arrived as one batch. A long history belongs into the batch operators, and what came too
+late is found by comparing the outcome with the stored rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import count
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from newsflow.operators.news import STORY, keep_first
-from newsflow.schema import NEWS_COLUMNS, NEWS_MONTHS
-from newsflow.sources.writers import read_months, write_months
+from newsflow.sources.writers import write_days
 
 
 def ingest_stream(spark: SparkSession, path: str, schema: T.StructType, pattern: str | None = None,
@@ -49,54 +49,53 @@ def dedup_stream(stream: DataFrame, keys: list[str], time: str, delay: str) -> D
 def daily_stream(stream: DataFrame, time: str, delay: str) -> DataFrame:
     """Daily sentiment per symbol. A day comes out once, when `delay` has passed after its end.
 
-    Rows later than that are left to a batch rebuild of their month.
+    Rows that come later than that are not in it: `incomplete_days` finds their days, and
+    `rebuild_days` counts them anew from the stored rows.
     """
-    days = stream.withWatermark(time, delay).groupBy(F.window(time, "1 day"), "symbol").agg(
-        F.avg("positive_prob").alias("avg_positive"), F.avg("neutral_prob").alias("avg_neutral"),
-        F.avg("negative_prob").alias("avg_negative"), F.count("*").alias("news_count"))
+    days = stream.withWatermark(time, delay).groupBy(F.window(time, "1 day"), "symbol").agg(*_daily())
     return days.select("symbol", F.to_date("window.start").alias("date"), "avg_positive",
                        "avg_neutral", "avg_negative", "news_count")
 
 
-def _marked(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema("done int").parquet(path)
-    except AnalysisException as problem:
-        if problem.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
+def _daily() -> list[Column]:
+    return [*[F.avg(f"{kind}_prob").alias(f"avg_{kind}") for kind in ("positive", "neutral", "negative")],
+            F.count("*").alias("news_count")]
+
+
+def _by_day(rows: DataFrame, time: str) -> DataFrame:
+    return rows.filter(F.col(time).isNotNull()).withColumn("date", F.to_date(time))
+
+
+def incomplete_days(daily: DataFrame, rows: DataFrame, time: str, until=None) -> DataFrame:
+    """The days (`date`) before `until` on which `daily` counts other news than `rows` has.
+
+    The table is compared with the rows by their numbers per symbol and day, so it does not matter
+    why a row is missing: late, out of order, or of a batch that was never run.
+    """
+    counted = _by_day(rows, time).groupBy("symbol", "date").agg(F.count("*").alias("n"))
+    if until is not None:
+        counted = counted.filter(F.col("date") < F.lit(until).cast("date"))
+    known = daily.select("symbol", "date", "news_count")
+    both = counted.join(known, ["symbol", "date"], "left")
+    return both.filter("news_count IS NULL OR news_count != n").select("date").distinct()
 
 
-def _mark(spark: SparkSession, path: str) -> None:
-    spark.range(1).select(F.lit(1).alias("done")).write.mode("overwrite").parquet(path)
+def rebuild_days(daily: DataFrame, rows: DataFrame, time: str, days: DataFrame) -> DataFrame:
+    """`daily` with the days `days` counted anew from `rows`."""
+    renewed = (_by_day(rows, time).join(days, "date", "left_semi").groupBy("symbol", "date").agg(*_daily()))
+    kept = daily.join(days, "date", "left_anti").select(*renewed.columns)
+    return kept.unionByName(renewed)
 
 
-def upsert_months(target: str, stage: str, keys: list[str] = STORY) -> Callable[[DataFrame, int], None]:
-    """Batch function that adds news to the months they belong to; stored rows win.
+def upsert_months(target: str, feed: str) -> Callable[[DataFrame, int], None]:
+    """Batch function that adds conformed news to the months they belong to.
 
-    Replacing a month needs its stored rows, so they are read, merged and staged under the batch
-    number before the months are replaced. A batch that is run again after a crash in the replacement
-    finds its staged rows and only repeats that; it must be run again before any other. A batch that
-    had ended is merged anew, which changes nothing when its rows are the same.
+    A micro-batch is a staged day of its own, so a batch that is run again after a failure replaces
+    what it wrote the first time. Stored news is neither read nor changed.
     """
     def upsert(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        attempts = (f"{stage}/batch={number}/attempt={i}" for i in count())
-        attempt = next(a for a in attempts if not _marked(spark, f"{a}/replaced"))
-        if not _marked(spark, f"{attempt}/staged"):
-            write_months(spark.createDataFrame([], NEWS_MONTHS), target)  # makes sure there is a table
-            news = batch.select(*NEWS_COLUMNS, "year", "month").filter("year IS NOT NULL")
-            months = news.select("year", "month").distinct()
-            # one row per calendar month, which prunes the folders of all other months
-            stored = read_months(spark, target).join(F.broadcast(months), ["year", "month"], "left_semi")
-            rows = (stored.withColumn("_new", F.lit(0)).select(*NEWS_MONTHS.names, "_new")
-                    .unionByName(news.withColumn("_new", F.lit(1))))
-            merged = keep_first(rows, keys, ["_new", "source", "summary"]).drop("_new")
-            merged.write.mode("overwrite").parquet(f"{attempt}/rows")
-            _mark(spark, f"{attempt}/staged")
-        write_months(spark.read.schema(NEWS_MONTHS).parquet(f"{attempt}/rows"), target)
-        _mark(spark, f"{attempt}/replaced")
+        news = batch.filter("year IS NOT NULL")
+        write_days(news.withColumn("feed", F.lit(feed)).withColumn("day", F.lit(f"batch-{number}")), target)
 
     return upsert
 

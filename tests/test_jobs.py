@@ -1,5 +1,7 @@
 """The daily jobs end to end on files made from the given tables."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ def layers(spark):
                                ("archive", "archive_v", RAW_ARCHIVE), ("wire", "wire_v", RAW_WIRE)):
         view(spark, FOLDER, name).select(*schema.names).write.parquet(f"{path}/raw/{feed}")
         jobs.cleanse(spark, feed, [f"{path}/raw/{feed}"], f"{path}/staging")
-    counts = jobs.merge(spark, [f"{path}/staging/*/*"], f"{path}/news", f"{path}/quarantine")
+    counts = jobs.merge(spark, f"{path}/staging", f"{path}/news", f"{path}/quarantine")
     return path, counts.collect()
 
 
@@ -42,24 +44,35 @@ def test_cleanse_again_changes_nothing(spark, layers):
 
 def test_merge_and_quarantine_again(spark, layers):
     path, counts = layers
-    again = jobs.merge(spark, [f"{path}/staging/*/*"], f"{path}/news", f"{path}/quarantine")
+    again = jobs.merge(spark, f"{path}/staging", f"{path}/news", f"{path}/quarantine")
     assert sorted(map(str, again.collect())) == sorted(map(str, counts))
     kept, bad = spark.read.parquet(f"{path}/news").count(), spark.read.parquet(f"{path}/quarantine").count()
     assert kept + bad == sum(r.rows for r in counts)
 
 
-def test_days_add_up_in_one_month(spark):
+def test_days_give_what_a_merge_gives(spark):
     path = scratch_path(spark, "days")
-    args = (f"{path}/news", f"{path}/stage", f"{path}/quarantine")
-    for day, epoch in (("20250317", "1742169600"), ("20250318", "1742256000"), ("20250318", "1742256000"),
-                       ("20250317", "1742169600")):
-        raw = spark.createDataFrame([("A", "x", epoch, f"h{epoch}", "s"), ("A", "x", "", "undated", "s")], RAW_WIRE)
-        raw.write.mode("overwrite").parquet(f"{path}/raw/{day}")
+    items = {"20250317": [("A", "x", "1742169600", "same", "s"), ("A", "x", "1742169601", "same", "s"),
+                          ("A", "x", "", "undated", "s")],
+             "20250318": [("A", "x", "1742256000", "same", "s"), ("A", "x", "1742169600", "same", "s"),
+                          ("A", "x", "1743500000", "april", "s")]}
+    for day, rows in items.items():
+        spark.createDataFrame(rows, RAW_WIRE).write.parquet(f"{path}/raw/{day}")
         jobs.cleanse(spark, "wire", [f"{path}/raw/{day}"], f"{path}/staging", day)
-        jobs.add_day(spark, [f"{path}/staging/*/day={day}"], day, *args)
-    got = spark.read.parquet(f"{path}/news").collect()
-    assert sorted(r.datetime for r in got) == ["2025-03-17", "2025-03-18"]
-    assert spark.read.parquet(f"{path}/quarantine").count() == 2
+    for day in ("20250318", "20250317", "20250318"):
+        counts = jobs.add_day(spark, f"{path}/staging", day, f"{path}/news", f"{path}/bad")
+        assert sum(r.rows for r in counts.collect()) == 3
+    jobs.merge(spark, f"{path}/staging", f"{path}/merged", f"{path}/worse")
+    tables = [sorted(map(str, spark.read.parquet(f"{path}/{t}").collect())) for t in ("news", "merged")]
+    assert tables[0] == tables[1] and len(tables[0]) == 5
+    assert spark.read.parquet(f"{path}/bad").count() == spark.read.parquet(f"{path}/worse").count() == 1
+    # a day that is staged anew takes the place of what it was; its staging can go
+    spark.createDataFrame(items["20250318"][:1], RAW_WIRE).write.mode("overwrite").parquet(f"{path}/raw/x")
+    jobs.cleanse(spark, "wire", [f"{path}/raw/x"], f"{path}/staging", "20250318")
+    jobs.add_day(spark, f"{path}/staging", "20250318", f"{path}/news", f"{path}/bad", remove=True)
+    got = sorted((r.month, r.headline) for r in spark.read.parquet(f"{path}/news").collect())
+    assert got == [(3, "same")] * 3
+    assert [p.name for p in Path(f"{path}/staging/feed=wire").iterdir()] == ["day=20250317"]
 
 
 def test_score_and_features(spark, layers):

@@ -65,7 +65,9 @@ def test_select_features_keeps_six(spark):
 
 def test_augment_noise(spark):
     df = frame(spark, {"x": np.zeros(500)})
-    out = prep.augment_noise(df, ["x"], std=0.01)
+    out = prep.augment_noise(df, ["x"], ["symbol", "date"], std=0.01)
+    again = prep.augment_noise(df.repartition(5), ["x"], ["symbol", "date"], std=0.01)
+    assert sorted(map(str, out.collect())) == sorted(map(str, again.collect()))
     assert out.filter("NOT is_noisy AND x = 0").count() == 500
     noise = np.array([r.x for r in out.filter("is_noisy").collect()])
     assert len(noise) == 500 and 0.008 < noise.std() < 0.012
@@ -147,19 +149,53 @@ def test_one_bad_symbol_does_not_stop_the_others(spark):
     assert status["A"] == "ok" and status["B"] != "ok"
     assert out.filter("symbol = 'B' AND predicted IS NOT NULL").isEmpty()
     per_symbol = metrics.forecast_metrics(out.withColumn("model", F.lit("AR")))
-    assert [r.symbol for r in per_symbol.collect()] == ["A"]
+    rows = {r.symbol: r for r in per_symbol.collect()}
+    assert rows["A"].status == "ok" and rows["A"].MAE is not None
+    assert rows["B"].status != "ok" and rows["B"].MAE is None and rows["B"].n == 0
+    assert {r.symbol for r in metrics.model_comparison(per_symbol, ["AR"]).collect()} == {"A", "B"}
+
+
+def test_days_before_the_first_price_do_not_count(spark):
+    rng = np.random.default_rng(7)
+    known = frame(spark, {"close": np.cumsum(rng.normal(size=60)) + 50})
+    padded = known.unionByName(known.select(
+        "symbol", F.date_sub("date", 100).alias("date"), F.lit(None).cast("double").alias("close")))
+    a, b = (sorted(map(str, forecast.fit_ar(x, p=2).collect())) for x in (known, padded))
+    assert a == b
 
 
 def test_compare_regressors_learns_a_line(spark):
     df = frame(spark, {"close": np.arange(100.0), "s": np.ones(100)}).unionByName(
         frame(spark, {"close": 500 - 2 * np.arange(100.0), "s": np.ones(100)}, "B"))
     df = series.split_date(df, train_end=DAY + dt.timedelta(69))
-    out = forecast.compare_regressors(df, {"one": ["close"], "two": ["close", "s"]}, noise=0.0)
+    out = forecast.compare_regressors(df, {"one": ["close"], "two": ["close", "s"]})
     assert out.count() == 2 * 2 * 25
     got = metrics.forecast_metrics(out).collect()
     assert all(r.MAE < 0.5 and r.DirAcc == 1.0 for r in got)
 
 
+def test_symbols_have_models_and_features_of_their_own(spark):
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=200), rng.normal(size=200)
+    rising = frame(spark, {"close": np.roll(x, 1), "u": x, "v": y}, "GOOGL")
+    falling = frame(spark, {"close": -np.roll(y, 1), "u": x, "v": y}, "NVDA")
+    short = frame(spark, {"close": [1, 2, 3], "u": [1, 2, 1], "v": [2, 1, 2]}, "TINY")
+    late = short.select("symbol", F.date_add("date", 180).alias("date"), "close", "u", "v")
+    df = series.split_date(rising.unionByName(falling).unionByName(short).unionByName(late),
+                           train_end=DAY + dt.timedelta(149))
+    out = forecast.compare_regressors(df, {"m": ["close", "u", "v"]}, window=2)
+    got = {r.symbol: r for r in metrics.forecast_metrics(out).collect()}
+    assert got["GOOGL"].MAE < 1e-3 and got["NVDA"].MAE < 1e-3
+    assert got["TINY"].MAE is None and got["TINY"].status.startswith("too few rows")
+    chosen = forecast.compare_regressors(df, {"m": ["close", "u", "v"]}, window=2, selected=["m"],
+                                         noise={"m": 0.001})
+    features = {r.symbol: r.features for r in chosen.select("symbol", "features").distinct().collect()}
+    assert set(features) == {"GOOGL", "NVDA", "TINY"} and all(f.startswith("close") for f in features.values())
+    again = forecast.compare_regressors(df.repartition(3), {"m": ["close", "u", "v"]}, window=2,
+                                        selected=["m"], noise={"m": 0.001})
+    assert sorted(map(str, chosen.collect())) == sorted(map(str, again.collect()))
+
+
 def test_schema_helpers(spark):
     df = frame(spark, {"close": [1]})
     assert require(df, "symbol", "close") is df

@@ -14,7 +14,7 @@ PYTHON = {"score_map_partitions", "score_map_top1", "score_pandas_udf", "score_s
           "arx_forecast_ohlcv", "arx_forecast_combined", "ar_model_comparison"}
 WRITING = {n for n in QUERIES if n.startswith(("sink_", "scan_", "stream_"))} | {
     "read_partition", "land_by_year", "sql_view", "price_json_unpivot", "seq_regression_compare",
-    "seq_regression_line"}
+    "seq_regression_line", "merge_equals_days"}
 
 
 def plan_of(spark, name):

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from urllib.parse import urljoin
 
 from pyspark.sql import functions as F
@@ -56,6 +57,15 @@ def test_scrub(spark):
     assert got == [expected(t) for t in texts]
 
 
+def test_scrub_is_linear_in_unmatched_brackets(spark):
+    size = 200_000
+    texts = [c * size for c in "([<"] + ["(" * size + "]", "[" * size + ")", "<" * size + "\n>", "(" * 9 + ")"]
+    start = time.time()
+    got = both(spark, text.scrub(F.col("t")), [(t,) for t in texts], "t string")
+    assert time.time() - start < 20
+    assert got == [*texts[:5], "<" * size + " >", ""]
+
+
 def test_windows(spark):
     rng = random.Random(13)
     for _ in range(8):

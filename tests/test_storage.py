@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -77,12 +78,44 @@ def test_file_choice(spark):
     path = scratch_path(spark, "t")
     for name in ("2020/a", "2024/b", "2025/nyt_2025_01", "2025/nyt_2025_02", "2025/nyt_2025_03", "2019/z"):
         article(spark, name).write.parquet(f"{path}/{name}")
-    assert titles(readers.read_history(spark, path, RAW_ARTICLES)) == [
+    assert titles(readers.read_history(spark, path, RAW_ARTICLES, range(2020, 2025), 2025,
+                                       ("2025_01", "2025_02"))) == [
         "2020/a", "2024/b", "2025/nyt_2025_01", "2025/nyt_2025_02"]
     assert titles(readers.read_years(spark, path, [2018, 2019, 2020], RAW_ARTICLES, "*/*.parquet")) == [
         "2019/z", "2020/a"]
 
 
+def test_years_above_the_path_do_not_count(spark):
+    path = f"{scratch_path(spark, 't')}/2020/archive"
+    for name in ("2019/a", "2020/b"):
+        article(spark, name).write.parquet(f"{path}/{name}")
+    for root in (path, f"file:{path}/"):
+        assert titles(readers.read_history(spark, root, RAW_ARTICLES, [2020], 2025, ["x"])) == ["2020/b"]
+
+
+def test_unreadable_files_are_named(spark):
+    path = scratch_path(spark, "t")
+    for name in ("2019", "2020"):
+        article(spark, name).coalesce(1).write.parquet(f"{path}/{name}")
+    cut = next(Path(f"{path}/2020").glob("*.parquet"))
+    cut.write_bytes(cut.read_bytes()[:100])
+    for crc in Path(f"{path}/2020").glob(".*.crc"):
+        crc.unlink()
+    years = [2018, 2019, 2020]
+    assert titles(readers.read_years(spark, path, years, RAW_ARTICLES)) == ["2019"]
+    (bad,) = readers.unread_files(spark, path, years, RAW_ARTICLES).collect()
+    assert bad.path == str(cut) and bad.length == 100
+
+
+def test_bad_csv_rows_are_kept_raw(spark, tmp_path):
+    (tmp_path / "x.csv").write_text('a,b\n1,x\ntwo,"y ""z"""\n3,w\n')
+    schema = spark.createDataFrame([(1, "x")], "a int, b string").schema
+    rows = readers.read_csv(spark, str(tmp_path), schema, "raw").collect()
+    assert sorted((r.a or 0, r.b, r.raw) for r in rows) == [
+        (0, 'y "z"', 'two,"y ""z"""'), (1, "x", None), (3, "w", None)]
+    assert readers.read_csv(spark, str(tmp_path), schema).count() == 3
+
+
 def test_increment_by_file_name(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
@@ -110,7 +143,10 @@ def test_empty_and_missing_inputs_fail(spark):
 def test_landing_drops_sentinels_and_splits_years(spark):
     rows = spark.createDataFrame([("b", "2024-05-01"), ("a", "9999-12-31"), ("a", "2023-01-01")],
                                  "keyword string, date string")
-    path = writers.land_by_year(rows, scratch_path(spark, "t"))
+    rows = rows.unionByName(spark.createDataFrame([("c", None), ("d", "soon")], rows.schema))
+    bad = scratch_path(spark, "t")
+    path = writers.land_by_year(rows, scratch_path(spark, "t"), bad)
+    assert {(r.keyword, r.date) for r in spark.read.parquet(bad).collect()} == {("c", None), ("d", "soon")}
     assert {(r.keyword, r.year) for r in spark.read.parquet(path).collect()} == {("b", 2024), ("a", 2023)}
 
 
@@ -199,6 +235,16 @@ def test_links_are_distinct_rows(spark):
     assert [r.link for r in pages.extract_links(rows, "url", "html").collect()] == ["http://s/x.pdf"]
 
 
+def test_local_folder_is_for_one_process_only():
+    class Session:
+        def __init__(self, master):
+            self.conf = {"spark.master": master}
+
+    for master in ("yarn", "local-cluster[3,2,1024]", "spark://h:7077"):
+        with pytest.raises(ValueError):
+            shared_dir(Session(master))
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")

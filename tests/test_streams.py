@@ -1,12 +1,13 @@
 """Streams over several increments: equal to the batch result, and nothing twice."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from newsflow.operators import news
-from newsflow.schema import NEWS, NEWS_MONTHS
+from newsflow.schema import NEWS
 from newsflow.session import scratch_path
 from newsflow.sources import writers
 from newsflow.streaming import ingest
@@ -65,9 +66,9 @@ def test_days_come_out_once_and_late_rows_are_left(spark):
 
 
 def run_upsert(spark, path, batch, number):
-    upsert = ingest.upsert_months(f"{path}/table", f"{path}/stage")
+    upsert = ingest.upsert_months(f"{path}/table", "wire")
     upsert(news.with_months(batch), number)
-    got = writers.read_months(spark, f"{path}/table").collect()
+    got = writers.read_months(spark, f"{path}/table", days=True).collect()
     return sorted((r.datetime, r.headline, r.summary) for r in got)
 
 
@@ -75,41 +76,59 @@ def rows(spark, *items):
     return spark.createDataFrame([("A", "x", *i) for i in items], NEWS)
 
 
-def test_upsert_keeps_stored_rows_of_the_month(spark):
+def test_upsert_leaves_what_is_stored(spark):
     path = scratch_path(spark, "s")
     run_upsert(spark, path, rows(spark, ("2025-01-01", "h1", "first"), ("2025-02-01", "h", "feb")), 0)
     got = run_upsert(spark, path, rows(spark, ("2025-01-01", "h1", "again"), ("2025-01-02", "h2", "new"),
                                        (None, "undated", "")), 1)
-    assert got == [("2025-01-01", "h1", "first"), ("2025-01-02", "h2", "new"), ("2025-02-01", "h", "feb")]
-    assert run_upsert(spark, path, rows(spark, ("2025-01-02", "h2", "new")), 1) == got
+    assert got == [("2025-01-01", "h1", "again"), ("2025-01-01", "h1", "first"), ("2025-01-02", "h2", "new"),
+                   ("2025-02-01", "h", "feb")]
 
 
-def test_upsert_survives_a_crash_while_months_are_replaced(spark, monkeypatch):
+def test_batch_that_runs_again_replaces_its_rows(spark):
     path = scratch_path(spark, "s")
-    want = run_upsert(spark, path, rows(spark, ("2025-01-01", "h1", "a")), 0)
-    calls = []
-
-    def crash(df, target):
-        # the worst case: the month is gone and the new files are not there yet
-        calls.append(target)
-        if df.isEmpty():
-            return
-        spark.createDataFrame([], NEWS_MONTHS).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static").partitionBy("year", "month").parquet(target)
-        raise OSError("lost")
-
-    with monkeypatch.context() as broken:
-        broken.setattr(ingest, "write_months", crash)
-        with pytest.raises(OSError):
-            run_upsert(spark, path, rows(spark, ("2025-01-02", "h2", "b")), 1)
-    assert calls and writers.read_months(spark, f"{path}/table").isEmpty()
-    assert run_upsert(spark, path, rows(spark, ("2025-01-02", "h2", "b")), 1) == [
-        *want, ("2025-01-02", "h2", "b")]
+    first = rows(spark, ("2025-01-01", "h1", "a"), ("2025-01-01", "h1", "a"))
+    want = run_upsert(spark, path, first, 0)
+    assert len(want) == 2
+    run_upsert(spark, path, rows(spark, ("2025-01-02", "h2", "b")), 1)
+    assert run_upsert(spark, path, first, 0) == [*want, ("2025-01-02", "h2", "b")]
+
+
+def test_late_rows_are_found_and_their_days_counted_anew(spark):
+    path = scratch_path(spark, "s")
+    day = dt.datetime(2025, 1, 1)
+    items = [("A", day + dt.timedelta(hours=h), .2, .3, .5) for h in (1, 30, 60, 90)]
+    late = [("A", day + dt.timedelta(hours=3), 1., 0., 0.), ("B", day + dt.timedelta(hours=31), 0., 0., 1.),
+            ("C", None, 0., 0., 1.)]
+    for i, batch in enumerate((items, late)):
+        add(spark, path, f"b{i}", batch, SCORED)
+        stream = ingest.ingest_stream(spark, f"{path}/in/*", spark.read.parquet(f"{path}/in/b0").schema)
+        ingest.append_files(ingest.daily_stream(stream, "ts", "12 hours"), f"{path}/out", f"{path}/cp")
+    stored, daily = spark.read.parquet(f"{path}/in/*"), spark.read.parquet(f"{path}/out")
+    days = ingest.incomplete_days(daily, stored, "ts", until=dt.date(2025, 1, 4))
+    assert sorted(r.date.day for r in days.collect()) == [1, 2]
+    got = ingest.rebuild_days(daily, stored, "ts", days).collect()
+    assert {(r.symbol, r.date.day, r.news_count) for r in got} == {
+        ("A", 1, 2), ("A", 2, 1), ("B", 2, 1), ("A", 3, 1)}
+
+
+def test_table_of_many_files_is_read_whole(spark):
+    from newsflow.plans.streams import event_stream
+    path = scratch_path(spark, "s")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(7).write.parquet(f"{path}/events.parquet")
+    ingest.append_files(event_stream(spark, path), f"{path}/out", f"{path}/cp")
+    assert spark.read.parquet(f"{path}/out").count() == events.count()
 
 
 def test_taken_files_can_be_archived(spark):
     path = scratch_path(spark, "s")
     add(spark, path, "a", [("A", "x", "2025-01-01", "h1", "s")])
-    stream = ingest.ingest_stream(spark, f"{path}/in/*", NEWS, archive=f"{path}/archive")
-    ingest.append_files(stream.withColumn("n", F.lit(1)), f"{path}/out", f"{path}/cp")
-    assert spark.read.parquet(f"{path}/out").count() == 1
+    for headline in ("h1", "h2"):
+        # the files of a run are moved by the runs after it
+        stream = ingest.ingest_stream(spark, f"{path}/in/*", NEWS, archive=f"{path}/archive")
+        ingest.append_files(stream.withColumn("n", F.lit(1)), f"{path}/out", f"{path}/cp")
+        assert spark.read.parquet(f"{path}/out").count() == (1 if headline == "h1" else 2)
+        add(spark, path, headline, [("A", "x", "2025-01-01", headline, "s")])
+    moved = [p for p in Path(f"{path}/archive").rglob("*.parquet")]
+    assert len(moved) == 1 and "/in/a/" in str(moved[0])
