@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from newsflow.functions import scores
 from newsflow.functions.text import is_blank
@@ -132,7 +130,7 @@ def document_chunks(text: Column, length: int, step: int) -> Column:
                        lambda c: F.array_join(c, " "))
 
 
-def score_udf(load: Callable[[], Scorer]):
+def score_udf(load: Callable[[], Scorer], top1: bool = False):
     """Vectorised UDF from an array of chunk texts to mean scores; loads the scorer once per task.
 
     Only the chunks travel to Python; the other columns of the row stay in the JVM.
@@ -140,20 +138,30 @@ def score_udf(load: Callable[[], Scorer]):
     @F.pandas_udf(RESULT)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = load()
+        reduce = _top1_documents if top1 else _score_documents
         for chunk_lists in batches:
-            yield _score_documents(scorer, chunk_lists)
+            yield reduce(scorer, chunk_lists)
 
     return score
 
 
-def add_scores(df: DataFrame, chunks: Column, load: Callable[[], Scorer], name: str) -> DataFrame:
+def add_scores(df: DataFrame, chunks: Column, load: Callable[[], Scorer], name: str,
+               top1: bool = False) -> DataFrame:
     """Add the struct of mean scores of an array of chunk texts.
 
     The generator makes the chunks a column of their own. Without it the optimizer puts the array
     functions back into the call, and a UDF called on them may stay in the projection.
     """
     cut = df.select("*", F.explode(F.array(chunks)).alias("_chunks"))
-    return cut.withColumn(name, score_udf(load)("_chunks")).drop("_chunks")
+    return cut.withColumn(name, score_udf(load, top1)("_chunks")).drop("_chunks")
+
+
+def _as_json(df: DataFrame) -> DataFrame:
+    """The struct `_scores` as the columns `finbert_sentiment` (JSON) and `error`."""
+    found = F.struct(*[F.col(f"_scores.{label}").alias(label) for label in scores.LABELS])
+    kept = [c for c in df.columns if c != "_scores"]
+    return df.select(*kept, F.when(F.col("_scores.positive").isNotNull(), F.to_json(found)).alias(
+        "finbert_sentiment"), F.col("_scores.error").alias("error"))
 
 
 def score_map(df: DataFrame, column: str, load: Callable[[], Scorer],
@@ -162,25 +170,50 @@ def score_map(df: DataFrame, column: str, load: Callable[[], Scorer],
     """All columns plus `finbert_sentiment`, the scores of the text as JSON, and `error`.
 
     Blank text and text the scorer fails on keep null scores; no row is lost. `top1` reduces the
-    windows by the mean score of the label each one gives, instead of the mean of all scores.
+    windows by the mean score of the label each one gives, instead of the mean of all scores. Only
+    the windows travel to Python.
     """
     chunks = document_chunks(F.col(column), length, step)
-    one = T.StructType([T.StructField("finbert_sentiment", T.StringType()),
-                        T.StructField("error", T.StringType())])
-    schema = T.StructType(df.schema.fields + one.fields)
+    return _as_json(add_scores(df, chunks, load, "_scores", top1))
+
+
+def token_windows(scorer, text: str | None, length: int, step: int) -> list[str]:
+    """Windows of `length` token ids, every `step`, as the texts that the tokeniser makes of them.
+
+    `scorer.tokenise` gives the ids of a text, special tokens included, and `scorer.decode` the text of
+    ids. A text without ids has no window.
+    """
+    ids = [] if text is None or not text.strip() else list(scorer.tokenise(text))
+    starts = range(0, max(len(ids) - length, 0) + step, step) if ids else []
+    return [scorer.decode(ids[at:at + length]) for at in starts if at < len(ids)]
+
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def score_tokens(df: DataFrame, column: str, load: Callable[[], Scorer],
+                 length: int = scores.CHUNK_LENGTH, step: int = scores.CHUNK_STEP,
+                 top1: bool = False) -> DataFrame:
+    """As `score_map`, with windows of the tokens of the model, not of words.
+
+    What `load` returns has `tokenise` and `decode` besides the call. Only the text travels to Python, as
+    the windows are cut there. A text that cannot be tokenised keeps its row and gets an error.
+    """
+    @F.pandas_udf(RESULT)
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = load()
         reduce = _top1_documents if top1 else _score_documents
-        for pdf in batches:
-            found = reduce(scorer, pdf.pop("_chunks"))
-            pdf["finbert_sentiment"] = [
-                None if row[0] is None else json.dumps(dict(zip(scores.LABELS, row)))
-                for row in found[list(scores.LABELS)].itertuples(index=False, name=None)]
-            pdf["error"] = found["error"].to_numpy()
-            yield pdf
-
-    return df.withColumn("_chunks", chunks).mapInPandas(score, schema)
+        for texts in batches:
+            cut, problems = [], []
+            for text in texts:
+                try:
+                    cut.append(token_windows(scorer, text, length, step))
+                    problems.append(None)
+                except Exception as problem:
+                    cut.append([])
+                    problems.append(f"{type(problem).__name__}: {problem}")
+            found = reduce(scorer, pd.Series(cut))
+            found["error"] = [p or e for p, e in zip(problems, found["error"])]
+            yield found
+
+    return _as_json(df.withColumn("_scores", score(F.col(column))))
 
 
 def _top1_documents(scorer: Scorer, chunk_lists: pd.Series) -> pd.DataFrame:

@@ -186,6 +186,26 @@ def score_map_partitions(spark, d) -> DataFrame:
     return _parsed(scoring.score_map(docs, "text", load_scorer, LENGTH, STEP)).drop("text")
 
 
+class FailingScorer(scoring.LexiconScorer):
+    """Cannot score windows with the word `stupid`, to show what becomes of their texts."""
+
+    def __call__(self, texts: list[str]):
+        if any("stupid" in t.split() for t in texts):
+            raise ValueError("cannot score this")
+        return super().__call__(texts)
+
+
+@query("score_errors", """
+SELECT doc_id, CASE WHEN list_contains(string_split_regex(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' '),
+  'stupid') THEN 'ValueError: cannot score this' END AS error,
+  NOT list_contains(string_split_regex(trim(regexp_replace(text, '\\s+', ' ', 'g')), ' '), 'stupid') AS scored
+FROM documents""")
+def score_errors(spark, d) -> DataFrame:
+    docs = documents(spark, d).select("doc_id", "text")
+    found = scoring.score_map(docs, "text", partial(FailingScorer, LEXICON), LENGTH, STEP)
+    return found.select("doc_id", "error", F.col("finbert_sentiment").isNotNull().alias("scored"))
+
+
 @query("score_map_top1", f"""
 {_PROBS}, {_TOP} SELECT doc_id, {_TOP_MEANS}, CAST(NULL AS VARCHAR) AS error FROM top GROUP BY doc_id""")
 def score_map_top1(spark, d) -> DataFrame:

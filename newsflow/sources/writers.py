@@ -134,6 +134,18 @@ def write_price_json(prices: DataFrame, path: str) -> str:
     return path
 
 
+def create_table(spark: SparkSession, name: str, path: str) -> None:
+    """A catalog table partitioned by year and month over the files of `write_months` at `path`.
+
+    It belongs to the catalog, not to this session's views. Call it again for months that came since.
+    """
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in NEWS_MONTHS)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+              f"PARTITIONED BY (year, month) LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
 def register_table(spark: SparkSession, name: str, path: str) -> None:
     """Expose the analytic layer to SQL as `name`."""
     read_months(spark, path).createOrReplaceTempView(name)

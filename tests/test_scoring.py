@@ -87,3 +87,37 @@ def test_label_cleaning_and_top1_rows(spark):
                                   (1, "odd", 1.0)], "id int, label string, score double")
     got = scoring.chunk_top1_means(rows, ["id"]).first()
     assert (got.positive, got.neutral, got.negative) == (pytest.approx(0.8), 0.0, 0.8)
+
+
+class Pieces(scoring.LexiconScorer):
+    """Tokens of three letters between two special ones."""
+
+    def tokenise(self, text):
+        if "broken" in text:
+            raise ValueError("no tokens")
+        return ["[", *[text[i:i + 3] for i in range(0, len(text), 3)], "]"]
+
+    def decode(self, ids):
+        return "".join(t for t in ids if t not in "[]")
+
+
+def test_windows_of_tokens(spark):
+    model = Pieces(LEX)
+    text = "".join(f"{i:03d}" for i in range(20))
+    windows = scoring.token_windows(model, text, 8, 4)
+    assert windows == ["".join(f"{i:03d}" for i in range(max(0, s - 1), min(20, s + 7))) for s in (0, 4, 8, 12, 16)]
+    assert scoring.token_windows(model, "abc", 8, 4) == ["abc"]
+    assert scoring.token_windows(model, " ", 8, 4) == scoring.token_windows(model, None, 8, 4) == []
+    rows = [(1, "some words of a text"), (2, None), (3, "broken"), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    got = {r.doc_id: r for r in scoring.score_tokens(df, "text", partial(Pieces, LEX), 8, 4).collect()}
+    assert got[1].finbert_sentiment and got[1].error is None
+    assert got[3].finbert_sentiment is None and got[3].error == "ValueError: no tokens"
+    assert got[2].finbert_sentiment is None and got[4].error is None
+
+
+def test_only_windows_travel_to_python(spark):
+    df = spark.createDataFrame([(1, "a b c")], "doc_id int, text string")
+    plan = scoring.score_map(df, "text", load)._jdf.queryExecution().executedPlan().toString()
+    call = next(line for line in plan.splitlines() if "ArrowEvalPython" in line)
+    assert "_chunks" in call.split("]")[0] and "MapInPandas" not in plan

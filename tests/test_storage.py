@@ -157,6 +157,17 @@ def test_sql_table(spark):
     assert spark.sql("SELECT symbol FROM t_news WHERE year = 2025 AND month = 1").first().symbol == "A"
 
 
+def test_catalog_table(spark):
+    path = scratch_path(spark, "t")
+    for day, count in (("2025-01-05", 1), ("2025-02-05", 2)):
+        writers.write_months(news.with_months(stories(spark, [("A", "x", day, "h")])), path)
+        writers.create_table(spark, "months_t", path)
+        assert spark.table("months_t").count() == count
+    plan = spark.sql("SELECT symbol FROM months_t WHERE month = 2")
+    assert plan.count() == 1 and "PartitionFilters: [isnotnull(month" in plan._jdf.queryExecution().toString()
+    spark.sql("DROP TABLE months_t")
+
+
 def test_month_read_is_pruned(spark):
     path = scratch_path(spark, "t")
     writers.write_months(news.with_months(stories(spark, [("A", "x", "2025-01-05", "h")])), path)
