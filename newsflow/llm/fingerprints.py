@@ -55,20 +55,19 @@ def _merge(a: Column, b: Column, sign: Column | int) -> Column:
                     a["check"].bitwiseXOR(b["check"]).alias("check"))
 
 
-def _entry(n: int | Column, key: Column, check: Column) -> Column:
-    n = F.lit(n) if isinstance(n, int) else n
+def _entry(n: Column, key: Column, check: Column) -> Column:
     return F.struct(n.cast("int").alias("n"), key.cast("long").alias("key"),
                     check.cast("long").alias("check"))
 
 
 def sketch(hashes: Column) -> Column:
     """The cells of a set of hashes: TABLES times CELLS structs of n, key and check."""
-    empty = _entry(0, F.lit(0), F.lit(0))
+    empty = _entry(F.lit(0), F.lit(0), F.lit(0))
 
     def cells(table: int) -> Column:
         return F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda i: F.aggregate(
             F.filter(hashes, lambda d: _cell(d, table) == i), empty,
-            lambda a, d: _merge(a, _entry(1, d, _check(d)), 1)))
+            lambda a, d: _merge(a, _entry(F.lit(1), d, _check(d)), 1)))
 
     return F.concat(*[cells(t) for t in range(TABLES)])
 
@@ -181,7 +180,7 @@ def written_sketch(n: Column, cells: Column) -> Column:
 
 
 def _neighbours(keys: DataFrame) -> DataFrame:
-    """Columns `key`, `n_chars`, `next`: the key of the next document by descending id.
+    """Columns `key`, `doc_id`, `n_chars`, `next`: the key of the next document by descending id.
 
     Keys are dealt into ranges of ids and written, each range is ordered on its own, and the first key
     of the range after it, one row per range, follows its last.
@@ -196,7 +195,7 @@ def _neighbours(keys: DataFrame) -> DataFrame:
         F.first("head").over(by_part.rowsBetween(Window.unboundedPreceding, 0))).alias("after"))
     within = F.lead("key").over(Window.partitionBy("part").orderBy(F.desc("doc_id"), F.desc("key")))
     return (ranged.withColumn("within", within).join(F.broadcast(heads), "part")
-            .select("key", "n_chars", F.coalesce("within", "after").alias("next")))
+            .select("key", "doc_id", "n_chars", F.coalesce("within", "after").alias("next")))
 
 
 def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -216,11 +215,12 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     links = _neighbours(keys).withColumnsRenamed({"key": "owner", "next": "key"})
     cut = F.floor(F.col("n_chars") / 3).cast("int")
     # for each document, what it takes from the next one
-    taken = base.select("key", "text").join(links, "key").select(
-        F.col("owner").alias("key"), F.substring("text", F.lit(1), cut).alias("head"),
+    texts = base.select("key", "text")  # dealt by key once, for both joins
+    taken = texts.join(links, "key").select(
+        F.col("owner").alias("key"), "doc_id", F.substring("text", F.lit(1), cut).alias("head"),
         digests(F.col("text")).alias("next_set"))
-    taken = taken.groupBy("key").agg(F.first("head").alias("head"), F.first("next_set").alias("next_set"))
-    rows = base.join(taken, "key").withColumn("n_chars", F.char_length("text").cast("long"))
+    taken = taken.groupBy("key").agg(*[F.first(c).alias(c) for c in ("doc_id", "head", "next_set")])
+    rows = texts.join(taken, "key").withColumn("n_chars", F.char_length("text").cast("long"))
     rows = rows.select("doc_id", "n_chars", "next_set", "text", F.concat(
         F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")), F.col("head")).alias("edited"))
     rows = rows.select("doc_id", "n_chars", "next_set", F.sha2("edited", 256).alias("edited_sha256"),
