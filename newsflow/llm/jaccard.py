@@ -32,6 +32,7 @@ from newsflow.session import written
 
 WORDS = 5
 GROUPS = 64  # coordinates of a point
+FINE = 1024  # finer groups, of which GROUPS are made: their bound is tried where that of a point holds
 #: Blocks that a document is looked up by, at most. Two sets that need more have about 0.4 of them in
 #: common at a coefficient of 0.8, so that all 40 differ with a chance of 0.6 ** 40, about 1e-9.
 BLOCKS = 40
@@ -117,8 +118,22 @@ def block_keys(shingles: np.ndarray) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
-def point(shingles: np.ndarray) -> np.ndarray:
-    return np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.uint32)
+def point(shingles: np.ndarray) -> bytes:
+    """The counts of the fine groups: the group of each hash in order, or all counts if that is shorter."""
+    group = (shingles >> np.uint64(54)).astype(np.uint16)  # the hashes are sorted, so these are
+    if 2 * len(group) < 4 * FINE:
+        return group.tobytes()
+    return np.bincount(group, minlength=FINE).astype(np.uint32).tobytes()
+
+
+def fine_counts(point: bytes) -> np.ndarray:
+    if len(point) == 4 * FINE:
+        return np.frombuffer(point, np.uint32).astype(np.int32)
+    return np.bincount(np.frombuffer(point, np.uint16), minlength=FINE).astype(np.int32)
+
+
+def coarse_counts(fine: np.ndarray) -> np.ndarray:
+    return fine.reshape(*fine.shape[:-1], GROUPS, FINE // GROUPS).sum(axis=-1)
 
 
 class CountTree:
@@ -182,7 +197,7 @@ def set_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
                 node = int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=8).digest(),
                                       "little", signed=True)
                 nodes.append(node)
-                points.append(point(shingles).tobytes())
+                points.append(point(shingles))
                 keys.append([] if seen[node] else block_keys(shingles).view(np.int64))
                 seen[node] = True
             yield pa.RecordBatch.from_arrays(
@@ -232,8 +247,8 @@ def _candidates(members: DataFrame) -> DataFrame:
 
     def pairs_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         node, label, n = (rows.column(c).to_numpy() for c in ("node", "label", "n"))
-        points = np.frombuffer(b"".join(rows.column("point").to_pylist()), np.uint32)
-        points = points.reshape(-1, GROUPS).astype(np.int64)
+        fine = np.stack([fine_counts(p) for p in rows.column("point").to_pylist()])
+        points = coarse_counts(fine)
         same = rows.column("i")[0].as_py() == rows.column("j")[0].as_py()
         first = rows.column("first").to_numpy(zero_copy_only=False)
         left = np.arange(len(node)) if same else np.flatnonzero(first)
@@ -246,6 +261,8 @@ def _candidates(members: DataFrame) -> DataFrame:
                 found = found[label[found] != label[row]]
                 if same:
                     found = found[node[found] > node[row]]
+                shared = np.minimum(fine[found], fine[row]).sum(axis=1)
+                found = found[9 * shared >= 4 * (n[found] + n[row])]
                 a.append(np.minimum(node[found], node[row]))
                 b.append(np.maximum(node[found], node[row]))
         none = np.zeros(0, np.int64)
