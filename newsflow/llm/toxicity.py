@@ -21,16 +21,45 @@ from newsflow.llm.bpe import Remembered
 from newsflow.llm.text import names, small_batches
 from newsflow.session import written
 
-# Terms that name groups of people; a term is swapped for others of its row.
+# Terms that name groups of people, in lower case, with their inflected forms. A row has
+# forms of one kind, number and language; a term is swapped for the first of its row, the first for the
+# second, so these two name groups of their own.
 IDENTITY_TERMS = """women men girls boys trans nonbinary
+woman man girl boy
 gay lesbian straight bisexual queer heterosexual
-muslim christian jewish hindu buddhist atheist
-black white asian latino african european arab indian
+gays lesbians bisexuals queers heterosexuals
+muslim christian jewish jew jude hindu buddhist atheist
+muslims christians jews hindus buddhists atheists
+black white asian latino latina african european arab indian
+blacks whites asians latinos latinas africans europeans arabs indians
 immigrant refugee foreigner citizen
+immigrants refugees foreigners citizens
 old young elderly teenage
+older younger
+oldest youngest
 deaf blind disabled autistic
-frauen männer femmes hommes mujeres hombres
-muslime christen juden musulmans chrétiens juifs musulmanes cristianos judíos""".split("\n")
+frauen männer männern
+frau mann mannes
+femmes hommes
+femme homme
+mujeres hombres
+mujer hombre
+christen juden muslime muslimen
+christin jüdin muslimin muslima
+christinnen jüdinnen musliminnen
+christliche jüdische muslimische
+christlichen jüdischen muslimischen
+christlicher jüdischer muslimischer
+christliches jüdisches muslimisches
+christlichem jüdischem muslimischem
+musulmans chrétiens juifs
+musulman chrétien juif
+musulmane chrétienne juive
+chrétiennes juives
+musulmanes cristianos judíos
+musulmán cristiano judío
+musulmana cristiana judía
+musulmanas cristianas judías""".split("\n")
 
 SWAPS = {term: [o for o in row.split() if o != term] for row in IDENTITY_TERMS for term in row.split()}
 PREFIXES = (3, 4, 5, 6, 7, 8)
@@ -53,13 +82,14 @@ def features(text: str, known) -> set:
 
 
 def swapped(text: str) -> Iterator[tuple[str, str]]:
-    """Each sentence of `text` that names a group, with the sentence that names the next one."""
-    if not any(term in text for term in SWAPS):
+    """Each sentence of `text` that names a group, in whatever case, with one that names another."""
+    if SWAPS.keys().isdisjoint(_WORD.findall(text.lower())):
         return
     for sentence in _SENTENCE.findall(text):
         words = _WORD.findall(sentence)
-        if any(w in SWAPS for w in words):
-            yield sentence, " ".join([SWAPS[w][0] if w in SWAPS else w for w in words])
+        swaps = [SWAPS.get(w.lower()) for w in words]
+        if any(swaps):
+            yield sentence, " ".join([o[0] if o else w for w, o in zip(words, swaps)])
 
 
 @dataclass

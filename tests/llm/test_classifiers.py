@@ -104,3 +104,30 @@ def test_swapped_sentences():
     pairs = list(toxicity.swapped("Plain. Some gay men sang! More"))
     assert pairs == [(" Some gay men sang", "Some lesbian women sang")]
     assert list(toxicity.swapped("")) == []
+
+
+@pytest.mark.parametrize("sentence, swap", [
+    ("The Muslim council met", "The christian council met"), ("JEWS and Muslims met", "muslims and christians met"),
+    ("Women met", "men met"), ("Die Männer und Juden", "Die frauen und christen"),
+    ("two lesbians, three immigrants", "two gays three refugees"), ("Les femmes parlent", "Les hommes parlent"),
+    ("die Muslime", "die christen"), ("los judíos", "los musulmanes"), ("A Jew's house", "A muslim s house")])
+def test_identity_terms_in_any_case_and_number(sentence, swap):
+    assert list(toxicity.swapped(sentence)) == [(sentence, swap)]
+
+
+def test_each_identity_term_has_one_row():
+    terms = [t for row in toxicity.IDENTITY_TERMS for t in row.split()]
+    assert len(terms) == len(set(terms)) == len(toxicity.SWAPS)
+    assert all(t == t.lower() and toxicity.SWAPS[t] for t in terms)
+
+
+def test_swapping_capitalised_terms_changes_little(spark):
+    insults = [(f"You are a stupid person number {i} from the town of Muslims", 1) for i in range(60)]
+    neutral = [(f"The council of the town met {i} times", 0) for i in range(60)]
+    sample = spark.createDataFrame(insults + neutral + [("Christians met", 0)] * 5, "text string, y int")
+    gaps = []
+    for invariance in (0.0, 10.0):
+        score = toxicity.fit_toxicity(sample, invariance=invariance).scorer()
+        a, b = score(["Muslims met", "Christians met"])
+        gaps.append(abs(a - b))
+    assert gaps[1] < 0.5 * gaps[0]
