@@ -37,6 +37,19 @@ toolbar widget""".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 REGIONS = ("article", "main")
 
+# Fixed values for elements that end without an end tag, as in HTML.
+WALLS = frozenset("table caption td th object template".split())  # most end tags reach no further out
+LISTS = frozenset("ul ol menu dl".split())
+ROWS = frozenset("caption tbody thead tfoot tr td th".split())  # parts of the table they are in
+STRONG = BLOCKS | BOILERPLATE  # end tags of other elements do not end these
+#: What a start tag ends, of the elements in its list, table or cell.
+ENDS = ({name: ("p",) for name in """address article aside blockquote center details dialog div dl fieldset
+figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section summary table
+ul""".split()} | {"li": ("li", "p"), "dd": ("dd", "dt", "p"), "dt": ("dd", "dt", "p"),
+                  "option": ("option",), "optgroup": ("option", "optgroup"), "td": ("td", "th", "caption"),
+                  "th": ("td", "th", "caption"), "tr": ("tr", "td", "th", "caption")}
+        | {name: ("tbody", "thead", "tfoot", "tr", "caption") for name in ("tbody", "thead", "tfoot")})
+
 _TOKEN = re.compile(
     r"(?P<hidden><!--.*?(?:-->|\Z)|<(?P<raw>script|style)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)|<[!?][^>]*>)"
     r"|<(?P<close>/?)(?P<name>[a-z][^\s/>]*)(?P<rest>(?:\"[^\"<]*+\"|'[^'<]*+'|[^>])*+)>"
@@ -61,6 +74,57 @@ class Page:
         self.inside.append(inside)
 
 
+class OpenElements:
+    """The open elements of a page. Elements whose end tag is missing end as in HTML: with a sibling of
+    their kind, or with the end tag of what they stand in."""
+
+    def __init__(self):
+        self.names: list[str] = []
+        self.where: dict[str, list[int]] = {}  # places by name, and of walls, lists and strong elements
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+    def _last(self, key: str) -> int:
+        places = self.where.get(key)
+        return places[-1] if places else -1
+
+    def _keys(self, name: str) -> list[str]:
+        return [name, *[key for key, kinds in (("/wall", WALLS), ("/list", LISTS), ("/strong", STRONG))
+                        if name in kinds]]
+
+    def _cut(self, size: int) -> None:
+        while len(self.names) > size:
+            for key in self._keys(self.names.pop()):
+                self.where[key].pop()
+
+    def before(self, name: str) -> None:
+        """Ends what the start tag `name` ends."""
+        if name in ROWS:
+            bound = self._last("table")
+        else:
+            bound = max(self._last("/wall"), self._last("/list"))
+        places = [at for at in map(self._last, ENDS.get(name, ())) if at > bound]
+        if places:
+            self._cut(min(places))
+
+    def start(self, name: str) -> None:
+        for key in self._keys(name):
+            self.where.setdefault(key, []).append(len(self.names))
+        self.names.append(name)
+
+    def end(self, name: str, within: int) -> None:
+        """Ends the last `name` and all in it. What is open up to the place `within` is left out: the end
+        tag of that element counts wherever it stands."""
+        at = self._last(name)
+        bound = self._last("table" if name in ROWS or name == "table" else "/wall")
+        if name == "li":
+            bound = max(bound, self._last("/list"))
+        if at < max(bound, 0) or (name not in STRONG and at != within and self._last("/strong") > at):
+            return
+        self._cut(at)
+
+
 def _boilerplate(name: str, rest: str, inside: bool) -> bool:
     if name in BOILERPLATE or (name == "header" and not inside):
         return True
@@ -77,38 +141,45 @@ def _boilerplate(name: str, rest: str, inside: bool) -> bool:
 
 
 def read_page(source: str) -> Page:
-    """The tokens of a page. A left-out element ends with its end tag, or where the body, the article
-    or the main part begins or ends."""
-    page, inside, skipped, depth = Page(), 0, "", 0
+    """The tokens of a page. A left-out element ends with its end tag, where HTML ends it without one, or
+    where the body, the article or the main part begins or ends."""
+    page, inside, opened, skipped = Page(), 0, OpenElements(), -1  # place of the left-out element
     end = source.rfind(">") + 1  # no tag begins after the last one ends
     for token in _TOKEN.finditer(source[:end]):
         name = (token["name"] or "").lower()
         if token["hidden"]:
             continue
         if not name:
-            if not skipped:
+            if skipped < 0:
                 text = html.unescape(token["text"])
                 page.add("word", len(text.split()), text, inside > 0)
             continue
-        close = bool(token["close"])
+        close, rest = bool(token["close"]), token["rest"] or ""
+        lasts = not close and name not in VOID and not rest.endswith("/")
+        was = skipped
         if name in ("body", *REGIONS):
-            skipped = ""
-        elif skipped:
-            if name == skipped and not (token["rest"] or "").endswith("/"):
-                depth += -1 if close else 1
-                if not depth:
-                    skipped = ""
+            skipped = -1
+        if close:
+            opened.end(name, skipped)
+        else:
+            opened.before(name)
+        if len(opened) <= skipped:
+            skipped = -1
+        at = len(opened)
+        if lasts:
+            opened.start(name)
+        if skipped >= 0 or (close and was >= 0 and name not in ("body", *REGIONS) and at == was):
             continue
         if name in REGIONS:
             inside = max(0, inside + (-1 if close else 1))
             page.regions += inside == 1 and not close
-        elif not close and name not in VOID and _boilerplate(name, token["rest"] or "", inside > 0):
+        elif not close and name not in VOID and _boilerplate(name, rest, inside > 0):
             page.add(f"-{name}", 1, None, inside > 0)
-            if not (token["rest"] or "").endswith("/"):
-                skipped, depth = name, 1
+            if lasts:
+                skipped = at
             continue
         page.add(f"<{name}", 1, None, inside > 0)
-    if source[end:] and not skipped:
+    if source[end:] and skipped < 0:
         text = html.unescape(source[end:])
         page.add("word", len(text.split()), text, inside > 0)
     return page

@@ -73,3 +73,24 @@ def test_given_pages_keep_their_articles_only(spark):
         words = html.html.unescape(inside.replace("<", " <").replace(">", "> ")).split()
         want = [w for w in words if w not in ("<p>", "</p>", "<b>", "</b>", "<br>", "<h1>", "</h1>")]
         assert row.text.split() == want
+
+
+@pytest.mark.parametrize("body, want", [
+    ('<article><p class="notice">Note<p>Real one</p><p>Real two</p></article>', "Real one\nReal two"),
+    ('<article><p>Real one<p class="notice">Note<p>Real two<p>Real three</article>',
+     "Real one\nReal two\nReal three"),
+    ('<article><p class="notice">Note <b>this<div>Real one</div><p>Real two</article>', "Real one\nReal two"),
+    ('<article><ul><li class="ad">Buy<ul><li>now<li>here</ul><li>One<li>Two</ul><p>Three</article>',
+     "One\nTwo\nThree"),
+    ('<article><ul><li>One<li class="ad">Buy</ul><p>Two and more words</article>', "One\nTwo and more words"),
+    ('<article><dl><dt class="ad">Buy<dd>One<dt>Two<dd class="ad">Now</dl>Three and four</article>',
+     "One\nTwo\nThree and four"),
+    ('<article><table><tr class="ad"><td>Buy<p>it<td>now<tr><td class="ad">Ad<td>One<tr><td>Two</table>'
+     "Three and four</article>", "One\nTwo\nThree and four"),
+    ('<article><table><tr><td class="ad"><table><tr><td>Buy<tr><td>now</table>it<td>One</table>Two words'
+     "</article>", "One\nTwo words"),
+    ('<article><div><nav>menu without end</div><p>One</p></article>', "One"),
+    ('<article><p>One <span class="ad">buy</p><p>Two</p></article>', "One\nTwo"),
+    ('<article><div class="ad"><div>buy</div></p></b>now</div>One</article>', "One")])
+def test_left_out_elements_end_without_end_tags(body, want):
+    assert html.main_text(_page(body), html.Weights()) == want
