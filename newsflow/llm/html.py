@@ -3,7 +3,10 @@
 A page is read as a row of tokens. Visible words score positive and tags negative; the weights are
 log-odds counted on labelled pages, those that mark their own article. One linear scan finds the
 contiguous stretch with the largest sum. Elements that are never article text (menus, forms, adverts,
-comments and the like) are one token each, and their text is left out wherever they stand.
+comments and the like) are one token each, and their text is left out wherever they stand. Those known by
+their class or id only are left out where the class or id names nothing else and the elements of this name
+hold at most half of the page's words. An element where such a word is part of a longer name stays; its
+words score lower, and the scan decides.
 """
 
 from __future__ import annotations
@@ -34,6 +37,12 @@ PARTS = frozenset("""ad ads advert advertisement adverts advertising banner brea
 comments consent cookie cookies disqus footer masthead menu modal nav navbar navigation newsletter notice
 notices popup promo promotion related respond share sharing sidebar social sponsor sponsored subscribe
 toolbar widget""".split())
+# With names of parts only these stand in names that mean the part itself ("site-footer", "ad-slot").
+PLAIN = frozenset("""area bar block box bottom button buttons container group item items left link links list
+right site slot top unit wrap wrapper""".split())
+CONTENT = frozenset("article body content entry post story text".split())
+FAINT = 0.25  # what a word counts in an element whose name holds that of a part
+BORDER = -2.0  # score of entering or leaving such elements, unless the pages tell
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 REGIONS = ("article", "main")
 
@@ -57,21 +66,81 @@ _TOKEN = re.compile(
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 
 
+@dataclass
+class Part:
+    """An element with a class or id that names parts: `whole`, or within longer names only."""
+
+    parent: int
+    name: str
+    whole: frozenset[str]
+    inside: bool
+
+
 @dataclass
 class Page:
-    """Tokens of a page: class of each, words of each, and the text of visible ones."""
+    """Tokens of a page: class of each, words of each, the text of visible ones, and the part each is in."""
 
     kinds: list[str] = field(default_factory=list)
     sizes: list[int] = field(default_factory=list)
     texts: list[str | None] = field(default_factory=list)
     inside: list[bool] = field(default_factory=list)
+    part: list[int] = field(default_factory=list)
+    parts: list[Part] = field(default_factory=list)
     regions: int = 0
 
-    def add(self, kind: str, size: int, text: str | None, inside: bool) -> None:
+    def add(self, kind: str, size: int, text: str | None, inside: bool, part: int = -1) -> None:
         self.kinds.append(kind)
         self.sizes.append(size)
         self.texts.append(text)
         self.inside.append(inside)
+        self.part.append(part)
+
+    def judged(self) -> Page:
+        """The page with each part left out, faint or as it was.
+
+        A name that more than half of the words are under says nothing: its parts stay, unless they stand
+        outside of an article or main part that has a tenth of the page's words.
+        """
+        if not self.parts:
+            return self
+        held, total, region = [0] * len(self.parts), 0, 0
+        named: list[frozenset[str]] = []  # names of a part and those around it; "" for longer names
+        for p in self.parts:
+            around = named[p.parent] if p.parent >= 0 else frozenset()
+            named.append(around | (p.whole or {""}))
+        for kind, size, inside, part in zip(self.kinds, self.sizes, self.inside, self.part):
+            if kind == "word":
+                total += size
+                region += size if inside and (part < 0 or named[part] == {""}) else 0
+                if part >= 0:
+                    held[part] += size
+        for i in range(len(held) - 1, -1, -1):
+            if self.parts[i].parent >= 0:
+                held[self.parts[i].parent] += held[i]
+        under = Counter()
+        for i, p in enumerate(self.parts):
+            for name in named[i] - (named[p.parent] if p.parent >= 0 else frozenset()):
+                under[name] += held[i]
+        gone, faint = [], []
+        for p in self.parts:
+            most = any(2 * under[name] > total for name in p.whole or ("",))
+            beside = not p.inside and 10 * region >= max(total, 1)
+            gone.append((p.parent >= 0 and gone[p.parent]) or (bool(p.whole) and (beside or not most)))
+            faint.append((p.parent >= 0 and faint[p.parent]) or not (p.whole or most))
+        out, begun, was_faint = Page(regions=self.regions), -1, False
+        for kind, size, text, inside, part in zip(self.kinds, self.sizes, self.texts, self.inside, self.part):
+            new, begun = part > begun, max(part, begun)  # parts are numbered as they begin
+            parent = self.parts[part].parent if part >= 0 else -1
+            if part >= 0 and gone[part]:
+                if new and (parent < 0 or not gone[parent]):
+                    out.add(f"-{self.parts[part].name}", 1, None, inside)
+                continue
+            is_faint = part >= 0 and faint[part]
+            if is_faint != was_faint:
+                out.add("~", 1, None, inside)
+            was_faint = is_faint
+            out.add("faint" if is_faint and kind == "word" else kind, size, text, inside)
+        return out
 
 
 class OpenElements:
@@ -128,22 +197,32 @@ class OpenElements:
 def _boilerplate(name: str, rest: str, inside: bool) -> bool:
     if name in BOILERPLATE or (name == "header" and not inside):
         return True
+    return name not in ("html", "body", *REGIONS) and any(
+        key.lower() == "role" and value.strip("\"'").lower() in ROLES for key, value in _NAMED.findall(rest))
+
+
+def _naming(name: str, rest: str) -> frozenset[str] | None:
+    """The parts that a class or id names as a whole; none if only longer names hold them, or beside a
+    name of content; null if no part is named."""
     if name in ("html", "body", *REGIONS):
-        return False
+        return None
+    whole, longer, content = set(), False, False
     for key, value in _NAMED.findall(rest):
-        value = value.strip("\"'").lower()
-        if key.lower() == "role":
-            if value in ROLES:
-                return True
-        elif not PARTS.isdisjoint(re.split(r"[^a-z]+", value)):
-            return True
-    return False
+        for item in value.strip("\"'").lower().split() if key.lower() != "role" else ():
+            words = set(re.findall("[a-z]+", item))
+            found = words & PARTS
+            if found and words <= PARTS | PLAIN:
+                whole |= found
+            longer |= bool(found)
+            content |= not found and not words.isdisjoint(CONTENT)
+    return frozenset(() if content else whole) if longer else None
 
 
 def read_page(source: str) -> Page:
-    """The tokens of a page. A left-out element ends with its end tag, where HTML ends it without one, or
-    where the body, the article or the main part begins or ends."""
+    """The tokens of a page. An element that may be left out ends with its end tag, where HTML ends it
+    without one, or where the body, the article or the main part begins or ends."""
     page, inside, opened, skipped = Page(), 0, OpenElements(), -1  # place of the left-out element
+    named: list[tuple[int, int]] = []  # places and numbers of the open parts
     end = source.rfind(">") + 1  # no tag begins after the last one ends
     for token in _TOKEN.finditer(source[:end]):
         name = (token["name"] or "").lower()
@@ -152,37 +231,46 @@ def read_page(source: str) -> Page:
         if not name:
             if skipped < 0:
                 text = html.unescape(token["text"])
-                page.add("word", len(text.split()), text, inside > 0)
+                page.add("word", len(text.split()), text, inside > 0, named[-1][1] if named else -1)
             continue
         close, rest = bool(token["close"]), token["rest"] or ""
         lasts = not close and name not in VOID and not rest.endswith("/")
         was = skipped
         if name in ("body", *REGIONS):
-            skipped = -1
+            skipped, named = -1, []
         if close:
-            opened.end(name, skipped)
+            opened.end(name, skipped if skipped >= 0 or not named else named[-1][0])
         else:
             opened.before(name)
-        if len(opened) <= skipped:
+        at, own = len(opened), -1
+        if at <= skipped:
             skipped = -1
-        at = len(opened)
+        while named and at <= named[-1][0]:
+            place, number = named.pop()
+            own = number if close and place == at else -1  # its own end tag
         if lasts:
             opened.start(name)
         if skipped >= 0 or (close and was >= 0 and name not in ("body", *REGIONS) and at == was):
             continue
+        part = own if own >= 0 else named[-1][1] if named else -1
         if name in REGIONS:
             inside = max(0, inside + (-1 if close else 1))
             page.regions += inside == 1 and not close
         elif not close and name not in VOID and _boilerplate(name, rest, inside > 0):
-            page.add(f"-{name}", 1, None, inside > 0)
+            page.add(f"-{name}", 1, None, inside > 0, part)
             if lasts:
                 skipped = at
             continue
-        page.add(f"<{name}", 1, None, inside > 0)
+        elif not close and name not in VOID and (whole := _naming(name, rest)) is not None:
+            page.parts.append(Part(part, name, whole, inside > 0))
+            part = len(page.parts) - 1
+            if lasts:
+                named.append((at, part))
+        page.add(f"<{name}", 1, None, inside > 0, part)
     if source[end:] and skipped < 0:
         text = html.unescape(source[end:])
-        page.add("word", len(text.split()), text, inside > 0)
-    return page
+        page.add("word", len(text.split()), text, inside > 0, named[-1][1] if named else -1)
+    return page.judged()
 
 
 @dataclass
@@ -225,7 +313,8 @@ def main_text(source: str | None, weights: Weights) -> str:
     page = read_page(source or "")
     tags = weights.tags
     first, end = best_stretch(np.array([
-        weights.word * n if k == "word" else tags.get(k, weights.other)
+        weights.word * n if k == "word" else weights.word * FAINT * n if k == "faint"
+        else tags.get(k, BORDER if k == "~" else weights.other)
         for k, n in zip(page.kinds, page.sizes)]))
     blocks, parts = [], []
     for kind, text in zip(page.kinds[first:end], page.texts[first:end]):
@@ -257,8 +346,9 @@ def fit_weights(pages: DataFrame, key: str = "page_id", source: str = "html", si
                 page = read_page(text)
                 if page.regions != 1:
                     continue
-                pages_with.update(set(page.kinds))
-                for kind, n, inside in zip(page.kinds, page.sizes, page.inside):
+                kinds = ["word" if k == "faint" else k for k in page.kinds]
+                pages_with.update(set(kinds))
+                for kind, n, inside in zip(kinds, page.sizes, page.inside):
                     seen[not inside][kind] += n
             kinds = list(pages_with)
             yield pa.RecordBatch.from_arrays(

@@ -91,6 +91,30 @@ def test_given_pages_keep_their_articles_only(spark):
      "</article>", "One\nTwo words"),
     ('<article><div><nav>menu without end</div><p>One</p></article>', "One"),
     ('<article><p>One <span class="ad">buy</p><p>Two</p></article>', "One\nTwo"),
-    ('<article><div class="ad"><div>buy</div></p></b>now</div>One</article>', "One")])
+    ('<article><div class="ad"><div>buy</div></p></b>now</div>One and more</article>', "One and more")])
 def test_left_out_elements_end_without_end_tags(body, want):
     assert html.main_text(_page(body), html.Weights()) == want
+
+
+LONG = "<p>" + " ".join(f"word{i}" for i in range(60)) + "</p>"
+TEXT = LONG[3:-4]
+
+
+@pytest.mark.parametrize("body, want", [
+    (f'{MENU}<div class="content has-sidebar">{LONG}{LONG}</div>{FOOT}', [TEXT, TEXT]),
+    (f'<div class="entry-content social-share-enabled">{LONG}</div>', [TEXT]),
+    (f'<div class="entry-content social">{LONG}</div><p>end', [TEXT, "end"]),
+    (f'<div class="widget">{LONG}<div class="ad">buy</div>{LONG}</div>', [TEXT, TEXT]),
+    (f"<article>{f'<div class=\"elementor-widget elementor-widget-text-editor\">{LONG}</div>' * 6}</article>",
+     [TEXT] * 6),
+    (f'<article>{LONG}<div class="elementor-widget-text-editor">{LONG}</div>{LONG}</article>', [TEXT] * 3),
+    (f'<article>{LONG}{LONG}<div class="elementor-widget-text-editor">{LONG}</div></article>', [TEXT] * 3),
+    (f"<article>{f'<div class=widget>{LONG}</div>' * 5}</article>", [TEXT] * 5),
+    (f'<article>{LONG}</article><div id="comments">{LONG * 5}</div>', [TEXT]),
+    (f'<article>{LONG}<div class="ad-slot">buy</div>{LONG}<div class="share-buttons">x</div></article>',
+     [TEXT, TEXT]),
+    (f'<div class="my-cookie-hint">We bake</div>{LONG}<div class="site-footer">me</div>', [TEXT]),
+    (f'<div class="sidebar"><div class="widget">a <p class="ad">b</div>c</div>{LONG}', [TEXT]),
+    (f'<div role="navigation">{LONG}</div><p>rest', ["rest"])])
+def test_elements_are_left_out_by_whole_names_of_small_parts(body, want):
+    assert html.main_text(_page(body), html.Weights()).split("\n") == want
