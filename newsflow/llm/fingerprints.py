@@ -1,7 +1,7 @@
 """Document fingerprints: invertible Bloom lookup sketches of hashed paragraphs.
 
-A text is cut into paragraphs, its lines, with long lines cut every LONG code points and short ones
-every SHORT so that small texts have parts to compare. The set of their hashes is put into a sketch:
+A text is cut into paragraphs, its lines, with lines cut into pieces: at places that the content chooses, or
+every LONG code points and short ones every SHORT, so that small texts have parts to compare. The set of their hashes is put into a sketch:
 three tables of cells that each hold a count, the exclusive-or of the hashes and that of their check
 sums. Subtracting two sketches leaves the differing hashes only, and peeling reads them cell by cell.
 Where the difference is too large to peel, larger sketches are made, one per range of hashes, and a
@@ -14,6 +14,8 @@ shuffles bring together a text and its neighbour.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +24,13 @@ from newsflow.llm.text import names
 from newsflow.session import written
 
 LONG, SHORT = 140, 24
+#: Pieces of a long line end with a sentence, else after three or two characters of these kinds, else
+#: after LONG;
+#: those of a short one end at a blank after one of these letters, else after SHORT.
+LONG_PIECE = (r"(?s).{64,320}?[.!?\u3002\uff01\uff1f]+ *"
+              r"|.{64,320}?[aeostAEOST02468][bcdflmBCDFLM ][a-hA-H0-4 ]"
+              r"|.{64,320}?[a-f0-4][g-z5-9 ]|.{1,%d}" % LONG)
+SHORT_PIECE = r"(?s).{12,36}?[a-m] |.{1,%d}" % SHORT
 TABLES, CELLS, BITS = 3, 4, 2  # a hash has one cell in each table; CELLS = 2 ** BITS
 LOAD = 4  # hashes of both texts that one range should hold, at most
 ROUNDS = 9
@@ -34,9 +43,18 @@ def _shift(value: Column, by: Column | int) -> Column:
 
 def digests(text: Column) -> Column:
     """The distinct hashes of the paragraphs of `text`; the lowest bit of a hash is free."""
-    cut = lambda line, size: F.regexp_extract_all(line, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    return _digests(text, f"(?s).{{1,{LONG}}}", f"(?s).{{1,{SHORT}}}")
+
+
+def content_digests(text: Column) -> Column:
+    """Like `digests` of paragraphs whose ends the content chooses: after an insertion they line up again."""
+    return _digests(text, LONG_PIECE, SHORT_PIECE)
+
+
+def _digests(text: Column, long_piece: str, short_piece: str) -> Column:
+    cut = lambda line, piece: F.regexp_extract_all(line, F.lit(piece), F.lit(0))
     pieces = F.flatten(F.transform(F.split(text, "\n"), lambda line: F.when(
-        F.char_length(line) > LONG, cut(line, LONG)).otherwise(cut(line, SHORT))))
+        F.char_length(line) > LONG, cut(line, long_piece)).otherwise(cut(line, short_piece))))
     return F.array_distinct(F.transform(pieces, lambda p: F.xxhash64(p).bitwiseAND(F.lit(-2))))
 
 
@@ -198,14 +216,16 @@ def _neighbours(keys: DataFrame) -> DataFrame:
             .select("key", "doc_id", "n_chars", F.coalesce("within", "after").alias("next")))
 
 
-def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                          pieces: Callable[[Column], Column] = digests) -> DataFrame:
     """Per document: its id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next.
 
     The edited text has its last third replaced by the beginning of the next document's text, by
     descending id; after the last comes the first. Null texts are empty, a null id comes last, and
     rows with one id follow each other by a hash of their text. Rows that agree in id and text are one
-    document to their neighbours, and each gives its row. An empty table gives no rows.
+    document to their neighbours, and each gives its row. An empty table gives no rows. `pieces` makes the
+    set of a text: `digests` cuts at fixed places, `content_digests` where the content says.
     """
     filled = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(
@@ -218,13 +238,13 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     texts = base.select("key", "text")  # dealt by key once, for both joins
     taken = texts.join(links, "key").select(
         F.col("owner").alias("key"), "doc_id", F.substring("text", F.lit(1), cut).alias("head"),
-        digests(F.col("text")).alias("next_set"))
+        pieces(F.col("text")).alias("next_set"))
     taken = taken.groupBy("key").agg(*[F.first(c).alias(c) for c in ("doc_id", "head", "next_set")])
     rows = texts.join(taken, "key").withColumn("n_chars", F.char_length("text").cast("long"))
     rows = rows.select("doc_id", "n_chars", "next_set", "text", F.concat(
         F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")), F.col("head")).alias("edited"))
     rows = rows.select("doc_id", "n_chars", "next_set", F.sha2("edited", 256).alias("edited_sha256"),
-                       digests(F.col("text")).alias("own_set"), digests(F.col("edited")).alias("edited_set"))
+                       pieces(F.col("text")).alias("own_set"), pieces(F.col("edited")).alias("edited_set"))
     sets = ("own", "edited", "next")
     rows = rows.withColumns({f"{s}_sketch": sketch(F.col(f"{s}_set")) for s in sets})
 

@@ -144,7 +144,8 @@ def html_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_fingerprints")
 def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                              pieces=fingerprints.content_digests)
 
 
 @query("op4_jaccard_join")

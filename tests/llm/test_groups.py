@@ -5,9 +5,10 @@ import random
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
-from newsflow.llm import fingerprints, jaccard
+from newsflow.llm import fingerprints, jaccard, queries
 from newsflow.llm.components import components
 from tests.llm import plain
 
@@ -177,3 +178,37 @@ def test_fingerprints_of_one_row_and_of_none(spark):
     (row,) = fingerprints.fingerprint_documents(plain.documents(spark, [(None, "abcdef")])).collect()
     assert row.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and row.near_next == 1.0
     assert fingerprints.fingerprint_documents(plain.documents(spark, [])).collect() == []
+
+
+def _content_parts(text):
+    return {piece for line in text.split("\n") for piece in regex.findall(
+        fingerprints.LONG_PIECE if len(line) > fingerprints.LONG else fingerprints.SHORT_PIECE, line)}
+
+
+def test_fingerprints_of_pieces_that_the_content_chooses(spark):
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(1, 9)))
+    prose = " ".join(word() + r.choice(["", "", "", "", ".", "!"]) for _ in range(900))
+    plain_words = " ".join(word() for _ in range(900))
+    packed = "".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(6000))
+    rows = []
+    for text in (prose, plain_words, packed, "\n".join(prose[i:i + 120] for i in range(0, 2400, 120))):
+        rows += [text, "x" + text, text[:700] + "some new words " + text[700:]]
+    rows = list(enumerate([*rows, None, "", "abc\r\x85d\n\né. ü 。"], 1))
+    docs = plain.documents(spark, rows).repartition(3)
+    got = {x.doc_id: x for x in fingerprints.fingerprint_documents(docs, pieces=fingerprints.content_digests)
+           .collect()}
+    assert len(got) == len(rows)
+    for k, (i, text) in enumerate(rows):
+        a, b = _content_parts(text or ""), _content_parts(rows[k - 1][1] or "")
+        want = len(a & b) / len(a | b) if a | b else 1.0
+        assert abs(got[i].near_next - want) < 1e-9
+    for i in (2, 3, 5, 6, 8, 9, 11, 12):  # next to their text, or to another edit of it
+        assert got[i].near_next > 0.8
+
+
+def test_the_query_cuts_where_the_content_says(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    want = fingerprints.fingerprint_documents(docs, pieces=fingerprints.content_digests)
+    got = queries.QUERIES["op5_fingerprints"](spark, "/root/testdata/sf0.001")
+    assert sorted(got.collect()) == sorted(want.collect())
