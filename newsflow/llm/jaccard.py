@@ -176,7 +176,8 @@ class CountTree:
 
 
 def set_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: `doc_id`, `n`, `node` (hash of its set, null if empty), `point`, `keys`.
+    """Per document: `doc_id`, `n`, `node` (hash of its set, null if empty), `point`, `keys`, and `mark`, a
+    hash of its text.
 
     Within a task only the first document with a set has keys; its copies meet others through it.
     """
@@ -202,27 +203,34 @@ def set_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
                 seen[node] = True
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                 pa.array(points, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "node", "point", "keys"])
+                 pa.array(points, pa.binary()), pa.array(keys, pa.list_(pa.int64())), batch.column(2)],
+                names=["doc_id", "n", "node", "point", "keys", "mark"])
 
-    return docs.select(F.col(doc_id).alias("doc_id"), text).mapInArrow(
-        read, "doc_id long, n long, node long, point binary, keys array<long>")
+    return docs.select(F.col(doc_id).alias("doc_id"), text, F.xxhash64(text)).mapInArrow(
+        read, "doc_id long, n long, node long, point binary, keys array<long>, mark long")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, owners: DataFrame) -> DataFrame:
-    """Those of `pairs` (a, b) whose sets reach the threshold. `docs` has doc_id and text, `owners` a
-    doc_id for each node: only the sets of documents that are in a pair are made again."""
+    """Those of `pairs` (a, b) whose sets reach the threshold. `docs` has doc_id and text, `owners` the
+    doc_id (or null) and the mark of a row for each node: only the sets of documents that are in a pair are
+    made again, of rows that agree in both once in a task."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = owners.join(needed, "node", "left_semi").select("doc_id", "node")
+    wanted = owners.join(needed, "node", "left_semi").select("owner", "node")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler, seen = Shingler(), Remembered(lambda node: False)
         for batch in batches:
-            sets = [shingler(t).view(np.int64) for t in batch.column(1).to_pylist()]
+            nodes, sets = [], []
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if not seen[node]:
+                    nodes.append(node)
+                    sets.append(shingler(text).view(np.int64))
+                seen[node] = True
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+                [pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    sets = written(docs.join(wanted, "doc_id").select("node", "text")
+    same = docs["doc_id"].eqNullSafe(wanted["owner.doc_id"]) & (F.xxhash64(docs["text"]) == wanted["owner.mark"])
+    sets = written(docs.join(wanted, same).select("node", "text")
                    .mapInArrow(read, "node long, shingles array<long>"), "sets")
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
@@ -295,8 +303,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     A-Z count as a-z, words are what ASCII white space parts, and a text of fewer words than a shingle
     has is one shingle. Two documents link when 100 times the shingles in both are at least 80 times
-    those in either. A text without words, or null, links with nothing. Rows with one id are one
-    document; a null id is never a component's id unless all its documents lack one.
+    those in either. A text without words, or null, links with nothing. Rows with one id
+    have a component each, by their own texts; a null id is never a component's id unless all its documents lack one.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     points = written(set_table(docs), "points")
@@ -304,7 +312,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     shared = members.groupBy("key").count().filter("count > 1").select("key")
     buckets = written(members.join(written(shared, "keys"), "key", "left_semi").distinct(), "buckets")
     owners = points.filter("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("point").alias("point"))
+        F.min("doc_id").alias("doc_id"), F.min(F.struct("doc_id", "mark")).alias("owner"), F.first("n").alias("n"), F.first("point").alias("point"))
     # everyone in a bucket is compared with the first
     heads = written(buckets.groupBy("key").agg(F.min("node").alias("a")), "heads")
     stars = written(buckets.join(heads, "key").filter("node != a")

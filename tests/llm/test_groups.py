@@ -212,3 +212,22 @@ def test_the_query_cuts_where_the_content_says(spark):
     want = fingerprints.fingerprint_documents(docs, pieces=fingerprints.content_digests)
     got = queries.QUERIES["op5_fingerprints"](spark, "/root/testdata/sf0.001")
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_near_texts_of_null_and_repeated_ids(spark):
+    r = random.Random(2)
+    words = [[f"t{k}w{r.randrange(2000)}" for _ in range(120)] for k in range(5)]
+    near = lambda k: " ".join(_edited(words[k], 0.01, r))
+    rows = [(None, near(0)), (None, near(0)), (8, near(0)), (None, near(1)), (None, near(1)), (4, near(2)),
+            (4, near(3)), (9, near(3)), (4, near(4)), (6, near(2)), (7, near(4))]
+    rows += [rows[0]] * 3
+    got = jaccard.near_duplicates(plain.documents(spark, rows).repartition(3)).collect()
+    # brute force over rows: each has a number of its own, ids come after
+    lone = _groups([(k, t) for k, (_, t) in enumerate(rows)])
+    want = []
+    for k, (i, _) in enumerate(rows):
+        n, label = lone[k]
+        ids = [rows[m][0] for m in lone if lone[m][1] == label and rows[m][0] is not None]
+        want.append((i, n, min(ids, default=None)))
+    assert sorted(map(str, want)) == sorted(str((x.doc_id, x.n_shingles, x.component_id)) for x in got)
+    assert {w[2] for w in want} == {None, 4, 8}
