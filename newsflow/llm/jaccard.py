@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by count vectors.
+"""N-gram Jaccard join by a hash partition of the sets, and count vectors for what it leaves.
 
 A document's set holds the hashes of its distinct five-word shingles. The hashes are dealt into groups,
 and the counts of the groups are the document's point. What two sets share is at most the sum of the
@@ -7,7 +7,8 @@ ninth of both sizes, summed over all coordinates.
 
 The top level of the index uses this across the cluster: coordinates are cut into more blocks than such
 documents may differ by, so that some block, that is not empty, has the same counts in both. Documents
-meet in buckets keyed by the counts of a block. In each bucket the documents are first compared with one
+meet in buckets keyed by the sum of the hashes in a block: two meet where they hold the same shingles of a
+block, not only as many. Most candidates come from this partition of the sets. In each bucket the documents are first compared with one
 of them, which settles groups of near copies without their pairs. Where a bucket then still holds more
 than one component, an R-tree over the points of its documents gives the pairs whose bound allows a link.
 All pairs are verified on the sets themselves.
