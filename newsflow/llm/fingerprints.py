@@ -6,7 +6,8 @@ three tables of cells that each hold a count, the exclusive-or of the hashes and
 sums. Subtracting two sketches leaves the differing hashes only, and peeling reads them cell by cell.
 Where the difference is too large to peel, larger sketches are made, one per range of hashes, and a
 range that still fails is retried with four times the cells. The likeness of two texts is the Jaccard
-coefficient that the recovered difference gives.
+coefficient that the recovered difference gives. Larger sketches need the sets of both texts: two
+sketches of 12 cells as they are returned do not give a large difference.
 
 All of it is made of built-in functions. The sketches of a text are made in its own row; the only
 shuffles bring together a text and its neighbour.
