@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bpe, fingerprints, html, jaccard, lines, packing, quality, rules, samples, sharding, toxicity
+from newsflow.llm import (bpe, fingerprints, html, jaccard, lines, packing, quality, rules, samples, sharding,
+                          tokencounts, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -151,3 +152,9 @@ def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_jaccard_join")
 def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op11_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokencounts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
