@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import (bpe, fingerprints, html, jaccard, lines, packing, quality, rules, samples, sharding,
-                          tokencounts, toxicity)
+from newsflow.llm import (bpe, fingerprints, html, jaccard, lines, packing, phrases, quality, rules, samples,
+                          sharding, tokencounts, toxicity, trie)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,3 +158,69 @@ def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokencounts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+SQL_TRIE = """
+WITH o AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t,
+    row_number() OVER (PARTITION BY conv_id
+      ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+cs AS (SELECT c, xor(list_reduce([4294967295::BIGINT]
+      || list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+      lambda a, b: list_reduce([xor(a, b)] || list_transform(range(8), lambda i: 0::BIGINT),
+        lambda v, w: xor(v >> 1, (v & 1) * 3988292384))), 4294967295::BIGINT) % 9 AS h
+  FROM (SELECT DISTINCT c FROM o)),
+b AS (SELECT cs.c, o.pos AS i, r, t FROM cs JOIN o ON o.c = cs.c - cs.c % 5 AND o.pos < cs.h),
+k AS (SELECT cs.c, cs.h, count(b.i) AS k FROM cs LEFT JOIN b ON b.c = cs.c GROUP BY ALL),
+u AS (SELECT * FROM b UNION ALL
+  SELECT c, k + pos - h, r, t FROM o JOIN k USING (c) WHERE pos >= h),
+m AS (SELECT c, i + 1 AS d, strlen(t) AS size, md5(string_agg(md5(r) || md5(t), '') OVER w) AS key,
+    coalesce(md5(string_agg(md5(r) || md5(t), '') OVER (PARTITION BY c ORDER BY i
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)), '') AS up,
+    count(*) OVER (PARTITION BY c) AS turns
+  FROM u WINDOW w AS (PARTITION BY c ORDER BY i)
+  UNION ALL SELECT c, 0, 0, '', NULL, (SELECT count(*) FROM u WHERE u.c = cs.c) FROM cs),
+n AS (SELECT d, key, min(c) AS conv_id, min(up) AS up, count(*) AS n_convs, (count(*) - 1) * max(size) AS saved,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE d = turns), '')) AS ends_sha256
+  FROM m GROUP BY d, key),
+j AS (SELECT n.*, p.conv_id AS parent_conv_id, coalesce(x.n, 0) AS n_children FROM n
+  LEFT JOIN n p ON p.d = n.d - 1 AND p.key = n.up
+  LEFT JOIN (SELECT d - 1 AS d, up AS key, count(*) AS n FROM n GROUP BY ALL) x ON x.d = n.d AND x.key = n.key),
+s AS (SELECT m.d, m.key, count(*) FILTER (WHERE j.n_children = 0) AS n_leaves, sum(j.saved) AS saved_tokens
+  FROM j JOIN m ON m.c = j.conv_id AND m.d <= j.d GROUP BY ALL)
+SELECT conv_id, d::BIGINT AS depth, parent_conv_id, n_convs, n_children::BIGINT AS n_children, n_leaves,
+  saved_tokens::BIGINT AS saved_tokens, ends_sha256 FROM j JOIN s USING (d, key)"""
+
+
+@query("op12_conversation_trie", SQL_TRIE)
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+SQL_PHRASES = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, k, ws, unnest(range(len(ws) - k + 1)) AS i FROM w, range(1, 4) x(k) WHERE len(ws) >= k),
+f AS (SELECT lang, k AS words, array_to_string(ws[i + 1:i + k], ' ') AS phrase, count(*) AS n
+  FROM g GROUP BY ALL),
+t AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang),
+c AS (SELECT lang, words, phrase, n AS a, string_split(phrase, ' ') AS s FROM f WHERE words >= 2 AND n >= 10),
+q AS (SELECT lang, unnest([s[1] || ' ' || s[2], s[2] || ' ' || s[3]]) AS phrase, a FROM c WHERE words = 3),
+m AS (SELECT lang, phrase, max(a) AS longest FROM q GROUP BY ALL),
+j AS (SELECT c.* FROM c LEFT JOIN m USING (lang, phrase)
+  WHERE words = 3 OR coalesce(100 * longest < 50 * a, true)),
+u AS (SELECT j.*, k, array_to_string(s[:k], ' ') AS x, array_to_string(s[k + 1:], ' ') AS y
+  FROM j, range(1, 3) z(k) WHERE k < words),
+v AS (SELECT u.lang, u.phrase, a, k, fl.n AS l, fr.n AS r,
+    1000000::HUGEINT * a * a // (fl.n::HUGEINT * fr.n) AS score
+  FROM u JOIN f fl ON fl.lang = u.lang AND fl.phrase = x AND fl.words = k
+  JOIN f fr ON fr.lang = u.lang AND fr.phrase = y AND fr.words = u.words - k),
+b AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM o JOIN t USING (lang) WHERE rank <= 2000"""
+
+
+@query("op13_phrases", SQL_PHRASES)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
