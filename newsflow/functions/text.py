@@ -13,7 +13,6 @@ from newsflow.functions.binding import let
 
 # Patterns of the headline and summary scrub, applied in this order.
 URL = r"http[s]?://\S+"
-TAG = r"<.*?>"
 BRACKETED = r"\[.*?\]|\(.*?\)"
 BLANKS = r"\s+"
 
@@ -31,20 +30,46 @@ DATELINE = "(?U)^(?:[A-Za-z\\s\u001f]+)?\\bCNN(?: Business)?[\\s\u001f]*-[\\s\u0
 
 
 # What a dot in a pattern does not match, and characters that no text has.
-DOT_STOPS = r"(?<=[\n\r\x{85}\x{2028}\x{2029}])"
+DOT_STOPS = r"\n\r\x{85}\x{2028}\x{2029}"
 MARKS = "\ufdd0\ufdd1"
+PAIRS = ["[]", "()"]
+
+
+def _unclosed(opening: str, closing: str) -> str:
+    """A pair within a line, or (group 1) an opening without its end and the rest of its line.
+
+    What follows an opening that is never closed is consumed with it, as no later one of its kind can be closed
+    in that line either: every character is looked at once.
+    """
+    inside = rf"\{opening}[^\{closing}{DOT_STOPS}]*+"
+    return rf"{inside}\{closing}|({inside})"
 
 
 def scrub(col: Column) -> Column:
-    """Drop URLs, tags and bracketed parts, then make every run of blanks one blank."""
-    col = F.regexp_replace(col, F.lit(URL), F.lit(""))
-    col = _drop_pairs(col, TAG, ["<>"])
-    col = _drop_pairs(col, BRACKETED, ["[]", "()"])
-    return F.regexp_replace(col, F.lit(BLANKS), F.lit(" "))
+    """Drop URLs, tags and bracketed parts, then make every run of blanks one blank.
+
+    Every step is bound once and takes time linear in the text, also in texts of unmatched openings.
+    """
+    def untagged(c: Column) -> Column:
+        return F.when(c.contains("<"), F.regexp_replace(c, F.lit(_unclosed("<", ">")), F.lit("$1"))).otherwise(c)
+
+    plain = let(F.regexp_replace(col, F.lit(URL), F.lit("")), untagged)
+    return F.regexp_replace(let(plain, _drop_brackets), F.lit(BLANKS), F.lit(" "))
+
+
+def _drop_brackets(col: Column) -> Column:
+    """Drop bracketed parts; only texts with an opening that its line never closes go line by line."""
+    def left_open(opening: str, closing: str) -> Column:
+        rest = F.regexp_replace(col, F.lit(_unclosed(opening, closing)), F.lit("$1"))
+        return col.contains(opening) & rest.contains(opening)
+
+    dropped = F.regexp_replace(col, F.lit(BRACKETED), F.lit(""))
+    return (F.when(~(col.contains("[") | col.contains("(")), col)
+            .when(reduce(or_, [left_open(*pair) for pair in PAIRS]), _drop_in_lines(col)).otherwise(dropped))
 
 
-def _drop_pairs(col: Column, pattern: str, pairs: list[str]) -> Column:
-    """Drop what `pattern` matches, from an opening to the next closing character of the line.
+def _drop_in_lines(col: Column) -> Column:
+    """Drop bracketed parts of each line, from an opening to the next closing character.
 
     An opening character after the last closing one of its line matches nothing, yet the pattern would
     look through the rest of the line for each. These are hidden from it, so that the time is linear.
@@ -57,16 +82,16 @@ def _drop_pairs(col: Column, pattern: str, pairs: list[str]) -> Column:
             F.translate(F.substring(x["line"], x["end"] + 1, F.char_length(x["line"])), opening, mark)))
 
     def hidden(line: Column) -> Column:
-        for (opening, closing), mark in zip(pairs, MARKS):
+        for (opening, closing), mark in zip(PAIRS, MARKS):
             line = hide_after(line, opening, closing, mark)
         return line
 
-    openings = "".join(p[0] for p in pairs)
-    hide = F.array_join(F.transform(F.split(col, DOT_STOPS), hidden), "")
-    some = reduce(or_, [col.contains(o) for o in openings])
-    safe = F.when(some & ~reduce(or_, [col.contains(m) for m in MARKS]), hide).otherwise(col)
-    dropped = F.regexp_replace(safe, F.lit(pattern), F.lit(""))
-    return F.translate(dropped, MARKS[:len(pairs)], openings)
+    hide = F.array_join(F.transform(F.split(col, f"(?<=[{DOT_STOPS}])"), hidden), "")
+    openings = "".join(p[0] for p in PAIRS)
+    shown = F.translate(F.regexp_replace(hide, F.lit(BRACKETED), F.lit("")), MARKS, openings)
+    # a text that has the marks itself is taken as it is
+    return F.when(reduce(or_, [col.contains(m) for m in MARKS]),
+                  F.regexp_replace(col, F.lit(BRACKETED), F.lit(""))).otherwise(shown)
 
 
 def _replace_if(col: Column, parts: Iterable[str], pattern: str, to: str) -> Column:

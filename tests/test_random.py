@@ -45,8 +45,8 @@ def test_clean_body(spark):
 def test_scrub(spark):
     rng = random.Random(12)
     parts = ["http://a.b/c", "https://x", "<b>", "</b>", "<", ">", "[x]", "(y", ")", "(z)", " ", "\n", "\xa0",
-             "word", "  ", "\t"]
-    texts = ["".join(rng.choices(parts, k=rng.randrange(15))) for _ in range(2000)]
+             "word", "  ", "\t", "[", "]", "(", "\ufdd0"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(15))) for _ in range(4000)]
 
     def expected(t):
         for pattern, to in ((r"http[s]?://\S+", ""), (r"<.*?>", ""), (r"\[.*?\]|\(.*?\)", ""), (r"\s+", " ")):
