@@ -7,18 +7,15 @@ to, but not the same as, exact maximum likelihood of a regression with autoregre
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsflow.functions import linear
 from newsflow.operators import prep, series
 from newsflow.session import written
 
-FORECAST = ("symbol string, date date, model string, actual double, predicted double, "
-            "prev_close double, status string")
 OK = "ok"
 
 
@@ -39,54 +36,47 @@ def regression_rows(df: DataFrame, target: str = "close", p: int = 5, d: int = 1
     """Add the training flag and the regressors `_u` of every row of a daily series.
 
     The regressors are 1 (with `intercept`), the `p` differences before, and the differenced
-    exogenous columns of the same day.
+    exogenous columns of the same day. Two rows of a symbol on one day are an error.
     """
     w = Window.partitionBy("symbol").orderBy("date")
-    rows = differenced(series.split_fraction(df, fraction=fraction), [target, *exog], d)
+    twice = F.raise_error(F.concat_ws(" ", F.lit("more than one row of"), "symbol", F.lit("on"),
+                                      F.col("date").cast("string"))).cast("double")
+    once = F.when(F.col("date") == F.lag("date").over(w), twice).otherwise(F.col(target).cast("double"))
+    rows = differenced(series.split_fraction(df.withColumn(target, once), fraction=fraction), [target, *exog], d)
     lags = [F.lag(f"d_{target}", i).over(w) for i in range(1, p + 1)]
     constant = [F.lit(1.0)] if intercept else []
     return rows.withColumn("_u", F.array(*constant, *lags, *[F.col(f"d_{c}") for c in exog]))
 
 
+def _sums(size: int, target: str) -> list[Column]:
+    """Aggregates over the training rows: sums of products (upper triangle), with the target, and their number."""
+    whole = (F.col("is_train") & F.col(f"d_{target}").isNotNull() & ~F.exists("_u", lambda u: u.isNull()))
+    u, z = F.col("_u"), F.col(f"d_{target}")
+
+    def total(product: Column) -> Column:
+        return F.coalesce(F.sum(F.when(whole, product)), F.lit(0.0))
+
+    return [F.array(*[total(u[i] * u[j]) for i in range(size) for j in range(i, size)]).alias("gram"),
+            F.array(*[total(u[i] * z) for i in range(size)]).alias("moment"),
+            F.count(F.when(whole, True)).alias("n")]
+
+
 def normal_equations(rows: DataFrame, size: int, target: str = "close") -> DataFrame:
     """Sums of products of the training rows per symbol: one aggregate, one row per symbol."""
-    usable = rows.filter(F.col("is_train") & F.col(f"d_{target}").isNotNull()
-                         & ~F.exists("_u", lambda u: u.isNull()))
-    terms = usable.select("symbol", F.col(f"d_{target}").alias("_z"),
-                          *[F.col("_u")[i].alias(f"_u{i}") for i in range(size)])
-    gram = [F.sum(F.col(f"_u{i}") * F.col(f"_u{j}")) for i in range(size) for j in range(size) if i <= j]
-    moment = [F.sum(F.col(f"_u{i}") * F.col("_z")) for i in range(size)]
-    return terms.groupBy("symbol").agg(F.array(*gram).alias("gram"), F.array(*moment).alias("moment"),
-                                       F.count("*").alias("n"))
-
-
-def _solve(gram: np.ndarray, moment: np.ndarray, n: int) -> tuple[list[float] | None, str]:
-    size = len(moment)
-    if n <= size:
-        return None, f"too few rows: {n}"
-    full = np.zeros((size, size))
-    full[np.triu_indices(size)] = gram
-    full = full + np.triu(full, 1).T
-    scale = np.sqrt(np.where(np.diag(full) > 0, np.diag(full), 1.0))
-    try:
-        found = np.linalg.lstsq(full / np.outer(scale, scale), moment / scale, rcond=1e-12)[0] / scale
-    except np.linalg.LinAlgError as problem:
-        return None, f"no solution: {problem}"
-    if not np.isfinite(found).all():
-        return None, "no finite solution"
-    return found.tolist(), OK
+    return rows.groupBy("symbol").agg(*_sums(size, target))
 
 
-def coefficients(equations: DataFrame) -> DataFrame:
-    """Solve the normal equations; a symbol that cannot be fitted keeps its row and a status."""
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = [_solve(np.asarray(g, float), np.asarray(m, float), n)
-                     for g, m, n in zip(pdf["gram"], pdf["moment"], pdf["n"])]
-            yield pd.DataFrame({"symbol": pdf["symbol"], "n": pdf["n"],
-                                "coef": [f[0] for f in found], "status": [f[1] for f in found]})
+def coefficients(equations: DataFrame, size: int) -> DataFrame:
+    """Solve the normal equations of `size` regressors by elimination; adds `coef` and `status`.
 
-    return equations.mapInPandas(solve, "symbol string, n long, coef array<double>, status string")
+    A symbol that cannot be fitted keeps its row, with a status and no coefficients.
+    """
+    few = F.col("n") <= size
+    status = (F.when(few, F.concat(F.lit("too few rows: "), F.col("n").cast("string")))
+              .when(~linear.finite(F.col("coef")), "no finite solution").otherwise(OK))
+    return (equations.withColumn("coef", linear.solve(F.col("gram"), F.col("moment"), size))
+            .withColumn("status", status)
+            .withColumn("coef", F.when(F.col("status") == OK, F.col("coef"))))
 
 
 def fit_ar(df: DataFrame, p: int = 5, d: int = 1, fraction: float = 0.8, exog: list[str] = [],
@@ -95,63 +85,38 @@ def fit_ar(df: DataFrame, p: int = 5, d: int = 1, fraction: float = 0.8, exog: l
 
     Returns symbol, date, model, actual, predicted, prev_close, status. Rows without the target, as on
     the days of a grid before the first price, are left out before the split. Predictions feed on earlier
-    predictions, so the recursion runs per symbol over its test days; a symbol has one row per
-    business day, which bounds the group. One failing symbol gets a status and no predictions.
+    predictions: the recursion is a fold over the test days of a symbol, which has one row per business
+    day at most. One failing symbol gets a status and no predictions.
     """
     size = int(intercept) + p + len(exog)
-    # the sums and the recursion both read the rows, which may come out of a very large table
-    known = df.filter(F.col(target).isNotNull())
-    rows = written(regression_rows(known, target, p, d, exog, fraction, intercept), "regression")
-    fitted = coefficients(normal_equations(rows, size, target))
+    rows = regression_rows(df.filter(F.col(target).isNotNull()), target, p, d, exog, fraction, intercept)
     w = Window.partitionBy("symbol").orderBy("date")
-    last_train = F.max(F.when(F.col("is_train"), F.col("_t"))).over(Window.partitionBy("symbol"))
-    span = (rows.select("symbol", "date", "_t", "is_train", F.col(target).alias("_y"),
-                        *[f"d_{c}" for c in exog],
-                        F.lag(target, 1).over(w).alias("prev_close"),
-                        F.coalesce(last_train, F.lit(0)).alias("_last"))
-            .filter(F.col("_t") > F.col("_last") - (p + d)).drop("_last"))
-    names = [f"d_{c}" for c in exog]
-
-    def forecast(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        past, test = pdf[pdf["is_train"]], pdf[~pdf["is_train"]]
-        status = pdf["status"].iloc[0] or "no training rows"
-        predicted = np.full(len(test), np.nan)
-        if status == OK and len(past) >= p + d:
-            predicted = _recursion(np.asarray(pdf["coef"].iloc[0], float), past["_y"].to_numpy(float),
-                                   test[names].to_numpy(float), len(test), p, d, intercept)
-            if not np.isfinite(predicted).all():
-                status, predicted = "forecast not finite", np.full(len(test), np.nan)
-        elif status == OK:
-            status = "too few rows before the test span"
-        return pd.DataFrame({
-            "symbol": test["symbol"], "date": test["date"], "model": model, "actual": test["_y"],
-            "predicted": pd.Series(predicted, index=test.index).astype(object).where(~np.isnan(predicted), None),
-            "prev_close": test["prev_close"], "status": status})
-
-    joined = span.join(fitted.drop("n"), "symbol", "left")
-    return joined.groupBy("symbol").applyInPandas(forecast, FORECAST)
-
-
-def _recursion(coef: np.ndarray, past: np.ndarray, exog: np.ndarray, steps: int, p: int, d: int,
-               intercept: bool) -> np.ndarray:
-    """Forecast the differences one by one and sum them up to the level."""
-    levels = [past]
-    for _ in range(d):
-        levels.append(np.diff(levels[-1]))
-    ends = [level[-1] for level in levels[:d]]
-    recent = list(levels[d][-p:][::-1]) if p else []
-    out = np.empty(steps)
-    for step in range(steps):
-        u = np.concatenate([[1.0] if intercept else [], recent, exog[step]])
-        value = float(u @ coef)
-        if p:
-            recent = [value, *recent[:-1]]
-        for k in range(d - 1, -1, -1):
-            ends[k] += value
-            value = ends[k]
-        out[step] = value
-    return out
+    rows = rows.withColumn("prev_close", F.lag(target, 1).over(w)).withColumn("_level0", F.col(target))
+    for k in range(1, d):
+        rows = rows.withColumn(f"_level{k}", F.col(f"_level{k - 1}") - F.lag(f"_level{k - 1}", 1).over(w))
+    recent = F.array(*[F.lag(f"d_{target}", i).over(w) for i in range(p)]).cast("array<double>")
+    rows = rows.withColumn("_start", F.struct(
+        F.array(*[F.col(f"_level{k}") for k in range(d)]).cast("array<double>").alias("levels"),
+        recent.alias("recent")))
+    day = F.struct("date", F.col(target).alias("actual"), "prev_close",
+                   F.array(*[F.col(f"d_{c}") for c in exog]).cast("array<double>").alias("exog"))
+    test = F.collect_list(F.when(~F.col("is_train"), day))
+    # one row per symbol; the windows have put a symbol's rows together already
+    fitted = coefficients(rows.groupBy("symbol").agg(
+        *_sums(size, target), F.array_sort(test).alias("test"),
+        F.max_by(F.when(F.col("is_train"), F.col("_start")), F.when(F.col("is_train"), F.col("_t"))).alias("start")),
+        size)
+    start = F.col("start")
+    steps = F.transform("test", lambda t: t["exog"])
+    path = linear.recursion(steps, start["levels"], start["recent"], F.col("coef"), p, d, intercept)
+    status = (F.when(F.col("status") != OK, F.col("status"))
+              .when(~linear.finite(F.concat(start["levels"], start["recent"])), "too few rows before the test span")
+              .when(~linear.finite(F.col("path")), "forecast not finite").otherwise(OK))
+    done = (fitted.withColumn("path", F.when(F.col("status") == OK, path)).withColumn("status", status)
+            .select("symbol", "status", "path", F.posexplode("test").alias("place", "t")))
+    return done.select(
+        "symbol", "t.date", F.lit(model).alias("model"), "t.actual",
+        F.when(F.col("status") == OK, F.get("path", F.col("place"))).alias("predicted"), "t.prev_close", "status")
 
 
 # Regression on sequences, one per symbol ------------------------------------------------------------

@@ -2,8 +2,8 @@
 
 Series of at most one row per key and calendar day are small per key by nature; for them a plain
 window is right (`daily=True`). A table of articles has no such bound: one symbol may hold a third
-of all rows. There the rows of every key are cut into blocks of known size, each with a copy of the
-few rows before it, and every block is a group of its own. Both ways give the same rows.
+of all rows. There the rows of every key are cut into buckets of time, each with a copy of the
+few rows before it, and every bucket is a group of its own. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -15,8 +15,6 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from newsflow.session import written
-
 BLOCK_ROWS = 1_000_000
 Step = Callable[[WindowSpec], dict[str, Column]]
 
@@ -31,23 +29,19 @@ def attach(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(named, match, "left").drop(*[f"_key_{k}" for k in keys])
 
 
-def with_positions(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Add `_pos`, the exact row number of each row within its key, without one task per key.
+def _buckets(df: DataFrame, order: list[str], block_rows: int) -> Column:
+    """Parts of a key that follow each other in `order`: days, and blocks of an integer last column.
 
-    Rows are range-partitioned by key and order, numbered inside each partition and written to the
-    shared folder, so that the numbers survive lost executors. Only one small row per key and
-    partition goes through the running sum that turns them into positions. `order` must be unique
-    within a key.
+    A value of an integer that is unique within the key stands for one row, so a bucket has `block_rows` rows at
+    most, however many fall on a day.
     """
-    sort = [*keys, *order]
-    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
-    saved = written(ranged.withColumn("_seq", F.monotonically_increasing_id()), "positions")
-    saved = saved.withColumn("_part", F.shiftright("_seq", 33))
-    runs = saved.groupBy(*keys, "_part").agg(F.min("_seq").alias("_first"), F.count("*").alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    position = F.col("_offset") + F.col("_seq") - F.col("_first") + 1
-    return attach(saved, runs, [*keys, "_part"]).select(*df.columns, position.alias("_pos"))
+    types = dict(df.dtypes)
+    first = F.to_date(order[0]) if types[order[0]].startswith("timestamp") else F.col(order[0])
+    parts = [first.alias("first")]
+    if len(order) > 1 and types[order[-1]] in ("bigint", "int", "smallint", "tinyint"):
+        parts += [F.col(c).alias(f"then{i}") for i, c in enumerate(order[1:-1])]
+        parts.append(F.floor(F.col(order[-1]) / block_rows).alias("block"))
+    return F.struct(*parts)
 
 
 def over_rows(df: DataFrame, keys: list[str], order: list[str], steps: list[Step], before: int,
@@ -55,8 +49,11 @@ def over_rows(df: DataFrame, keys: list[str], order: list[str], steps: list[Step
     """Add window columns that look at most `before` rows back.
 
     Each step gets the window and returns columns; later steps see the columns of earlier ones, and
-    `before` must cover the whole chain. `daily` says that a key has one row per day at most; all other
-    series are cut into blocks of `block_rows`, whatever their size. Without an order there is no result, so it is required.
+    `before` must cover the whole chain. `daily` says that a key has one row per day at most. In all other
+    series every bucket (see `_buckets`) is a group of its own, with a copy of the `before` rows that precede it. Those
+    are among the last rows of the `before` buckets before it; the last rows of a bucket are found with a
+    limit that tasks apply before they send anything. `order` must be unique within a key. Without an order there
+    is no result, so it is required.
     """
     if not order:
         raise ValueError("an order is required: rows of a table have none of their own")
@@ -65,16 +62,21 @@ def over_rows(df: DataFrame, keys: list[str], order: list[str], steps: list[Step
         for step in steps:
             df = df.withColumns(step(window))
         return df
-    block = F.floor((F.col("_pos") - 1) / block_rows)
-    near_end = (F.col("_pos") - 1) % block_rows >= block_rows - before
-    blocks = F.when(near_end, F.array(block, block + 1)).otherwise(F.array(block))
-    out = (with_positions(df, keys, order)
-           .withColumn("_home", block)
-           .withColumn("_block", F.explode(blocks)))
-    window = Window.partitionBy(*keys, "_block").orderBy("_pos")
+    rows = df.withColumn("_bucket", _buckets(df, order, block_rows))
+    bucket = Window.partitionBy(*keys, "_bucket")
+    last = (rows.withColumn("_back", F.row_number().over(bucket.orderBy(*[F.desc(c) for c in order])))
+            .filter(F.col("_back") <= before))
+    ends = last.groupBy(*keys, "_bucket").agg(F.sort_array(F.collect_list(
+        F.struct((-F.col("_back")).alias("back"), F.struct(*df.columns).alias("row")))).alias("end"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(-before, -1)
+    ends = ends.select("_bucket", F.flatten(F.collect_list("end").over(earlier)).alias("end"))
+    start = F.greatest(F.size("end") - before + 1, F.lit(1))
+    copies = ends.select("_bucket", F.explode(F.slice("end", start, before)).alias("end"))
+    out = (rows.withColumn("_home", F.lit(True))
+           .unionByName(copies.select("end.row.*", "_bucket", F.lit(False).alias("_home"))))
     for step in steps:
-        out = out.withColumns(step(window))
-    return out.filter("_home = _block").drop("_pos", "_home", "_block")
+        out = out.withColumns(step(bucket.orderBy(*order)))
+    return out.filter("_home").drop("_bucket", "_home")
 
 
 # Columns over a window ------------------------------------------------------------------------

@@ -179,7 +179,7 @@ SELECT symbol, count(*) AS n, {sql_round('regr_intercept(z, l)', 'intercept', 3)
 WHERE t <= k AND z IS NOT NULL AND l IS NOT NULL GROUP BY symbol""", "prices_v")
 def ar1_coefficients(spark, d) -> DataFrame:
     rows = forecast.regression_rows(filled(spark, d).filter("close IS NOT NULL"), p=1, intercept=True)
-    found = forecast.coefficients(forecast.normal_equations(rows, 2))
+    found = forecast.coefficients(forecast.normal_equations(rows, 2), 2)
     return found.select("symbol", "n", F.round(F.col("coef")[0], 3).alias("intercept"),
                         F.round(F.col("coef")[1], 6).alias("slope"))
 
@@ -204,14 +204,58 @@ OHLCV = ["open", "high", "low", "volume"]
 SENTIMENT = ["Sentiment", "Sentiment_Diff", "Sentiment_Volatility"]
 
 
-@query("ar_forecast")
+def sql_ar(name: str, source: str, model: str, exog: list[str], lags: int = 5) -> str:
+    """The table `name`: sums of products, elimination pivot by pivot and the recursion over the test days."""
+    size = lags + len(exog)
+    z = ", ".join([f"close - lag(close) {_DAYS}) AS z", *[f"{_quoted(c)} - lag({_quoted(c)}) {_DAYS}) AS e{i}"
+                                                          for i, c in enumerate(exog)]])
+    u = ", ".join([*[f"lag(z, {i}) {_DAYS})" for i in range(1, lags + 1)], *[f"e{i}" for i in range(len(exog))]])
+    gram = ", ".join("[" + ", ".join(f"sum(u[{i}] * u[{j}])" for j in range(1, size + 1)) + "]"
+                     for i in range(1, size + 1))
+    moment = ", ".join(f"sum(u[{i}] * z)" for i in range(1, size + 1))
+    n = name
+    return f"""
+{n}_z AS (SELECT symbol, date, close, {z}, lag(close) {_DAYS}) AS prev_close, row_number() {_DAYS}) AS t,
+  floor(count(*) OVER (PARTITION BY symbol) * 0.8::DOUBLE)::BIGINT AS k FROM {source} WHERE close IS NOT NULL),
+{n}_u AS (SELECT *, [{u}]::DOUBLE[] AS u FROM {n}_z),
+{n}_g AS (SELECT symbol, [{gram}] AS g, [{moment}] AS b FROM {n}_u
+  WHERE t <= k AND z IS NOT NULL AND len(list_filter(u, lambda x: x IS NULL)) = 0 GROUP BY symbol),
+{n}_s AS (SELECT *, list_transform(g, lambda r, i: CASE WHEN r[i] > 0 THEN sqrt(r[i]) ELSE 1 END) AS s FROM {n}_g),
+{n}_e AS (SELECT symbol, s, 1 AS step, list_transform(g, lambda r, i:
+    list_append(list_transform(r, lambda v, j: v / (s[i] * s[j])), b[i] / s[i])) AS m FROM {n}_s
+  UNION ALL SELECT symbol, s, step + 1, list_transform(m, lambda r, i: CASE WHEN i = step THEN p
+    ELSE list_transform(r, lambda v, j: v - r[step] * p[j]) END)
+  FROM (SELECT *, list_transform(m[step], lambda v: CASE WHEN m[step][step] > 1e-10
+    THEN v / m[step][step] ELSE 0 END) AS p FROM {n}_e WHERE step <= {size})),
+{n}_c AS (SELECT symbol, list_transform(m, lambda r, i: r[{size + 1}] / s[i]) AS c FROM {n}_e WHERE step = {size + 1}),
+{n}_f AS (SELECT symbol, t, close AS y, list_prepend(z, u[:{lags - 1}]) AS recent FROM {n}_u WHERE t = k
+  UNION ALL SELECT symbol, t, y + v, list_prepend(v, recent[:{lags - 1}]) FROM (
+    SELECT f.symbol, w.t, y, recent, list_sum(list_transform(list_concat(recent, w.u[{lags + 1}:]),
+      lambda x, i: x * c[i])) AS v
+    FROM {n}_f f JOIN {n}_u w ON w.symbol = f.symbol AND w.t = f.t + 1 JOIN {n}_c c ON c.symbol = f.symbol)),
+{n} AS (SELECT w.symbol, date, '{model}' AS model, close AS actual, y AS predicted, prev_close
+  FROM {n}_u w JOIN {n}_f f ON f.symbol = w.symbol AND f.t = w.t WHERE w.t > w.k)"""
+
+
+def _quoted(column: str) -> str:
+    return f'"{column}"'
+
+
+def _shown(name: str) -> str:
+    return (f"SELECT symbol, date, model, actual, {sql_round('predicted', 'predicted', 2)}, prev_close, "
+            f"'ok' AS status FROM {name}")
+
+
+@query("ar_forecast", f"WITH RECURSIVE {SQL_FILLED.strip()}, {sql_ar('ar', 'filled', 'AR', []).strip()} {_shown('ar')}",
+       "prices_v")
 def ar_forecast(spark, d) -> DataFrame:
-    return forecast.fit_ar(filled(spark, d), model="AR")
+    return rounded(forecast.fit_ar(filled(spark, d), model="AR"), ["predicted"], 2)
 
 
-@query("arx_forecast_ohlcv")
+@query("arx_forecast_ohlcv", f"WITH RECURSIVE {SQL_FILLED.strip()}, "
+       f"{sql_ar('arx', 'filled', 'StockExog', OHLCV).strip()} {_shown('arx')}", "prices_v")
 def arx_forecast_ohlcv(spark, d) -> DataFrame:
-    return forecast.fit_ar(filled(spark, d), exog=OHLCV, model="StockExog")
+    return rounded(forecast.fit_ar(filled(spark, d), exog=OHLCV, model="StockExog"), ["predicted"], 2)
 
 
 def combined(spark, d) -> DataFrame:
@@ -222,19 +266,38 @@ def combined(spark, d) -> DataFrame:
     return series.join_sentiment(filled(spark, d), on_price_days)
 
 
-@query("arx_forecast_combined")
+SQL_COMBINED = f"""{SQL_FILLED.strip()}, {SQL_FEATURES.strip()},
+combined AS (SELECT f.symbol, f.date, open, high, low, close, volume, {', '.join(
+    f'coalesce("{c}", 0) AS "{c}"' for c in SENTIMENT)}
+FROM filled f LEFT JOIN (SELECT * FROM daily_features SEMI JOIN prices_v USING (symbol, date)) s
+  ON s.symbol = f.symbol AND s.date = f.date)"""
+
+
+@query("arx_forecast_combined", f"WITH RECURSIVE {SQL_COMBINED}, "
+       f"{sql_ar('arx', 'combined', 'Combined', [*OHLCV, *SENTIMENT]).strip()} {_shown('arx')}", "senti_v prices_v")
 def arx_forecast_combined(spark, d) -> DataFrame:
-    return forecast.fit_ar(combined(spark, d), exog=[*OHLCV, *SENTIMENT], model="Combined")
+    found = forecast.fit_ar(combined(spark, d), exog=[*OHLCV, *SENTIMENT], model="Combined")
+    return rounded(found, ["predicted"], 2)
+
 
+COMPARED = {"AR": [], "StockExog": OHLCV, "Combined": [*OHLCV, *SENTIMENT]}
 
-@query("ar_model_comparison")
+
+@query("ar_model_comparison", f"""
+WITH RECURSIVE {SQL_COMBINED}, {', '.join(sql_ar(f'fit_{m}'.lower(), 'combined', m, x).strip() for m, x in COMPARED.items())},
+found AS ({' UNION ALL '.join(f'SELECT *, actual - predicted AS e FROM fit_{m.lower()}' for m in COMPARED)}),
+scored AS (SELECT symbol, model, avg(e * e) AS MSE, sqrt(avg(e * e)) AS RMSE, avg(abs(e)) AS MAE,
+  avg(abs(e) / greatest(abs(actual), 2.220446049250313e-16)) AS MAPE, 1 - avg(e * e) / var_pop(actual) AS R2,
+  avg(CASE WHEN sign(actual - prev_close) = sign(predicted - prev_close) THEN 1.0 ELSE 0.0 END) AS DirAcc
+  FROM found GROUP BY symbol, model)
+SELECT symbol, {', '.join(sql_round(f"max(CASE WHEN model = '{m}' THEN {x} END)", f'"{m}_{x}"', k)
+                          for m in COMPARED for x, k in DIGITS.items())} FROM scored GROUP BY symbol""",
+       "senti_v prices_v")
 def ar_model_comparison(spark, d) -> DataFrame:
-    models = ["AR", "StockExog", "Combined"]
     base = written(combined(spark, d), "series")
-    found = metrics.union_metrics([
-        forecast.fit_ar(base, exog=exog, model=model)
-        for model, exog in zip(models, ([], OHLCV, [*OHLCV, *SENTIMENT]))])
-    return metrics.model_comparison(metrics.forecast_metrics(found), models)
+    found = metrics.union_metrics([forecast.fit_ar(base, exog=exog, model=m) for m, exog in COMPARED.items()])
+    wide = metrics.model_comparison(metrics.forecast_metrics(found, digits=None), list(COMPARED))
+    return wide.withColumns({f"{m}_{x}": F.round(f"{m}_{x}", k) for m in COMPARED for x, k in DIGITS.items()})
 
 
 @query("seq_regression_compare")

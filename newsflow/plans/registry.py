@@ -30,6 +30,8 @@ def with_views(sql: str, views: str) -> str:
     if not named:
         return sql
     sql = sql.strip()
+    if sql.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {', '.join(named)}, {sql[15:]}"
     if sql.upper().startswith("WITH "):
         return f"WITH {', '.join(named)}, {sql[5:]}"
     return f"WITH {', '.join(named)} {sql}"

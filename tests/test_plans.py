@@ -10,8 +10,7 @@ from newsflow.plans.views import view
 
 FOLDER = "/root/testdata/sf0.001"
 PYTHON = {"score_map_partitions", "score_map_top1", "score_errors", "score_pandas_udf", "score_struct",
-          "extract_page_fields", "extract_paragraphs", "ar1_coefficients", "ar1_forecast", "ar_forecast",
-          "arx_forecast_ohlcv", "arx_forecast_combined", "ar_model_comparison"}
+          "extract_page_fields", "extract_paragraphs"}
 WRITING = {n for n in QUERIES if n.startswith(("sink_", "scan_", "stream_"))} | {
     "read_partition", "land_by_year", "sql_view", "price_json_unpivot", "seq_regression_compare",
     "seq_regression_line", "merge_equals_days"}

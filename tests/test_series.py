@@ -103,21 +103,31 @@ def collected(df):
     return sorted(rows, key=lambda r: r[columns.index("event_id")])
 
 
-def test_positions_are_exact(spark, articles):
-    w = Window.partitionBy("symbol").orderBy(*ORDER)
-    out = series.with_positions(articles, KEYS, ORDER).withColumn("want", F.row_number().over(w))
-    assert out.count() == articles.count()
-    assert out.filter("_pos <> want").isEmpty()
-
-
-@pytest.mark.parametrize("block_rows", [6, 7, 50, 10_000])
-def test_blocks_equal_plain_window(spark, articles, block_rows):
-    plain = series.sentiment_features(articles, KEYS, ORDER, 10_000)
-    blocks = series.sentiment_features(articles, KEYS, ORDER, block_rows)
-    for a, b in zip(collected(plain), collected(blocks), strict=True):
+def first_of_six(window):
+    return {"first": F.first("event_id").over(window.rowsBetween(-6, 0)), "n": F.count("*").over(window.rowsBetween(-6, 0)),
+            "back": F.lag("date", 6).over(window)}
+
+
+@pytest.mark.parametrize("block_rows", [1, 6, 7, 50, 10_000])
+def test_buckets_equal_plain_window(spark, articles, block_rows):
+    late = articles.limit(20).select((F.col("event_id") + 1000).alias("event_id"), "symbol", "finbert_positive",
+                                     "finbert_negative", F.lit(None).cast("date").alias("date"))
+    articles = articles.unionByName(late)
+    plain = series.over_rows(articles, KEYS, ORDER, [first_of_six], 6, daily=True)
+    buckets = series.over_rows(articles, KEYS, ORDER, [first_of_six], 6, block_rows=block_rows)
+    assert collected(plain) == collected(buckets)
+    one, many = (series.sentiment_features(articles, KEYS, ORDER, n) for n in (10_000, block_rows))
+    for a, b in zip(collected(one), collected(many), strict=True):
         assert a == pytest.approx(b, nan_ok=True)
 
 
+def test_buckets_of_sparse_times(spark):
+    rows = [("A", dt.datetime(2025, 3, 1 + i * 3, i), i) for i in range(9)] + [("B", None, 1)]
+    df = spark.createDataFrame(rows, "symbol string, date timestamp, event_id long")
+    plain = series.over_rows(df, KEYS, ["date"], [first_of_six], 6, daily=True)
+    assert collected(series.over_rows(df, KEYS, ["date"], [first_of_six], 6)) == collected(plain)
+
+
 @pytest.mark.parametrize("partitions", ["1", "2", "17"])
 def test_partition_count_does_not_matter(spark, articles, partitions):
     want = collected(series.sentiment_features(articles, KEYS, ORDER, 20))
