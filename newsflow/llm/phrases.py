@@ -30,9 +30,9 @@ from newsflow.session import written
 #: Bits of the hash that the bitmap of survivors has a place for (16 MB), whatever the corpus.
 BITMAP_BITS = 27
 #: n-grams that a hash partition is planned for, and that a task holds before it sends a summary.
-PARTITION_MASS, BUFFER = 1 << 24, 4_000_000
-#: Different phrases that a task counts before it sends them on.
-COUNTED = 1_000_000
+PARTITION_MASS, BUFFER = 1 << 24, 3_000_000
+#: Different phrases that a task counts before it sends them on, and words that it looks at together.
+COUNTED, WORDS = 400_000, 100_000
 LONGEST = 3
 
 # What ends a piece, and what words consist of.
@@ -51,16 +51,18 @@ class Reader:
     """Words of a task's texts and the hashes of their n-grams."""
 
     def __init__(self):
-        self.codes = Remembered(lambda w: 0 if w in PIECE_ENDS else xxhash.xxh3_64_intdigest(w) | 1)
+        self.codes = Remembered(lambda w: 0 if w in PIECE_ENDS else xxhash.xxh3_64_intdigest(w) | 1, 250_000)
 
-    def by_lang(self, batch: pa.RecordBatch) -> dict[str, list[str]]:
-        """Per language the words of all texts; a piece end stands after every piece."""
+    def by_lang(self, batch: pa.RecordBatch) -> Iterator[tuple[str, list[str]]]:
+        """Words of whole texts of a language, some texts at a time; a piece end stands after every piece."""
         words: dict[str, list[str]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             some = words.setdefault(lang, [])
-            some += TOKEN.findall(text)
+            some += TOKEN.findall(text.as_py())
             some.append(".")
-        return words
+            if len(some) > WORDS:
+                yield lang, words.pop(lang)
+        yield from words.items()
 
     def hashes(self, lang: str, words: list[str]) -> list[np.ndarray]:
         """For 1 to LONGEST words: the hash of the n-gram that begins at each place, 0 where none does."""
@@ -142,7 +144,7 @@ def summaries(texts: DataFrame, partition_bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, held, size = Reader(), [], 0
         for batch in batches:
-            for lang, words in reader.by_lang(batch).items():
+            for lang, words in reader.by_lang(batch):
                 for hashes in reader.hashes(lang, words):
                     hashes = hashes[hashes != 0]
                     held.append(hashes)
@@ -216,7 +218,7 @@ def counted(texts: DataFrame, bitmap: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, counts, totals, bits = Reader(), {}, Counter(), bitmap
         for batch in batches:
-            for lang, words in reader.by_lang(batch).items():
+            for lang, words in reader.by_lang(batch):
                 for n, hashes in enumerate(reader.hashes(lang, words), 1):
                     if n == 1:
                         totals[lang] += int(np.count_nonzero(hashes))

@@ -44,6 +44,7 @@ def random_docs(seed, size=300):
 def test_random_documents(spark, monkeypatch, partition_mass, buffer):
     monkeypatch.setattr(phrases, "PARTITION_MASS", partition_mass)
     monkeypatch.setattr(phrases, "BUFFER", buffer)
+    monkeypatch.setattr(phrases, "WORDS", 30 if buffer == 1000 else 100_000)
     monkeypatch.setattr(phrases, "COUNTED", 50 if buffer == 1000 else 1_000_000)
     rows = random_docs(buffer)
     docs = spark.createDataFrame([(*r, "x") for r in rows], "lang string, text string, n string").repartition(5)
