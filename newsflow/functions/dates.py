@@ -62,3 +62,16 @@ def calendar_date(col: Column) -> Column:
 def year_in_name(col: Column) -> Column:
     """First four digits of a file name, null when it has none."""
     return F.nullif(F.regexp_extract(col, r"(\d{4})", 1), F.lit("")).cast("int")
+
+
+_ISO = r"^(\d{4})-?(\d{2})-?(\d{2})(?:.(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?(?:Z|[+-]\d{2}(?::?\d{2}){0,2})?)?$"
+
+
+def iso_millis(col: Column) -> Column:
+    """The local time of an ISO timestamp with milliseconds and without offset; null for anything else."""
+    part = [F.regexp_extract(col, _ISO, i) for i in range(1, 8)]
+    time = [F.when(p == "", "00").otherwise(p) for p in part[3:6]]
+    written = F.concat(F.concat_ws("-", *part[:3]), F.lit("T"), F.concat_ws(":", *time), F.lit("."),
+                       F.rpad(F.substring(part[6], 1, 3), 3, "0"))
+    valid = F.try_to_timestamp(F.substring(written, 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")).isNotNull()
+    return F.when(col.rlike(_ISO) & valid, written)

@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
-from html.parser import HTMLParser
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from newsflow.functions.html import links
+from newsflow.functions.binding import let
+from newsflow.functions.dates import iso_millis
+from newsflow.functions.html import (attribute, closing_tag, inside, links, opening_tag, stripped, texts_of,
+                                     tokens, unescape)
 
 
 @dataclass(frozen=True)
@@ -23,10 +22,18 @@ class Element:
     classes: str = ""
     exact: bool = False
 
-    def matches(self, tag: str, classes: list[str]) -> bool:
-        wanted = self.classes.split()
-        return tag == self.tag and (
-            classes == wanted if self.exact else set(wanted) <= set(classes))
+    def opens(self, token: Column) -> Column:
+        """Whether a token is the opening tag of such an element."""
+        tag, wanted = opening_tag(token, self.tag), [F.lit(c) for c in self.classes.split()]
+        if not wanted:
+            return tag
+        given = F.filter(F.split(F.coalesce(attribute(token, "class"), F.lit("")), r"\s+"), lambda c: c != "")
+        fits = given == F.array(*wanted) if self.exact else F.size(F.array_except(F.array(*wanted), given)) == 0
+        return F.when(tag, fits).otherwise(False)
+
+    def inside(self, found: Column) -> Column:
+        """The tokens inside the first such element; null where there is none."""
+        return inside(found, self.tag, self.opens)
 
 
 # What stands for a missing title, body and date, and where pages keep their parts.
@@ -43,135 +50,76 @@ RELEASE_TIME = Element("p", "releaseTime")
 RELEASE_BODY = Element("div", "col-xs-12 col-sm-8 col-md-8", exact=True)
 
 
-class _Capture:
-    """Text of the first element of a kind, looked for only inside another capture if given."""
-
-    def __init__(self, kind: Element, inside: _Capture | None = None):
-        self.kind, self.inside = kind, inside
-        self.depth, self.found = 0, False
-        self.texts: list[str] = []
+def _joined(found: Column) -> Column:
+    return F.array_join(texts_of(found), "")
 
-    def opens(self, tag: str, classes: list[str]) -> None:
-        if self.depth:
-            self.depth += tag == self.kind.tag
-        elif not self.found and (self.inside is None or self.inside.depth) and (
-                self.kind.matches(tag, classes)):
-            self.found, self.depth = True, 1
 
-    def closes(self, tag: str) -> None:
-        if self.depth and tag == self.kind.tag:
-            self.depth -= 1
+def _stripped(found: Column) -> Column:
+    return F.array_join(F.transform(texts_of(found), stripped), "")
 
 
-class _Page(HTMLParser):
-    """Collects captures, the paragraphs of one of them, and the first value of a meta property.
+def _paragraphs(body: Column) -> Column:
+    """Texts of the paragraphs among tokens; a paragraph ends where the next one starts."""
+    def of(found: Column, starts: Column) -> Column:
+        def paragraph(start: Column, nth: Column) -> Column:
+            after = F.coalesce(F.get(starts, nth + 1), F.size(found)) - start - 1
+            length = F.when(F.get(found, start).endswith("/>"), 0).otherwise(after)
+            return let(F.slice(found, start + 2, length), lambda part: let(
+                F.array_position(F.transform(part, lambda x: closing_tag(x, "p")), True).cast("int"),
+                lambda end: _stripped(F.slice(part, F.lit(1), F.when(end == 0, F.size(part)).otherwise(end - 1)))))
+        return F.transform(starts, paragraph)
 
-    Comments, scripts and styles are no text. A paragraph ends where the next one starts.
-    """
+    def places(found: Column) -> Column:
+        marked = F.transform(found, lambda x, i: F.when(opening_tag(x, "p"), i))
+        return F.filter(marked, lambda i: i.isNotNull())
 
-    def __init__(self, captures: list[_Capture], body: _Capture, meta: str = ""):
-        super().__init__(convert_charrefs=True)
-        self.captures, self.body, self.meta = captures, body, meta
-        self.published: str | None = None
-        self.paragraphs: list[list[str]] = []
-        self.in_paragraph = self.hidden = False
-
-    def handle_starttag(self, tag, attrs):
-        values = dict(attrs)
-        self.hidden = tag in ("script", "style")
-        if tag == "meta" and self.published is None and values.get("property") == self.meta:
-            self.published = values.get("content")
-        for capture in self.captures:
-            capture.opens(tag, (values.get("class") or "").split())
-        if tag == "p":
-            self.in_paragraph = bool(self.body.depth)
-            if self.in_paragraph:
-                self.paragraphs.append([])
-
-    def handle_endtag(self, tag):
-        self.hidden = False
-        for capture in self.captures:
-            capture.closes(tag)
-        if tag == "p" or not self.body.depth:
-            self.in_paragraph = False
-
-    def handle_data(self, data):
-        if self.hidden:
-            return
-        for capture in self.captures:
-            if capture.depth:
-                capture.texts.append(data)
-        if self.in_paragraph:
-            self.paragraphs[-1].append(data)
-
-    def read(self, html: str | None) -> None:
-        self.feed(html or "")
-        self.close()
-
-
-def _iso_millis(text: str | None) -> str:
-    """The local time of a timestamp with millis and without offset."""
-    try:
-        return datetime.fromisoformat(text.strip()).replace(tzinfo=None).isoformat(
-            timespec="milliseconds")
-    except (AttributeError, ValueError):
-        return NO_DATE
-
-
-def _stripped(texts: list[str]) -> str:
-    return "".join(t.strip() for t in texts)
-
-
-def article_of(html: str | None, body: Element = ARTICLE_BODY) -> tuple:
-    """Title, body text and date of an article page."""
-    title, content = _Capture(TITLE), _Capture(body)
-    page = _Page([title, content], content, PUBLISHED)
-    page.read(html)
-    return ("".join(title.texts).strip() if title.found else NO_TITLE,
-            "".join(content.texts) if content.found else NO_CONTENT,
-            _iso_millis(page.published))
-
-
-def release_of(html: str | None, heading: Element = RELEASE_HEADING,
-               body: Element = RELEASE_BODY) -> tuple:
-    """Date, title, release time and paragraphs of a press release or speech page.
+    return F.array_join(let(body, lambda found: let(places(found), lambda starts: of(found, starts))), "\n")
 
-    The first three count only inside the heading; paragraphs are joined by line breaks.
-    """
-    top, content = _Capture(heading), _Capture(body)
-    fields = [_Capture(kind, inside=top) for kind in (RELEASE_DATE, RELEASE_TITLE, RELEASE_TIME)]
-    page = _Page([top, *fields, content], content)
-    page.read(html)
-    return (*[_stripped(f.texts) if f.found else None for f in fields],
-            "\n".join(_stripped(p) for p in page.paragraphs))
 
+def article_fields(html: Column, body: Element = ARTICLE_BODY) -> Column:
+    """Struct of title, body text and date of an article page."""
+    def fields(found: Column) -> Column:
+        published = F.filter(found, lambda x: F.when(
+            opening_tag(x, "meta"), (attribute(x, "property") == PUBLISHED) & attribute(x, "content").isNotNull())
+            .otherwise(False))
+        time = unescape(attribute(F.get(published, F.lit(0)), "content"))
+        return F.struct(
+            F.coalesce(stripped(_joined(TITLE.inside(found))), F.lit(NO_TITLE)).alias("title"),
+            F.coalesce(_joined(body.inside(found)), F.lit(NO_CONTENT)).alias("content"),
+            F.coalesce(iso_millis(stripped(time)), F.lit(NO_DATE)).alias("date"))
+    return let(tokens(html), fields)
 
-def _replace_page(df: DataFrame, html: str, names: list[str],
-                  parse: Callable[[str | None], tuple]) -> DataFrame:
-    """Replace the page column by the text fields that `parse` gives."""
-    kept = [f for f in df.schema.fields if f.name != html]
-    schema = T.StructType(kept + [T.StructField(n, T.StringType()) for n in names])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [parse(page) for page in pdf.pop(html)]
-            for i, name in enumerate(names):
-                pdf[name] = pd.Series([r[i] for r in rows], index=pdf.index, dtype=object)
-            yield pdf
+def release_fields(html: Column, heading: Element = RELEASE_HEADING, body: Element = RELEASE_BODY) -> Column:
+    """Struct of date, title, release time and paragraphs of a press release or speech page.
 
-    return df.mapInPandas(run, schema)
+    The first three count only inside the heading; paragraphs are joined by line breaks.
+    """
+    def fields(found: Column) -> Column:
+        kinds = {"date": RELEASE_DATE, "title": RELEASE_TITLE, "release_time": RELEASE_TIME}
+        top = let(heading.inside(found), lambda t: F.struct(*[
+            _stripped(kind.inside(t)).alias(name) for name, kind in kinds.items()]))
+        return let(top, lambda t: F.struct(
+            *[t[name].alias(name) for name in kinds],
+            F.coalesce(_paragraphs(body.inside(found)), F.lit("")).alias("content")))
+    return let(tokens(html), fields)
+
+
+def _replace_page(df: DataFrame, html: str, fields: Callable[[Column], Column]) -> DataFrame:
+    """Replace the page column by the fields of a struct."""
+    kept = [c for c in df.columns if c != html]
+    return df.select(*kept, fields(F.col(html)).alias("_page")).select(*kept, "_page.*")
 
 
 def extract_articles(df: DataFrame, html: str, body: Element = ARTICLE_BODY) -> DataFrame:
     """Replace the page by `title`, `content` and `date`; missing parts get their sentinels."""
-    return _replace_page(df, html, ["title", "content", "date"], lambda page: article_of(page, body))
+    return _replace_page(df, html, lambda page: article_fields(page, body))
 
 
 def extract_releases(df: DataFrame, html: str, heading: Element = RELEASE_HEADING,
                      body: Element = RELEASE_BODY) -> DataFrame:
     """Replace the page by `date`, `title`, `release_time` and `content`."""
-    return _replace_page(df, html, ["date", "title", "release_time", "content"],
-                         lambda page: release_of(page, heading, body))
+    return _replace_page(df, html, lambda page: release_fields(page, heading, body))
 
 
 def extract_links(df: DataFrame, url: str, html: str, suffix: str = ".pdf") -> DataFrame:

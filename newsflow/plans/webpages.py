@@ -29,14 +29,39 @@ def sql_text(c: str) -> str:
     return sql_decoded(f"regexp_replace({c}, '<[^>]*>', '', 'g')")
 
 
+# The stored pages have no times: every third gets one, in both engines.
+_DAY = "'2025-03-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0')"
+
+
 @query("extract_page_fields", f"""
 SELECT page_id, url, trim({sql_text(_TITLE)}) AS title, {sql_text(_ARTICLE)} AS content,
-  '9999-12-31' AS date FROM pages""")
+  CASE WHEN page_id % 3 = 0 THEN {_DAY} || 'T10:20:30.500' ELSE '9999-12-31' END AS date FROM pages""")
 def extract_page_fields(spark, d) -> DataFrame:
-    stored = table(spark, d, "pages").select("page_id", "url", "html")
+    time = F.concat(F.lit('<meta content="'), F.expr(_DAY.replace("VARCHAR", "STRING")),
+                    F.lit('T10:20:30.5Z" property="article:published_time"/>'))
+    stored = table(spark, d, "pages").select("page_id", "url", F.concat(
+        F.when(F.col("page_id") % 3 == 0, time).otherwise(""), "html").alias("html"))
     return pages.extract_articles(stored, "html", BODY)
 
 
+@query("extract_release_fields", f"""
+SELECT page_id, CASE WHEN page_id % 4 > 0 THEN {_DAY} END AS date,
+  CASE WHEN page_id % 4 > 0 THEN trim({sql_text(_TITLE)}) END AS title,
+  CASE WHEN page_id % 4 > 1 THEN 'at ' || CAST(page_id AS VARCHAR) END AS release_time FROM pages""")
+def extract_release_fields(spark, d) -> DataFrame:
+    """Date, title and release time inside a heading that three of four pages get in front."""
+    n = F.col("page_id")
+    title = F.regexp_extract("html", "(?s)<h1>(.*?)</h1>", 1)
+    time = F.concat(F.lit('<p class="releaseTime"> at '), n, F.lit(" </p>"))
+    heading = F.concat(
+        F.lit('<div class="heading col-xs-12 col-sm-8 col-md-8"><div><p class="article__time"> '),
+        F.expr(_DAY.replace("VARCHAR", "STRING")), F.lit(' </p></div><h3 class="title">'), title,
+        F.lit("</h3>"), F.when(n % 4 > 1, time).otherwise(""), F.lit("</div>"))
+    stored = table(spark, d, "pages").select("page_id", F.concat(
+        F.when(n % 4 > 0, heading).otherwise(""), "html").alias("html"))
+    return pages.extract_releases(stored, "html", body=BODY).drop("content")
+
+
 _STRIPPED = sql_decoded(r"regexp_replace(split_part(x, '</p>', 1), '\s*<[^>]*>\s*', '', 'g')")
 
 

@@ -9,8 +9,7 @@ from newsflow.plans.registry import QUERIES
 from newsflow.plans.views import view
 
 FOLDER = "/root/testdata/sf0.001"
-PYTHON = {"score_map_partitions", "score_map_top1", "score_errors", "score_pandas_udf", "score_struct",
-          "extract_page_fields", "extract_paragraphs"}
+PYTHON = {"score_map_partitions", "score_map_top1", "score_errors", "score_pandas_udf", "score_struct"}
 WRITING = {n for n in QUERIES if n.startswith(("sink_", "scan_", "stream_"))} | {
     "read_partition", "land_by_year", "sql_view", "price_json_unpivot", "seq_regression_compare",
     "seq_regression_line", "merge_equals_days"}

@@ -1,17 +1,23 @@
 """Readers, writers, merge, index and pages on small files."""
 
 import datetime as dt
+import html
 import json
+import random
+from html.entities import html5
 from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from newsflow.functions.dates import iso_millis
+from newsflow.functions.html import unescape as unescape_text
 from newsflow.operators import api, filters, index, news, pages
 from newsflow.schema import NEWS, NEWS_MONTHS, RAW_ARTICLES
 from newsflow.session import scratch_path, shared_dir
 from newsflow.sources import readers, writers
+from tests import page_parser
 
 
 def stories(spark, rows):
@@ -219,12 +225,50 @@ ARTICLE = """<html><head><meta property="article:published_time" content="2025-0
 <div class="wide article__content"><div>one</div><!-- no --><style>p{}</style> two</div><div>three</div>"""
 
 
-def test_article_page():
-    title, content, date = pages.article_of(ARTICLE)
-    assert (title, content, date) == ("A & B", "one two", "2025-03-17T23:34:56.123")
-    assert pages.article_of("<p>x") == ("No title", "No content", "9999-12-31")
-    assert pages.article_of(None) == ("No title", "No content", "9999-12-31")
-    assert pages.article_of('<meta property="article:published_time" content="soon">')[2] == "9999-12-31"
+PARTS = ["<h1>", "</h1>", "<p>", "</p>", "<P class='x>y'>", "<p/>", "<b>", "</b>", "<br/>", "</div>", "</DIV >",
+         '<div class="article__content">', "<div class='wide article__content'>", "<div>", '<div title="a=b" class=c>',
+         '<div class="heading col-xs-12 col-sm-8 col-md-8">', '<div class="col-xs-12 col-sm-8 col-md-8">',
+         '<p class="article__time">', "<h3 class='big title'>", '<p class="releaseTime">', "</h3>", "text", " a < b ",
+         "&amp;", "&lt;p&gt;", "&notit;", "&#233;", "&#x20AC;", "&#128;", "&nope;", "&", "\n", "\xa0", "<!-- <p> -->",
+         "<script>var x = '</p><h1>';</script>", "<style>p{}</style>", "<!DOCTYPE html>",
+         '<meta property="article:published_time" content="2025-03-17T23:34:56.123Z">',
+         "<meta property='article:published_time' content='soon'/>", "it's", '"']
+
+
+def read_pages(spark, pages_, fields):
+    rows = spark.createDataFrame(list(enumerate(pages_)), "id long, html string")
+    return [tuple(r)[1:] for r in fields(rows, "html").orderBy("id").collect()]
+
+
+def test_article_pages(spark):
+    meta = '<meta property="article:published_time" content="soon">'
+    got = read_pages(spark, [ARTICLE, "<p>x", None, meta], pages.extract_articles)
+    assert got == [("A & B", "one two", "2025-03-17T23:34:56.123"), *[("No title", "No content", "9999-12-31")] * 3]
+
+
+def test_pages_are_read_as_by_a_parser(spark):
+    rng = random.Random(4)
+    some = ["".join(rng.choices(PARTS, k=rng.randrange(40))) for _ in range(1500)] + ["<h1>a", "<div class='x", "", None]
+    for fields, plain in ((pages.extract_articles, page_parser.article_of), (pages.extract_releases, page_parser.release_of)):
+        for page, got in zip(some, read_pages(spark, some, fields), strict=True):
+            assert got == plain(page), page
+
+
+def test_character_references(spark):
+    rng = random.Random(5)
+    names = rng.sample(sorted(html5), 300)
+    texts = [f"a&{n}b &{n[:-1]} &{n}" for n in names] + [f"&#{n};&#x{n:x};&#{n}" for n in (
+        0, 1, 9, 11, 13, 38, 127, 128, 129, 150, 159, 160, 8364, 55296, 64976, 65534, 128512, 1114111, 1114112, 10 ** 9)]
+    texts += ["&#;", "&#x;", "&#xg", "&;", "&&amp;amp;", "& amp;", "&ampamp;", "&NotEqualTilde;", "&a"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(unescape_text(F.col("t")).alias("u"))
+    assert [r.u for r in df.collect()] == [html.unescape(t) for t in texts]
+
+
+def test_iso_times(spark):
+    texts = ["2025-03-17", "2025-03-17T23:34:56.123Z", "2025-03-17 23:34", "20250317T233456", "2025-03-17T23:34:56.1+02:00",
+             "2025-03-17T23:34:56.1234567", "2025-02-30", "2025-03-17T25:00", "soon", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(iso_millis(F.col("t")).alias("u"))
+    assert [r.u or "9999-12-31" for r in df.collect()] == [page_parser._iso_millis(t) for t in texts]
 
 
 def test_release_page(spark):
