@@ -34,18 +34,38 @@ def _staged(spark: SparkSession, staging: str, *folders: str) -> DataFrame:
     schema = T.StructType([*NEWS.fields, T.StructField("feed", T.StringType()),
                            T.StructField("day", T.StringType())])
     return news.with_months(spark.read.schema(schema).option("basePath", staging).parquet(
-        *[f"{staging}/{f}" for f in folders or ("",)]))
+        *[f"{staging}/{f}" for f in folders]))
 
 
-def merge(spark: SparkSession, staging: str, target: str, quarantine: str) -> DataFrame:
-    """Rebuild the months and the quarantine of rows without a date from all staged news.
+def _replace(spark: SparkSession, staging: str, staged: str, target: str, quarantine: str) -> None:
+    """Put the staged days that `staged` names into the months and the quarantine.
 
-    Returns the rows per month, null for the quarantine.
+    First everything is written, a folder at a time replacing what it was; then folders of these days that the
+    new rows no longer fill are deleted. So a write that fails leaves the table as it was, or with some days
+    new and none missing, and days that are no longer staged stay.
     """
-    dated, undated = split_undated(_staged(spark, staging))
-    writers.remove_folders(spark, f"{target}/year=*")
+    days = {writers.folder_keys(p, ["feed", "day"]) for p in writers.folders(spark, f"{staging}/{staged}")}
+    dated, undated = split_undated(_staged(spark, staging, staged))
     writers.write_days(dated, target)
     writers.write_feeds(undated.select(*NEWS_COLUMNS, "feed", "day"), quarantine, ["day", "feed"])
+    for path, pattern, rows, keys in (
+            (target, "year=*/month=*/feed=*/day=*", dated, ["year", "month", "feed", "day"]),
+            (quarantine, "day=*/feed=*", undated, ["day", "feed"])):
+        # a row per folder
+        filled = {tuple(map(str, r)) for r in rows.select(*keys).distinct().collect()}
+        for folder in writers.folders(spark, f"{path}/{pattern}"):
+            found = dict(zip(keys, writers.folder_keys(folder, keys)))
+            if (found["feed"], found["day"]) in days and tuple(found.values()) not in filled:
+                writers.remove_folders(spark, folder)
+
+
+def merge(spark: SparkSession, staging: str, target: str, quarantine: str) -> DataFrame:
+    """Put all staged news into their months and rows without a date into the quarantine.
+
+    Days that are not staged, as those that `add_day` has removed from the stage, stay as they are. Returns the
+    rows per month, null for the quarantine.
+    """
+    _replace(spark, staging, "feed=*/day=*", target, quarantine)
     return _counts(spark, target, quarantine)
 
 
@@ -57,11 +77,7 @@ def add_day(spark: SparkSession, staging: str, day: str, target: str, quarantine
     whatever their order and however often a day is added. With `remove` the staged day is deleted at
     the end. Returns the rows per month of the day.
     """
-    dated, undated = split_undated(_staged(spark, staging, f"feed=*/day={day}"))
-    writers.remove_folders(spark, f"{target}/year=*/month=*/feed=*/day={day}")
-    writers.remove_folders(spark, f"{quarantine}/day={day}")
-    writers.write_days(dated, target)
-    writers.write_feeds(undated.select(*NEWS_COLUMNS, "feed", "day"), quarantine, ["day", "feed"])
+    _replace(spark, staging, f"feed=*/day={day}", target, quarantine)
     counts = _counts(spark, target, quarantine, day)
     if remove:
         writers.remove_folders(spark, f"{staging}/feed=*/day={day}")

@@ -151,3 +151,29 @@ def merge_equals_days(spark, d) -> DataFrame:
     return news.union_feeds([
         writers.read_months(spark, f"{path}/{how}", days=True).select(F.lit(how).alias("how"), *columns)
         for how in ("merge", "days")])
+
+
+# Days are removed from the stage once they are in the table. A merge of what is staged later, of which one day
+# has become shorter, leaves them where they are.
+@query("merge_after_removal", """
+SELECT 'articles' AS feed, CAST(page_id % 4 AS VARCHAR) AS day, CAST(page_id AS VARCHAR) AS headline,
+  CAST(2025 AS INTEGER) AS year, CAST(page_id % 3 + 1 AS INTEGER) AS month FROM pages
+WHERE page_id % 9 <> 0 AND (page_id % 4 <> 2 OR page_id % 3 = 1)""")
+def merge_after_removal(spark, d) -> DataFrame:
+    path, n = scratch_path(spark, "removal"), F.col("page_id")
+    pages = table(spark, d, "pages").select(
+        "page_id", F.lit("AAPL").alias("symbol"), F.lit("CNN").alias("source"),
+        F.when(n % 9 != 0, F.concat(F.lit("2025-0"), n % 3 + 1, F.lit("-17"))).alias("datetime"),
+        n.cast("string").alias("headline"), F.lit("").alias("summary"))
+
+    def stage(day: int, kept: DataFrame) -> None:
+        rows = kept.filter(n % 4 == day).drop("page_id")
+        writers.write_staging(rows, f"{path}/staging/feed=articles/day={day}")
+
+    for day in (0, 1, 2):
+        stage(day, pages)
+        jobs.add_day(spark, f"{path}/staging", str(day), f"{path}/table", f"{path}/bad", remove=day < 2)
+    stage(2, pages.filter(n % 3 == 1))
+    stage(3, pages)
+    jobs.merge(spark, f"{path}/staging", f"{path}/table", f"{path}/bad")
+    return writers.read_months(spark, f"{path}/table", days=True).select("feed", "day", "headline", "year", "month")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,12 +80,26 @@ def write_days(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> str:
     return path
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths of the folders that a path with wildcards names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return [str(status.getPath()) for status in found if status.isDirectory()]
+
+
 def remove_folders(spark: SparkSession, pattern: str) -> int:
     """Delete the folders that a path with wildcards names; returns how many."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = files.globStatus(hadoop) or []
-    return sum(files.delete(status.getPath(), True) for status in found)
+    found = folders(spark, pattern)
+    for name in found:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(found)
+
+
+def folder_keys(path: str, keys: list[str]) -> tuple[str, ...]:
+    """The values that the last folders of `path` give `keys`, as in `year=2025/month=3`."""
+    named = dict(part.split("=", 1) for part in path.split("/")[-len(keys):])
+    return tuple(unquote(named[k]) for k in keys)
 
 
 def write_csv(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> str:

@@ -11,6 +11,7 @@ from newsflow.plans import jobs
 from newsflow.plans.views import view
 from newsflow.schema import RAW_ARCHIVE, RAW_ARTICLES, RAW_WIRE
 from newsflow.session import scratch_path
+from newsflow.sources import writers
 
 FOLDER = "/root/testdata/sf0.001"
 LEX = Lexicon(("the", "les"), ("and", "un"))
@@ -75,6 +76,55 @@ def test_days_give_what_a_merge_gives(spark):
     assert [p.name for p in Path(f"{path}/staging/feed=wire").iterdir()] == ["day=20250317"]
 
 
+def staged(spark, path, items):
+    for (feed, day), rows in items.items():
+        df = spark.createDataFrame(rows, "symbol string, source string, datetime string, headline string, summary string")
+        writers.write_staging(df, f"{path}/staging/feed={feed}/day={day}")
+
+
+def stored(spark, path):
+    rows = spark.read.parquet(f"{path}/news").select("feed", "day", "headline").collect()
+    return sorted((r.feed, str(r.day), r.headline) for r in rows)
+
+
+def test_a_merge_keeps_days_that_are_no_longer_staged(spark):
+    path = scratch_path(spark, "kept")
+    row = ("A", "x", "2025-03-17", "h", "s")
+    staged(spark, path, {("wire", "1"): [row], ("wire", "2"): [row, ("A", "x", "2025-04-01", "april", "s")],
+                         ("articles", "2"): [("A", "x", None, "undated", "s")]})
+    args = (f"{path}/news", f"{path}/bad")
+    jobs.add_day(spark, f"{path}/staging", "1", *args, remove=True)
+    jobs.add_day(spark, f"{path}/staging", "2", *args)
+    assert spark.read.parquet(f"{path}/bad").count() == 1
+    # day 2 loses its row of April and becomes clean; another feed of day 1 comes late
+    staged(spark, path, {("wire", "2"): [row], ("articles", "2"): [("A", "x", "2025-03-17", "dated", "s")],
+                         ("articles", "1"): [("A", "x", "2025-03-17", "late", "s")], ("wire", "3"): []})
+    counts = jobs.merge(spark, f"{path}/staging", *args).collect()
+    assert stored(spark, path) == [("articles", "1", "late"), ("articles", "2", "dated"), ("wire", "1", "h"), ("wire", "2", "h")]
+    assert sum(r.rows for r in counts) == 4 and not list(Path(f"{path}/bad").glob("day=*/feed=*"))
+    jobs.add_day(spark, f"{path}/staging", "1", *args)
+    assert len(stored(spark, path)) == 4
+    # a staged day without rows empties its place
+    staged(spark, path, {("wire", "2"): []})
+    jobs.merge(spark, f"{path}/staging", *args)
+    assert [r[:2] for r in stored(spark, path)] == [("articles", "1"), ("articles", "2"), ("wire", "1")]
+
+
+def test_a_write_that_fails_leaves_the_table(spark, monkeypatch):
+    path = scratch_path(spark, "failing")
+    staged(spark, path, {("wire", "1"): [("A", "x", "2025-03-17", "h", "s")]})
+    jobs.merge(spark, f"{path}/staging", f"{path}/news", f"{path}/bad")
+    before = stored(spark, path)
+    broken = F.raise_error(F.lit("no disk")).cast("string")
+    monkeypatch.setattr(jobs, "split_undated", lambda rows: (rows.withColumn("headline", broken), rows.limit(0)))
+    staged(spark, path, {("wire", "1"): [("A", "x", "2025-03-17", "new", "s")]})
+    for run in (lambda: jobs.merge(spark, f"{path}/staging", f"{path}/news", f"{path}/bad"),
+                lambda: jobs.add_day(spark, f"{path}/staging", "1", f"{path}/news", f"{path}/bad")):
+        with pytest.raises(Exception, match="no disk"):
+            run()
+        assert stored(spark, path) == before
+
+
 def test_score_and_features(spark, layers):
     path, _ = layers
     jobs.score(spark, f"{path}/news", f"{path}/scored", lexicon=LEX)
