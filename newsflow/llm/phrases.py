@@ -2,12 +2,12 @@
 
 First pass: tasks turn n-grams into 64-bit hashes and send, per hash partition, summaries of counts. A partition
 knows the mass of all its summaries before it merges them, and merges them with a capacity above
-mass / threshold, so what it takes off a count stays below the threshold and every n-gram that is frequent
+mass / threshold (ROOM times that), so what it takes off a count stays below the threshold and every n-gram that is frequent
 enough survives. Two n-grams with one hash only add survivors. What survives is a bitmap of fixed size, of which
 every partition fills its own stretch.
 
-Second pass: n-grams whose bit is set are counted by their words, so counts are exact and n-grams that
-came along by chance drop out. Where a corpus has more survivors than the bitmap has room for, more
+Second pass: n-grams whose bit is set are counted by their words, by tasks and then per hash partition of the
+phrases, so counts are exact and n-grams that came along by chance drop out. Where a corpus has more survivors than the bitmap has room for, more
 n-grams pass it and the second pass shuffles more; its result stays the same.
 """
 
@@ -31,6 +31,8 @@ from newsflow.session import written
 BITMAP_BITS = 27
 #: n-grams that a hash partition is planned for, and that a task holds before it sends a summary.
 PARTITION_MASS, BUFFER = 1 << 24, 3_000_000
+#: How many times mass / threshold a summary may hold: more than once leaves fewer rare n-grams among the survivors.
+ROOM = 4
 #: Different phrases that a task counts before it sends them on, and words that it looks at together.
 COUNTED, WORDS = 400_000, 100_000
 LONGEST = 3
@@ -184,7 +186,7 @@ def survivors(sent: DataFrame, partition_bits: int, threshold: int) -> np.ndarra
                     mass += some
                     continue
                 if summary is None:  # all masses of the partition come first
-                    summary = Summary(mass // threshold + 1)
+                    summary = Summary(ROOM * mass // threshold + 1)
                 summary.add(np.frombuffer(keys, np.uint32), np.frombuffer(counts, np.uint32).astype(np.int64))
             if out:
                 yield rows(out)
@@ -200,32 +202,43 @@ def survivors(sent: DataFrame, partition_bits: int, threshold: int) -> np.ndarra
     return bitmap.ravel()
 
 
-def counted(texts: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """Rows (lang, words, phrase, n) of all tasks for n-grams in `bitmap`; words is 0 in counts of all words."""
-    def rows(counts: dict[tuple[str, int], Counter], totals: Counter) -> Iterator[pa.RecordBatch]:
-        for (lang, n), some in counts.items():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(some), pa.string()), pa.array([n] * len(some), pa.int32()),
-                 pa.array(list(some), pa.string()), pa.array(list(some.values()), pa.int64())],
-                names=["lang", "words", "phrase", "n"])
-        if totals:
-            size = len(totals)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(totals), pa.string()), pa.array([0] * size, pa.int32()),
-                 pa.array([""] * size, pa.string()), pa.array(list(totals.values()), pa.int64())],
-                names=["lang", "words", "phrase", "n"])
+def counted(texts: DataFrame, bitmap: np.ndarray, partition_bits: int) -> DataFrame:
+    """Counts of n-grams in `bitmap` by all tasks: per hash partition of the phrases, lists of them.
+
+    A row (part, langs, phrases, of, counts) has phrases on lines, as no word contains a line break, and for each
+    the place of its language in `langs`. An empty phrase counts all words.
+    """
+    schema = "part int, langs array<string>, phrases binary, of binary, counts binary"
+
+    def rows(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        langs, parts = list(counts), {}
+        for of, some in enumerate(counts.values()):
+            for phrase, n in some.items():
+                part = xxhash.xxh3_64_intdigest(phrase) >> 32 & (1 << partition_bits) - 1
+                held = parts.setdefault(part, ([], [], []))
+                held[0].append(phrase)
+                held[1].append(of)
+                held[2].append(n)
+        if not parts:
+            return
+        columns = [("\n".join(p).encode(), np.array(o, np.int32).tobytes(), np.array(n, np.int64).tobytes())
+                   for p, o, n in parts.values()]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(parts), pa.int32()), pa.array([langs] * len(parts), pa.list_(pa.string())),
+             *[pa.array(c, pa.binary()) for c in zip(*columns)]],
+            names=["part", "langs", "phrases", "of", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, counts, totals, bits = Reader(), {}, Counter(), bitmap
+        reader, counts, bits = Reader(), {}, bitmap
         for batch in batches:
             for lang, words in reader.by_lang(batch):
+                some = counts.setdefault(lang, Counter())
                 for n, hashes in enumerate(reader.hashes(lang, words), 1):
                     if n == 1:
-                        totals[lang] += int(np.count_nonzero(hashes))
+                        some[""] += int(np.count_nonzero(hashes))
                     slot = hashes >> np.uint64(64 - BITMAP_BITS)
                     hit = bits[slot >> np.uint64(3)] >> (np.uint8(7) - (slot & np.uint64(7)).astype(np.uint8)) & 1
                     at = np.flatnonzero((hit != 0) & (hashes != 0)).tolist()
-                    some = counts.setdefault((lang, n), Counter())
                     if n == 1:
                         some.update([words[i] for i in at])
                     elif n == 2:
@@ -233,11 +246,41 @@ def counted(texts: DataFrame, bitmap: np.ndarray) -> DataFrame:
                     else:
                         some.update([" ".join(words[i:i + n]) for i in at])
                 if sum(map(len, counts.values())) > COUNTED:
-                    yield from rows(counts, totals)
-                    counts, totals = {}, Counter()
-        yield from rows(counts, totals)
+                    yield from rows(counts)
+                    counts = {}
+        yield from rows(counts)
+
+    return texts.mapInArrow(run, schema)
+
+
+def summed(sent: DataFrame, threshold: int) -> DataFrame:
+    """(lang, words, phrase, n) of the phrases that reach `threshold`, and of the empty one.
+
+    A task holds the phrases of one hash partition at a time.
+    """
+    schema = "lang string, words int, phrase string, n long"
+
+    def close(counts: dict[tuple[str, str], int]) -> pa.RecordBatch:
+        kept = [(lang, phrase.count(" ") + 1 if phrase else 0, phrase, n)
+                for (lang, phrase), n in counts.items() if n >= threshold or not phrase]
+        types = (pa.string(), pa.int32(), pa.string(), pa.int64())
+        columns = list(zip(*kept)) or [()] * 4
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)],
+                                          names=["lang", "words", "phrase", "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, counts = None, Counter()
+        for batch in batches:
+            for part, langs, phrases, of, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if part != now:
+                    yield close(counts)
+                    now, counts = part, Counter()
+                names = [langs[i] for i in np.frombuffer(of, np.int32).tolist()]
+                for key, some in zip(zip(names, phrases.decode().split("\n")), np.frombuffer(n, np.int64).tolist()):
+                    counts[key] += some
+        yield close(counts)
 
-    return texts.mapInArrow(run, "lang string, words int, phrase string, n long")
+    return sent.repartition("part").sortWithinPartitions("part").mapInArrow(run, schema)
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = 10, lang: str = "lang", text: str = "text") -> DataFrame:
@@ -251,8 +294,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = 10, lang: str = "lang", t
     bits = min(max((most // PARTITION_MASS).bit_length(), 0), 20)
     texts = _read(docs, lang, text)
     bitmap = survivors(summaries(texts, bits), bits, threshold)
-    exact = counted(texts, bitmap).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
-    return exact.filter((F.col("n") >= threshold) | (F.col("words") == 0))
+    return summed(counted(texts, bitmap, bits), threshold)
 
 
 def _score(a: str, l: Column, r: Column) -> Column:
