@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +33,7 @@ from newsflow.session import written
 WORDS = 5
 GROUPS = 64  # coordinates of a point
 FINE = 1024  # finer groups, of which GROUPS are made: their bound is tried where that of a point holds
-#: Blocks that a document is looked up by, at most. Two sets that need more have about 0.4 of them in
+#: Blocks that a document is looked up by, at most; None looks it up by all, which is exact. Two sets that need more have about 0.4 of them in
 #: common at a coefficient of 0.8, so that all 40 differ with a chance of 0.6 ** 40, about 1e-9.
 BLOCKS = 40
 CHUNK = 1000  # documents of a bucket that a task compares with as many others at a time
@@ -73,13 +72,21 @@ class Shingler:
         return np.unique(_mixed(total))
 
 
-@cache
+_ZONES: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}  # a plain dict travels with the functions
+
+
 def zones(limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Size classes up to `limit`: where each begins, how many blocks its zone has, and spare ones.
 
     A set and any that it may link with lie in one class or in two neighbouring ones. Zone z serves
     pairs whose smaller set is in class z.
     """
+    if limit not in _ZONES:
+        _ZONES[limit] = _zones(limit)
+    return _ZONES[limit]
+
+
+def _zones(limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts = [1, 2]
     while starts[-1] <= limit:
         starts.append(max(starts[-1] + 1, 5 * (starts[-1] - 1) // 4 + 1))
@@ -89,8 +96,8 @@ def zones(limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(starts), np.where(differ > 0, differ + 1 + spare, 0), spare
 
 
-def block_keys(shingles: np.ndarray) -> np.ndarray:
-    """The keys of the buckets in which a set meets all that it may link with."""
+def block_keys(shingles: np.ndarray, most: int | None = BLOCKS) -> np.ndarray:
+    """The keys of the buckets in which a set meets all that it may link with, by `most` blocks, or by all."""
     n = len(shingles)
     starts, blocks, spare = zones(1 << max(10, int(2 * n).bit_length()))
     size_class = int(np.searchsorted(starts, n, "right")) - 1
@@ -99,13 +106,13 @@ def block_keys(shingles: np.ndarray) -> np.ndarray:
         if zone < 0 or not blocks[zone]:
             continue  # sets of this size link with equal ones only
         block = (shingles >> np.uint64(20)) % np.uint64(blocks[zone])
-        inside = block < BLOCKS
+        few = int(blocks[zone]) if most is None else min(most, int(blocks[zone]))
+        inside = block < few
         own = block[inside]
         order = np.argsort(own, kind="stable")
         own, held = own[order], _mixed(shingles[inside][order] * _MIX)
         first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else own
-        empty = min(BLOCKS, blocks[zone]) - len(first)
-        sparse |= blocks[zone] <= BLOCKS and empty > spare[zone]
+        sparse |= blocks[zone] == few and few - len(first) > spare[zone]
         if len(first):
             # the sum of its hashes stands for the counts of a block
             counts = np.add.reduceat(held, first.astype(np.int64))
@@ -176,7 +183,8 @@ class CountTree:
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
-def set_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def set_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+              blocks: int | None = BLOCKS) -> DataFrame:
     """Per document: `doc_id`, `n`, `node` (hash of its set, null if empty), `point`, `keys`, and `mark`, a
     hash of its text.
 
@@ -200,7 +208,7 @@ def set_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
                                       "little", signed=True)
                 nodes.append(node)
                 points.append(point(shingles))
-                keys.append([] if seen[node] else block_keys(shingles).view(np.int64))
+                keys.append([] if seen[node] else block_keys(shingles, blocks).view(np.int64))
                 seen[node] = True
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
@@ -299,16 +307,21 @@ def _candidates(members: DataFrame) -> DataFrame:
             .mapInArrow(join, "a long, b long").distinct())
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                    blocks: int | None = BLOCKS) -> DataFrame:
     """Per document: its id, `n_shingles` and `component_id`, the smallest id reachable by links.
 
+    Beside them `component`, a number of the component (null for a text without words), and `mark`, the xxhash64 of
+    the text. With `blocks` null sets of any size are looked up by all their blocks, so that no link is left to
+    chance.
+
     A-Z count as a-z, words are what ASCII white space parts, and a text of fewer words than a shingle
     has is one shingle. Two documents link when 100 times the shingles in both are at least 80 times
     those in either. A text without words, or null, links with nothing. Rows with one id
     have a component each, by their own texts; a null id is never a component's id unless all its documents lack one.
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    points = written(set_table(docs), "points")
+    points = written(set_table(docs, blocks=blocks), "points")
     members = points.select("node", F.explode("keys").alias("key"))
     shared = members.groupBy("key").count().filter("count > 1").select("key")
     buckets = written(members.join(written(shared, "keys"), "key", "left_semi").distinct(), "buckets")
@@ -333,8 +346,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     named = owners.select("node", "doc_id").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     lowest = written(named.groupBy("label").agg(F.min("doc_id").alias("component_id")), "lowest")
-    named = written(named.join(lowest, "label").select(F.col("node"), "component_id"), "named")
-    rows = points.select("doc_id", "n", "node").join(named, "node", "left")
+    named = written(named.join(lowest, "label").select("node", "component_id", F.col("label").alias("component")), "named")
+    rows = points.select("doc_id", "n", "node", "mark").join(named, "node", "left")
     return rows.select(F.col("doc_id").alias(doc_id), F.col("n").alias("n_shingles"),
                        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(
-                           F.col("component_id")).alias("component_id"))
+                           F.col("component_id")).alias("component_id"), "component", "mark")

@@ -151,7 +151,8 @@ def document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_jaccard_join")
 def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = jaccard.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_shingles", "component_id")
 
 
 @query("op11_token_counts")

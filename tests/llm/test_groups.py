@@ -103,6 +103,36 @@ def test_linked_sets_share_a_key():
             assert np.intersect1d(jaccard.block_keys(a), jaccard.block_keys(b)).size
 
 
+def test_all_blocks_find_every_link_of_large_sets():
+    """By all blocks even pairs at exactly 0.8 share a key for certain; by BLOCKS nearly all do."""
+    r = np.random.default_rng(8)
+    for n in (900, 5000, 40_000):
+        base = r.integers(0, 2 ** 64, n + n // 9, dtype=np.uint64)
+        a, b = np.unique(base[:n]), np.unique(base[n // 9:])
+        assert 9 * len(np.intersect1d(a, b)) in range(4 * (len(a) + len(b)), 4 * (len(a) + len(b)) + 20)
+        for blocks in (None, jaccard.BLOCKS):
+            assert np.intersect1d(jaccard.block_keys(a, blocks), jaccard.block_keys(b, blocks)).size
+
+
+def test_functions_travel_to_workers_without_the_package():
+    """Sent by value, the operator needs no import of the package where it arrives."""
+    import subprocess
+    import sys
+
+    import newsflow
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(newsflow)
+    try:
+        sent = cloudpickle.dumps(lambda: len(jaccard.block_keys(np.arange(1, 300, dtype=np.uint64) << np.uint64(50))))
+    finally:
+        cloudpickle.unregister_pickle_by_value(newsflow)
+    code = "import sys, pickle; print(pickle.loads(sys.stdin.buffer.read())())"
+    done = subprocess.run([sys.executable, "-c", code], input=sent, capture_output=True, cwd="/")
+    assert done.returncode == 0, done.stderr.decode()
+    assert int(done.stdout) > 0
+
+
 def test_tree_finds_all_within_the_bound():
     r = np.random.default_rng(6)
     points = r.poisson(3, (500, jaccard.GROUPS)).astype(np.int64)
