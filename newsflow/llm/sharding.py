@@ -32,14 +32,17 @@ def layout(shards: int, racks: int = 4, per_rack: int = 4, planned: int = 24) ->
     """The tree of `shards` shards: `planned` ones in regions of racks, each later one on its own.
 
     A region holds 2 racks of `per_rack` shards. A shard beyond the planned ones is a new region, so
-    growing by one moves keys only into the new shard; plan anew to fold such shards into regions.
+    growing by one moves keys only into the new shard; plan anew to fold such shards into regions. Fewer shards than
+    planned are an error: a shard that joins a region draws keys into its neighbours as well.
     """
+    if shards < planned:
+        raise ValueError(f"{shards} shards, but {planned} are planned: plan for the smallest number")
     per_region = per_rack * max(1, racks // 2)
-    base = [Leaf(s // per_region, s // per_rack, s) for s in range(min(shards, planned))]
+    base = [Leaf(s // per_region, s // per_rack, s) for s in range(planned)]
     regions = -(-planned // per_region)
     racks_planned = -(-planned // per_rack)
     return tuple(base + [Leaf(regions + i, racks_planned + i, planned + i)
-                         for i in range(shards - min(shards, planned))])
+                         for i in range(shards - planned)])
 
 
 def _draw(key: Column, level: str, child: int, weight: float) -> Column:
@@ -95,18 +98,19 @@ def number_within(df: DataFrame, group: str, order: list[str], block: Column, ou
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, doc_id: str = "doc_id",
-                    text: str = "text") -> DataFrame:
+                    text: str = "text", planned: int = 24) -> DataFrame:
     """Per document: its id, size, text_crc32, law, shard, slot and grown_shard.
 
     `size` is the bytes of the text in UTF-8 plus 8, `grown_shard` the place with one more shard,
     `slot` the place in the shard. A null text has no bytes. The id alone decides, so repeated rows
-    share a shard and have slots of their own; a null id is one more key.
+    share a shard and have slots of their own; a null id is one more key. `planned` is the smallest number of
+    shards that a corpus will ever have.
     """
     raw = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
     base = docs.select(doc_id, (F.octet_length(raw) + 8).cast("long").alias("size"),
                        F.crc32(raw).alias("text_crc32"), F.lit("key").alias("law"))
-    base = assign(base, F.col(doc_id), layout(shards), "shard")
-    base = assign(base, F.col(doc_id), layout(shards + 1), "grown_shard")
+    base = assign(base, F.col(doc_id), layout(shards, planned=planned), "shard")
+    base = assign(base, F.col(doc_id), layout(shards + 1, planned=planned), "grown_shard")
     block = F.pmod(F.xxhash64(doc_id, F.lit("block")), F.lit(BLOCKS)).cast("int")
     done = number_within(base, "shard", [doc_id, "size", "text_crc32"], block, "slot")
     return done.select(doc_id, "size", "text_crc32", "law", "shard", "slot", "grown_shard")

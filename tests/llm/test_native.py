@@ -101,3 +101,49 @@ def test_growing_further_moves_rows_only_into_the_new_shard(spark):
     both = sharding.assign(sharding.assign(ids, ids.doc_id, sharding.layout(27), "a"), ids.doc_id,
                            sharding.layout(28), "b")
     assert all(r.b in (r.a, 27) for r in both.collect())
+
+
+def plain_draws(key, tree):
+    """The shard of a key by the draws of `sharding`, in plain Python."""
+    import math
+
+    import xxhash
+
+    def draw(level, child, weight):
+        first = xxhash.xxh64_intdigest(str(key).encode(), seed=42)
+        bits = xxhash.xxh64_intdigest(f"{level}:{child}".encode(), seed=first) >> 11
+        return math.log((bits + 0.5) / (1 << 53)) / weight, child
+
+    def winner(level, children):
+        return max(draw(level, c, w) for c, w in children.items())[1]
+
+    def below(leaves, name):
+        out = {}
+        for leaf in leaves:
+            out[getattr(leaf, name)] = out.get(getattr(leaf, name), 0) + leaf.weight
+        return out
+
+    leaves = list(tree)
+    for level in ("region", "rack", "shard"):
+        chosen = winner(level, below(leaves, level))
+        leaves = [leaf for leaf in leaves if getattr(leaf, level) == chosen]
+    return leaves[0].shard
+
+
+def test_draws_equal_plain_python(spark):
+    tree = tuple(sharding.Leaf(s // 8, s // 4, s, 1.0 + s % 3) for s in range(19))
+    ids = spark.range(-200, 1500).withColumnRenamed("id", "doc_id")
+    for leaves in (tree, sharding.layout(24), sharding.layout(26)):
+        got = sharding.assign(ids, ids.doc_id, leaves, "shard").collect()
+        assert all(r.shard == plain_draws(r.doc_id, leaves) for r in got)
+
+
+def test_growing_moves_rows_into_the_new_shard_only(spark):
+    ids = spark.range(4000).withColumnRenamed("id", "doc_id")
+    for planned, shards in ((9, 9), (9, 10), (1, 1), (1, 5), (24, 24), (24, 31)):
+        both = sharding.assign(ids, ids.doc_id, sharding.layout(shards, planned=planned), "a")
+        both = sharding.assign(both, ids.doc_id, sharding.layout(shards + 1, planned=planned), "b")
+        moved = both.filter("a <> b")
+        assert not moved.isEmpty() and moved.filter(f"b <> {shards}").isEmpty()
+    with pytest.raises(ValueError):
+        sharding.layout(23)
