@@ -2,6 +2,7 @@
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
@@ -17,7 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_every_operator_has_a_query():
     numbers = {name.split("_")[0] for name in queries.QUERIES}
-    assert numbers == {f"op{n}" for n in range(1, 11)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
 
 
@@ -55,4 +56,22 @@ def test_stages_take_odd_rows(spark):
         got.collect()
         assert stage(spark, docs.limit(0), FOLDER).collect() == []
     left = corpus_pipeline.one_of_each_group(spark, docs, FOLDER).collect()
-    assert sorted((r.doc_id or 0) for r in left) == [0, 1, 2, 3, 3, 5]
+    assert sorted((r.doc_id or 0) for r in left) == [0, 1, 2, 3, 5]
+
+
+def test_extra_columns_are_left_behind(spark):
+    docs = plain.documents(spark, [(1, "the same words again and again in here"), (2, None)])
+    odd = docs.select("*", F.lit(1).alias("predicted"), F.lit("x").alias("mark"), F.lit(0.5).alias("score"),
+                      F.lit(2).alias("component"), F.lit(3).alias("n"))
+    for name, stage in corpus_pipeline.STAGES:
+        got, want = (sorted(map(str, stage(spark, d, FOLDER).collect())) for d in (odd, docs))
+        assert got == want, name
+
+
+def test_a_group_loses_no_other_text_and_keeps_one_copy(spark):
+    a, b, c = ("one two three four five six seven " + x for x in ("alpha " * 9, "beta " * 9, "gamma " * 9))
+    rows = [(7, a), (7, b), (3, a), (None, a), (None, b), (9, c), (9, c), (None, "a text of its own without any copy"),
+            (4, ""), (4, "")]
+    left = corpus_pipeline.one_of_each_group(spark, plain.documents(spark, rows), FOLDER).collect()
+    assert sorted(((r.doc_id or 0), r.text) for r in left) == sorted([
+        (3, a), (7, b), (9, c), (0, "a text of its own without any copy"), (4, ""), (4, "")])
