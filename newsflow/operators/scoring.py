@@ -216,6 +216,17 @@ def score_tokens(df: DataFrame, column: str, load: Callable[[], Scorer],
     return _as_json(df.withColumn("_scores", score(F.col(column))))
 
 
+def label_tokens(df: DataFrame, column: str, load: Callable[[], Scorer], length: int = scores.CHUNK_LENGTH,
+                 step: int = scores.CHUNK_STEP, weight: float = scores.NEGATIVE_WEIGHT) -> DataFrame:
+    """The scores of `score_tokens` as columns with the weighted label, and `error`."""
+    parsed = F.from_json("finbert_sentiment", "positive double, neutral double, negative double")
+    out = score_tokens(df, column, load, length, step).withColumn("_scores", parsed)
+    out = out.withColumns({f"{label}_prob": F.col(f"_scores.{label}") for label in scores.LABELS})
+    return out.withColumn("sentiment_label", scores.weighted_label(
+        F.col("negative_prob"), F.col("neutral_prob"), F.col("positive_prob"), weight)).drop(
+            "_scores", "finbert_sentiment")
+
+
 def _top1_documents(scorer: Scorer, chunk_lists: pd.Series) -> pd.DataFrame:
     """Per label the mean top score of the chunks it wins, 0.0 when it wins none."""
     lists = [[] if c is None else list(c) for c in chunk_lists]

@@ -10,6 +10,7 @@ from newsflow.operators import filters, news
 from newsflow.operators.scoring import expand_struct
 from newsflow.plans.registry import query
 from newsflow.plans.views import table, view
+from newsflow.schema import date_column
 from newsflow.sources.readers import with_file_year
 
 _QUOTED = "“”\""
@@ -379,3 +380,18 @@ WHERE record_date BETWEEN date '2025-01-10' AND date '2025-02-20'""", FEED_VIEWS
 def backfill_range(spark, d) -> DataFrame:
     days = news.backfill(merged_news(spark, d), "2025-01-10", "2025-02-20")
     return days.select("symbol", "source", "headline", "record_date")
+
+
+# Tables name their date column differently: `Date` where there is one, else `datetime`.
+@query("date_column_choice", """
+SELECT doc_id, CAST(substr(date, 1, 10) AS DATE) AS day, 'Date' AS chosen FROM articles_v WHERE doc_id % 2 = 0
+UNION ALL SELECT doc_id, CAST(substr(date, 1, 10) AS DATE), 'datetime' FROM articles_v WHERE doc_id % 2 = 1""",
+       "articles_v")
+def date_column_choice(spark, d) -> DataFrame:
+    articles = view(spark, d, "articles_v").select("doc_id", F.substring("date", 1, 10).alias("given"))
+    both = articles.withColumnRenamed("given", "Date").withColumn("datetime", F.lit("not this one"))
+    halves = [both.filter("doc_id % 2 = 0"),
+              articles.filter("doc_id % 2 = 1").withColumnRenamed("given", "datetime")]
+    out = [df.select("doc_id", dates.calendar_date(F.col(date_column(df))).alias("day"),
+                     F.lit(date_column(df)).alias("chosen")) for df in halves]
+    return out[0].unionByName(out[1])

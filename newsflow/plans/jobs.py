@@ -16,7 +16,7 @@ from newsflow.functions import dates, scores, text
 from newsflow.operators import forecast, metrics, news, scoring, series
 from newsflow.operators.filters import split_undated
 from newsflow.schema import (LABEL_STRUCT, NEWS, NEWS_COLUMNS, RAW_ARCHIVE, RAW_ARTICLES, RAW_WIRE,
-                             SCORE_COLUMNS)
+                             SCORE_COLUMNS, date_column)
 from newsflow.session import written
 from newsflow.sources import readers, writers
 
@@ -95,16 +95,19 @@ def _counts(spark: SparkSession, target: str, quarantine: str, day: str | None =
 
 def score(spark: SparkSession, target: str, scored: str, months: list[tuple[int, int]] | None = None,
           lexicon: scores.Lexicon = scores.FINANCE,
-          load: Callable[[], scoring.Scorer] | None = None) -> str:
+          load: Callable[[], scoring.Scorer] | None = None, tokens: bool = False) -> str:
     """Score the picked text of every story and replace the same months of the scored table.
 
-    `load` plugs in a model; without it the lexicon is used. The table is written once, so that the
+    `load` plugs in a model; without it the lexicon is used. With `tokens` the windows of long texts are cut by the
+    tokens of the model, not by words. The table is written once, so that the
     features do not run the model again.
     """
     stories = writers.read_months(spark, target, months)
     picked = stories.withColumn("text", text.pick_text(F.col("summary"), F.col("headline")))
     if load is None:
         out = scoring.score_lexicon(picked, "text", lexicon)
+    elif tokens:
+        out = scoring.label_tokens(picked, "text", load)
     else:
         out = scoring.score_label(picked, "text", load, only_long=False)
     columns = [*NEWS_COLUMNS, *LABEL_STRUCT.names, "year", "month"]
@@ -123,8 +126,12 @@ def price_features(spark: SparkSession, scored: str, prices: DataFrame) -> DataF
     """Prices with the daily means of the rolling article features.
 
     Articles of a symbol are sorted by date, and within a day by a hash of their content, as rows of a
-    table have no order. Texts do not travel through the series, only their scores.
+    table have no order. Texts do not travel through the series, only their scores. Prices without a `date` have it in
+    `Date` or `datetime`.
     """
+    if "date" not in prices.columns:
+        given = date_column(prices)
+        prices = prices.withColumn(given, dates.calendar_date(F.col(given))).withColumnRenamed(given, "date")
     rows = spark.read.parquet(scored)
     articles = rows.select(
         "symbol", dates.normalize_date(F.col("datetime")).alias("date"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import partial
 
 from pyspark.sql import DataFrame
@@ -186,6 +187,35 @@ def score_map_partitions(spark, d) -> DataFrame:
     return _parsed(scoring.score_map(docs, "text", load_scorer, LENGTH, STEP)).drop("text")
 
 
+class WordPieces(scoring.LexiconScorer):
+    """A sub-word tokeniser: pieces of five characters, those within a word marked by `##`."""
+
+    def tokenise(self, text: str) -> list[str]:
+        words = [w for w in re.split("[ \\t\\n\\r\\f]+", text) if w]
+        return [w[i:i + 5] if not i else f"##{w[i:i + 5]}" for w in words for i in range(0, len(w), 5)]
+
+    def decode(self, ids: list[str]) -> str:
+        return " ".join(ids).replace(" ##", "")
+
+
+_PIECES = f"""
+WITH docs AS (SELECT doc_id, {sql_words('text')} AS words FROM documents),
+pieces AS (SELECT doc_id, flatten(list_transform(words, lambda w: list_transform(range(0, len(w), 5),
+  lambda i: CASE WHEN i = 0 THEN '' ELSE '##' END || substring(w, i + 1, 5)))) AS p FROM docs),
+wins AS (SELECT doc_id, win, string_split(replace(array_to_string(p[win + 1:win + {LENGTH}], ' '), ' ##', ''), ' ') AS words
+  FROM (SELECT *, unnest(range(0, greatest(len(p) - {LENGTH}, 0) + {STEP}, {STEP})) AS win FROM pieces)
+  WHERE win < len(p)),{sql_probabilities('words', 'doc_id, win', 'wins', 1 << 30, 1 << 30)},
+means AS (SELECT doc_id, {', '.join(f'avg({c}) AS {c}' for c in scores.LABELS)} FROM probs GROUP BY doc_id)
+SELECT doc_id, {', '.join(sql_round(c, c) for c in scores.LABELS)}, CAST(NULL AS VARCHAR) AS error
+FROM documents LEFT JOIN means USING (doc_id)"""
+
+
+@query("score_tokens", _PIECES)
+def score_tokens(spark, d) -> DataFrame:
+    load = partial(WordPieces, LEXICON)
+    return _parsed(scoring.score_tokens(documents(spark, d), "text", load, LENGTH, STEP)).drop("text")
+
+
 class FailingScorer(scoring.LexiconScorer):
     """Cannot score windows with the word `stupid`, to show what becomes of their texts."""
 

@@ -73,6 +73,21 @@ def scan_csv(spark, d) -> DataFrame:
     return readers.read_csv(spark, path, stored.schema)
 
 
+# A file that tasks read in parts, with every thirtieth line cut short after its number: these go to the quarantine.
+@query("scan_csv_bad_rows", f"""
+SELECT doc_id, source, datetime, headline, summary, CAST(NULL AS VARCHAR) AS bad_row FROM news_v WHERE doc_id % 30 <> 7
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, CAST(doc_id AS VARCHAR) || 'x,cut' FROM news_v WHERE doc_id % 30 = 7""",
+       "news_v")
+def scan_csv_bad_rows(spark, d) -> DataFrame:
+    stored, path, n = _stored_news(spark, d), scratch_path(spark, "csv"), F.col("doc_id")
+    writers.write_csv(stored.filter(n % 30 != 7), f"{path}/rows", flat=True)
+    (stored.filter(n % 30 == 7).select(F.concat(n, F.lit("x,cut")).alias("value"))
+     .write.mode("append").option("header", True).option("sep", "\x01").csv(f"{path}/rows"))
+    good = readers.load_csv(spark, f"{path}/rows", stored.schema, f"{path}/bad", flat=True)
+    bad = spark.read.text(f"{path}/bad").withColumnRenamed("value", "bad_row")
+    return good.withColumn("bad_row", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
+
+
 @query("sink_csv_roundtrip", """
 SELECT event_id, symbol, date, finbert_positive, finbert_negative FROM senti_v""", "senti_v")
 def sink_csv_roundtrip(spark, d) -> DataFrame:
@@ -181,6 +196,26 @@ def sql_view(spark, d) -> DataFrame:
         FROM analytic_news WHERE year = 2025 GROUP BY symbol, month""")
 
 
+# A catalog table over day folders; a join with some months of a calendar reads the folders of these only.
+@query("sql_catalog_table", f"""{SQL_MERGED}
+SELECT symbol, feed, CAST(year(record_date) AS INTEGER) AS year, CAST(month(record_date) AS INTEGER) AS month,
+  count(*) AS stories
+FROM analytic WHERE month(record_date) <= 3 AND year(record_date) IS NOT NULL GROUP BY ALL""", FEED_VIEWS)
+def sql_catalog_table(spark, d) -> DataFrame:
+    path = scratch_path(spark, "catalog")
+    rows = merged_news(spark, d).filter("year IS NOT NULL").withColumn("day", F.lit("full"))
+    writers.write_days(rows, f"{path}/news")
+    calendar = rows.select("year", "month").distinct().withColumn("quarter", F.ceil(F.col("month") / 3))
+    calendar.write.parquet(f"{path}/calendar")
+    name = f"news_{path[-32:]}"
+    writers.create_table(spark, name, f"{path}/news", days=True)
+    spark.read.parquet(f"{path}/calendar").createOrReplaceTempView(f"{name}_calendar")
+    return spark.sql(f"""
+        SELECT symbol, feed, n.year, n.month, count(*) AS stories FROM {name} n
+        JOIN {name}_calendar c ON n.year = c.year AND n.month = c.month
+        WHERE c.quarter = 1 GROUP BY symbol, feed, n.year, n.month""")
+
+
 # API replies -----------------------------------------------------------------------------------
 
 @query("flatten_api_docs", """

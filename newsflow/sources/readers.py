@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 from urllib.parse import quote, urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.functions.dates import year_in_name
 from newsflow.schema import PRICE_DOC, PRICES
+from newsflow.session import written
 
 
 def read_parquet(spark: SparkSession, *paths: str, schema: T.StructType | None = None,
@@ -84,20 +85,44 @@ def with_file_year(df: DataFrame, column: str | None = None) -> DataFrame:
     return df.withColumn("year", year_in_name(name)).filter("year IS NOT NULL")
 
 
+def _with_breaks(col: Column) -> Column:
+    """The escapes of `write_csv(flat=True)` as what they stand for."""
+    parts = F.transform(F.split(col, r"\\\\"), lambda x: F.replace(
+        F.replace(x, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(parts, "\\")
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             bad_row: str | None = None) -> DataFrame:
+             bad_row: str | None = None, flat: bool = False) -> DataFrame:
     """CSV with a header; quotes inside values are doubled and values may hold line breaks.
 
+    `flat` is for files of `write_csv(flat=True)`, or any without line breaks in values: a file is then cut into parts
+    that tasks read on their own.
+
     A missing value is null and a quoted empty one is empty: the reader puts `nullValue` in the
     place of a missing value, so any text that occurs nowhere tells the two apart. A value that does
     not fit its type is null, and the raw row is then in the column `bad_row`, if one is named.
     """
-    reader = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    reader = (spark.read.option("header", True).option("multiLine", not flat).option("escape", '"')
               .option("nullValue", "\x00").option("mode", "PERMISSIVE"))
     if bad_row:
         schema = T.StructType([*schema.fields, T.StructField(bad_row, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", bad_row)
-    return reader.schema(schema).csv(path)
+    rows = reader.schema(schema).csv(path)
+    if not flat:
+        return rows
+    texts = [f.name for f in schema if f.dataType.typeName() == "string" and f.name != bad_row]
+    return rows.withColumns({name: _with_breaks(F.col(name)) for name in texts})
+
+
+def load_csv(spark: SparkSession, path: str, schema: T.StructType, quarantine: str, flat: bool = False) -> DataFrame:
+    """The rows of a CSV that fit `schema`; the raw text of all others replaces the folder `quarantine`.
+
+    The parsed rows are written once: whether a row fits would else depend on the columns a query reads.
+    """
+    rows = written(read_csv(spark, path, schema, "bad_row", flat), "parsed")
+    rows.filter("bad_row IS NOT NULL").select("bad_row").write.mode("overwrite").text(quarantine)
+    return rows.filter("bad_row IS NULL").drop("bad_row")
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.operators.filters import drop_sentinel_dates, split_undated
@@ -102,8 +102,20 @@ def folder_keys(path: str, keys: list[str]) -> tuple[str, ...]:
     return tuple(unquote(named[k]) for k in keys)
 
 
-def write_csv(df: DataFrame, path: str, file_rows: int = FILE_ROWS) -> str:
-    """CSV with a header that `read_csv` reads back to equal values, blanks included."""
+def _on_one_line(col: Column) -> Column:
+    """Line breaks and backslashes written as escapes."""
+    for char, escape in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        col = F.replace(col, F.lit(char), F.lit(escape))
+    return col
+
+
+def write_csv(df: DataFrame, path: str, file_rows: int = FILE_ROWS, flat: bool = False) -> str:
+    """CSV with a header that `read_csv` reads back to equal values, blanks included.
+
+    With `flat` line breaks inside values are written as escapes, so that a file may be read by many tasks.
+    """
+    if flat:
+        df = df.withColumns({f.name: _on_one_line(F.col(f.name)) for f in df.schema if f.dataType.typeName() == "string"})
     (df.write.mode("overwrite").option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("maxRecordsPerFile", file_rows).csv(path))
@@ -150,14 +162,16 @@ def write_price_json(prices: DataFrame, path: str) -> str:
     return path
 
 
-def create_table(spark: SparkSession, name: str, path: str) -> None:
-    """A catalog table partitioned by year and month over the files of `write_months` at `path`.
+def create_table(spark: SparkSession, name: str, path: str, days: bool = False) -> None:
+    """A catalog table over the files of `write_months` at `path`, or with `days` over those of `write_days`.
 
-    It belongs to the catalog, not to this session's views. Call it again for months that came since.
+    It is partitioned like the files and belongs to the catalog, not to this session's views. Call it again for
+    folders that came since.
     """
-    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in NEWS_MONTHS)
+    keys = ["year", "month", *(["feed", "day"] if days else [])]
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in (NEWS_DAYS if days else NEWS_MONTHS))
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-              f"PARTITIONED BY (year, month) LOCATION '{path}'")
+              f"PARTITIONED BY ({', '.join(keys)}) LOCATION '{path}'")
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     spark.catalog.refreshTable(name)
 
