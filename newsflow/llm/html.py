@@ -2,9 +2,9 @@
 
 A page is read as a row of tokens. Visible words score positive and tags negative; the weights are
 log-odds counted on labelled pages, those that mark their own article. One linear scan finds the
-contiguous stretch with the largest sum. Elements that are never article text (menus, forms, adverts,
-comments and the like) are one token each, and their text is left out wherever they stand. Those known by
-their class or id only are left out where the class or id names nothing else and the elements of this name
+contiguous stretch with the largest sum. Elements that are never article text (menus, footers, players,
+articles that are readers' comments and the like) are one token each, and their text is left out wherever they
+stand. Forms, dialogs and those known by their class, id or role only are left out where the class or id names nothing else and the elements of this name
 hold at most half of the page's words. An element where such a word is part of a longer name stays; its
 words score lower, and the scan decides.
 """
@@ -24,12 +24,13 @@ from pyspark.sql import functions as F
 
 from newsflow.llm.text import names, small_batches
 
-#: Pages that the weights are counted on, at most.
+#: Pages that the weights are counted on, about.
 SAMPLE = 2000
 
 # Elements whose text is not the article's, elements that part blocks, names of parts.
-BOILERPLATE = frozenset("""head nav footer aside form button select option dialog menu iframe object svg
+BOILERPLATE = frozenset("""head nav footer aside button select option menu iframe object svg
 canvas audio video fieldset noscript template textarea""".split())
+WRAPPING = ("form", "dialog")  # may also be put around a whole page: they are parts, judged by what they hold
 BLOCKS = frozenset("""address article blockquote body center dd details div dl dt figcaption figure h1 h2 h3
 h4 h5 h6 header hr html legend li main ol p pre section summary table tbody td tfoot th thead tr ul""".split())
 VOID = frozenset("""area base br col embed hr img input link meta source track wbr""".split())
@@ -43,7 +44,7 @@ right site slot top unit wrap wrapper""".split())
 CONTENT = frozenset("article body content entry post story text".split())
 FAINT = 0.25  # what a word counts in an element whose name holds that of a part
 BORDER = -2.0  # score of entering or leaving such elements, unless the pages tell
-ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
+ROLES = frozenset("navigation banner contentinfo complementary search alert".split())
 REGIONS = ("article", "main")
 
 # Fixed values for elements that end without an end tag, as in HTML.
@@ -201,13 +202,26 @@ def _boilerplate(name: str, rest: str, inside: bool) -> bool:
         key.lower() == "role" and value.strip("\"'").lower() in ROLES for key, value in _NAMED.findall(rest))
 
 
+def _is_comment(rest: str) -> bool:
+    """Whether the class or id of an article says that it is a reader's comment."""
+    items = [set(re.findall("[a-z]+", item)) for key, value in _NAMED.findall(rest) if key.lower() != "role"
+             for item in value.strip("\"'").lower().split()]
+    return any(words & {"comment", "comments"} and words <= PARTS | PLAIN for words in items)
+
+
 def _naming(name: str, rest: str) -> frozenset[str] | None:
-    """The parts that a class or id names as a whole; none if only longer names hold them, or beside a
+    """The parts that a tag, class, id or role names as a whole; none if only longer names hold them, or beside a
     name of content; null if no part is named."""
     if name in ("html", "body", *REGIONS):
         return None
-    whole, longer, content = set(), False, False
+    whole, longer, content = set(), name in WRAPPING, False
+    if name in WRAPPING:
+        whole.add(name)
     for key, value in _NAMED.findall(rest):
+        role = value.strip("\"'").lower()
+        if key.lower() == "role" and role in WRAPPING:
+            whole.add(role)
+            longer = True
         for item in value.strip("\"'").lower().split() if key.lower() != "role" else ():
             words = set(re.findall("[a-z]+", item))
             found = words & PARTS
@@ -223,6 +237,7 @@ def read_page(source: str) -> Page:
     without one, or where the body, the article or the main part begins or ends."""
     page, inside, opened, skipped = Page(), 0, OpenElements(), -1  # place of the left-out element
     named: list[tuple[int, int]] = []  # places and numbers of the open parts
+    comments: list[int] = []  # of the open articles and main parts, the place of the comment they are in, or -1
     end = source.rfind(">") + 1  # no tag begins after the last one ends
     for token in _TOKEN.finditer(source[:end]):
         name = (token["name"] or "").lower()
@@ -253,6 +268,17 @@ def read_page(source: str) -> Page:
         if skipped >= 0 or (close and was >= 0 and name not in ("body", *REGIONS) and at == was):
             continue
         part = own if own >= 0 else named[-1][1] if named else -1
+        if name in REGIONS and close and comments and comments.pop() >= 0:
+            skipped = comments[-1] if comments else -1
+            continue
+        if name in REGIONS and not close:
+            comments.append(comments[-1] if comments else -1)
+            if comments[-1] < 0 and name == "article" and _is_comment(rest):
+                page.add("-comment", 1, None, inside > 0, part)
+                comments[-1] = at
+            if comments[-1] >= 0:
+                skipped = comments[-1]
+                continue
         if name in REGIONS:
             inside = max(0, inside + (-1 if close else 1))
             page.regions += inside == 1 and not close
@@ -330,14 +356,16 @@ def main_text(source: str | None, weights: Weights) -> str:
 
 
 def fit_weights(pages: DataFrame, key: str = "page_id", source: str = "html", size: int = SAMPLE) -> Weights:
-    """Weights from at most `size` pages, those with the smallest hash of `key`.
+    """Weights from about `size` pages, those whose hash of `key` and length is below a bound; from all if there are fewer.
 
-    Of these, the pages with exactly one article or main element label their own tokens: inside or
+    The bound follows from the number of pages, so pages are chosen and counted where they are read. Of these, the pages with exactly one article or main element label their own tokens: inside or
     outside. Tasks count; the counts have a row per tag name that is found on three pages or more.
     """
     small_batches(pages.sparkSession)
-    chosen = (pages.select(F.coalesce(source, F.lit("")).alias("source"), F.xxhash64(key).alias("h"))
-              .orderBy("h", F.xxhash64("source")).limit(size).select("source"))
+    share = min(1.0, size / max(pages.count(), 1))
+    bound = min(int(share * (1 << 64)) - (1 << 63), (1 << 63) - 1)
+    chosen = (pages.filter(F.xxhash64(key, F.octet_length(source)) <= bound)
+              .select(F.coalesce(source, F.lit("")).alias("source")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

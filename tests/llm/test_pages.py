@@ -23,6 +23,12 @@ WANT = "A & B\nFirst para graph. Goes on.\nBold end!"
     (ARTICLE + '<script>var t="</p><p>no";</script><!-- <p>never</p> -->', WANT),
     ("<p>x &lt;b&gt; &am &nbsp;y</p>", "x <b> &am y"),
     ('<div class="menu">unclosed menu<article><p>text of it</p></article>', "text of it"),
+    ("<form>" + ARTICLE + "</form>", WANT), ("<form><div>" + ARTICLE.replace("article", "div") + "</div></form>", WANT),
+    ('<div role="dialog"><p>Text of a story in a window.</p><p>More of it.</p></div>', "Text of a story in a window.\nMore of it."),
+    (ARTICLE + '<article class="comment"><p>me too</p><article class="comment reply"><p>no</p></article><p>so</p></article>', WANT),
+    ('<article class="comment"><p>me too</p></article>' + ARTICLE + '<article id="comment-3"><p>and me', WANT),
+    (ARTICLE[:-10] + '<p>Part.</p><article class="comments-area">me</article><p>Rest.</p></article>', WANT + "\nPart.\nRest."),
+    (ARTICLE + '<div role="form"><p>write to us</p></div>', WANT),
     ("<p>a < b and c</p>", "a < b and c"), ('<p title="a>b">quoted</p>', "quoted"),
     ("<script>only", ""), ("", ""), (MENU, "")])
 def test_main_text(body, want):
