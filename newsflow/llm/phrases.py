@@ -30,11 +30,11 @@ from newsflow.session import written
 #: Bits of the hash that the bitmap of survivors has a place for (16 MB), whatever the corpus.
 BITMAP_BITS = 27
 #: n-grams that a hash partition is planned for, and that a task holds before it sends a summary.
-PARTITION_MASS, BUFFER = 1 << 24, 3_000_000
+PARTITION_MASS, BUFFER = 1 << 24, 4_000_000
 #: How many times mass / threshold a summary may hold: more than once leaves fewer rare n-grams among the survivors.
 ROOM = 4
 #: Different phrases that a task counts before it sends them on, and words that it looks at together.
-COUNTED, WORDS = 400_000, 100_000
+COUNTED, WORDS = 700_000, 100_000
 LONGEST = 3
 
 # What ends a piece, and what words consist of.
@@ -49,6 +49,21 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _pack(values: np.ndarray | bytes) -> bytes:
+    """Bytes for the shuffle: the first bytes of all values, then the second ones and so on, compressed."""
+    if isinstance(values, np.ndarray):
+        values = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(values).to_bytes(8, "little") + pa.compress(values, codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, dtype: type | None = None) -> np.ndarray | bytes:
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    if dtype is None:
+        return raw
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+
+
 class Reader:
     """Words of a task's texts and the hashes of their n-grams."""
 
@@ -136,7 +151,8 @@ def summaries(texts: DataFrame, partition_bits: int) -> DataFrame:
             if end > begin:
                 mass = int(counts[begin:end].sum(dtype=np.int64))
                 rows.append((part, 0, mass, None, None))
-                rows.append((part, 1, mass, short[begin:end].tobytes(), counts[begin:end].tobytes()))
+                steps = np.diff(short[begin:end], prepend=np.uint32(0))  # keys ascend: small steps
+                rows.append((part, 1, mass, _pack(steps), _pack(counts[begin:end])))
             begin = end
         columns = list(zip(*rows))
         types = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
@@ -187,7 +203,8 @@ def survivors(sent: DataFrame, partition_bits: int, threshold: int) -> np.ndarra
                     continue
                 if summary is None:  # all masses of the partition come first
                     summary = Summary(ROOM * mass // threshold + 1)
-                summary.add(np.frombuffer(keys, np.uint32), np.frombuffer(counts, np.uint32).astype(np.int64))
+                summary.add(np.cumsum(_unpack(keys, np.uint32), dtype=np.uint32),
+                            _unpack(counts, np.uint32).astype(np.int64))
             if out:
                 yield rows(out)
                 out = []
@@ -221,7 +238,7 @@ def counted(texts: DataFrame, bitmap: np.ndarray, partition_bits: int) -> DataFr
                 held[2].append(n)
         if not parts:
             return
-        columns = [("\n".join(p).encode(), np.array(o, np.int32).tobytes(), np.array(n, np.int64).tobytes())
+        columns = [(_pack("\n".join(p).encode()), _pack(np.array(o, np.int32)), _pack(np.array(n, np.int64)))
                    for p, o, n in parts.values()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(parts), pa.int32()), pa.array([langs] * len(parts), pa.list_(pa.string())),
@@ -275,8 +292,8 @@ def summed(sent: DataFrame, threshold: int) -> DataFrame:
                 if part != now:
                     yield close(counts)
                     now, counts = part, Counter()
-                names = [langs[i] for i in np.frombuffer(of, np.int32).tolist()]
-                for key, some in zip(zip(names, phrases.decode().split("\n")), np.frombuffer(n, np.int64).tolist()):
+                names = [langs[i] for i in _unpack(of, np.int32).tolist()]
+                for key, some in zip(zip(names, _unpack(phrases).decode().split("\n")), _unpack(n, np.int64).tolist()):
                     counts[key] += some
         yield close(counts)
 
