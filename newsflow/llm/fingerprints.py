@@ -33,8 +33,8 @@ LONG_PIECE = (r"(?s).{64,320}?[.!?\u3002\uff01\uff1f]+ *"
               r"|.{64,320}?[a-f0-4][g-z5-9 ]|.{1,%d}" % LONG)
 SHORT_PIECE = r"(?s).{12,36}?[a-m] |.{1,%d}" % SHORT
 TABLES, CELLS, BITS = 3, 4, 2  # a hash has one cell in each table; CELLS = 2 ** BITS
-LOAD = 4  # hashes of both texts that one range should hold, at most
-ROUNDS = 9
+LOAD = 8  # hashes of both texts that one range should hold, at most
+ROUNDS = 7
 RETRIES = 3
 
 
@@ -132,10 +132,22 @@ def _ranges(both: Column, group) -> Column:
 def _peel_part(part: Column) -> Column:
     """The differing hashes of one range, null if its sketches cannot be peeled.
 
-    Hashes of the second text have their lowest bit set.
+    Hashes of the second text have their lowest bit set. The difference of the two sketches is made in one signed pass:
+    the hashes of the second text count negative.
     """
-    first, second = _sides(part)
-    return peel(subtract(sketch(first), sketch(second)))
+    empty = _entry(F.lit(0), F.lit(0), F.lit(0))
+
+    def table(entries: Column, number: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda i: F.aggregate(
+            F.filter(entries, lambda e: _cell(e["key"], number) == i), empty, lambda a, e: _merge(a, e, 1)))
+
+    def cells(entries: Column) -> Column:
+        return F.concat(*[table(entries, number) for number in range(TABLES)])
+
+    def signed(d: Column) -> Column:
+        return let(d.bitwiseAND(F.lit(-2)), lambda key: _entry(1 - 2 * d.bitwiseAND(F.lit(1)), key, _check(key)))
+
+    return peel(let(F.transform(part, signed), cells))
 
 
 def _sides(part: Column) -> tuple[Column, Column]:
