@@ -34,13 +34,15 @@ def sql_day(c: str) -> str:
 
 
 def sql_keyword(c: str) -> str:
-    whens = " ".join(f"WHEN '{k}' THEN '{t}'" for k, t in symbols.KEYWORD_TICKER.items())
-    return f"CASE lower({c}) {whens} ELSE upper({c}) END"
+    return f"""CASE lower({c}) WHEN 'apple' THEN 'AAPL' WHEN 'google' THEN 'GOOGL' WHEN 'alphabet' THEN 'GOOGL'
+  WHEN 'facebook' THEN 'META' WHEN 'meta' THEN 'META' WHEN 'microsoft' THEN 'MSFT' WHEN 'amazon' THEN 'AMZN'
+  WHEN 'tesla' THEN 'TSLA' WHEN 'elon musk' THEN 'TSLA' WHEN 'nvidia' THEN 'NVDA' ELSE upper({c}) END"""
 
 
 def sql_company(c: str) -> str:
-    whens = " ".join(f"WHEN '{k}' THEN '{t}'" for k, t in symbols.COMPANY_TICKER.items())
-    return f"CASE {c} {whens} ELSE {c} END"
+    return f"""CASE {c} WHEN 'Apple' THEN 'AAPL' WHEN 'Amazon' THEN 'AMZN' WHEN 'Google' THEN 'GOOGL'
+  WHEN 'Microsoft' THEN 'MSFT' WHEN 'Facebook' THEN 'META' WHEN 'Tesla' THEN 'TSLA' WHEN 'Netflix' THEN 'NVDA'
+  ELSE {c} END"""
 
 
 SQL_OFFSET = (r"CASE WHEN regexp_matches(pub_date, '[0-9][+-][0-9]{4}$')"

@@ -23,7 +23,8 @@ LEXICON = scores.Lexicon(
 )
 LENGTH, STEP = 128, 64
 
-_PUNCT = scores.PUNCTUATION.replace("'", "''")
+# As the SQL writes it: . , ; : ! ? " ' ( )
+_PUNCT = """.,;:!?"''()"""
 
 
 def _in(words: tuple[str, ...]) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from newsflow.functions.scores import Lexicon
 from newsflow.operators import scoring
 from newsflow.plans import jobs
+from newsflow.plans.sentiment import WordPieces
 from newsflow.plans.views import view
 from newsflow.schema import RAW_ARCHIVE, RAW_ARTICLES, RAW_WIRE
 from newsflow.session import scratch_path
@@ -133,6 +134,8 @@ def test_score_and_features(spark, layers):
     assert a.count() == b.count() == spark.read.parquet(f"{path}/news").count()
     totals = [df.agg(F.sum("positive_prob"), F.sum("negative_prob")).first() for df in (a, b)]
     assert tuple(totals[0]) == pytest.approx(tuple(totals[1]))
+    jobs.score(spark, f"{path}/news", f"{path}/tokens", load=lambda: WordPieces(LEX), tokens=True)
+    assert spark.read.parquet(f"{path}/tokens").filter("sentiment_label IS NOT NULL").count() > 0.9 * a.count()
     daily = jobs.features(spark, f"{path}/scored")
     assert daily.agg(F.sum("news_count")).first()[0] == a.count()
 
@@ -141,7 +144,7 @@ def test_evaluation_files(spark, layers):
     path, _ = layers
     prices = view(spark, FOLDER, "prices_v")
     jobs.score(spark, f"{path}/news", f"{path}/scored", lexicon=LEX)
-    joined = jobs.price_features(spark, f"{path}/scored", prices)
+    joined = jobs.price_features(spark, f"{path}/scored", prices.withColumnRenamed("date", "Date"))
     assert joined.count() == prices.count()
     errors = jobs.evaluate(joined, {"Stock": ["close"], "Both": ["close", "Sentiment"]}, "1996-12-31",
                            f"{path}/result")

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from newsflow.functions import linear
 from newsflow.operators import forecast, metrics, prep, series
 from newsflow.schema import PREDICTIONS, date_column, require
 
@@ -140,6 +141,26 @@ def test_second_difference(spark):
     np.testing.assert_allclose([r.predicted for r in out], want, rtol=1e-6)
 
 
+def test_two_rows_of_a_day_are_an_error(spark):
+    df = frame(spark, {"close": np.arange(30.0) ** 2})
+    with pytest.raises(Exception, match="more than one row of A on 2024-01-01"):
+        forecast.fit_ar(df.unionByName(df.limit(1)), p=1).collect()
+
+
+def test_elimination_solves_and_leaves_out_combinations(spark):
+    rng = np.random.default_rng(9)
+    for aliased in (False, True):
+        u = rng.normal(size=(60, 4)) * [1, 1e4, 1e-3, 1]
+        u[:, 3] = u[:, 0] * 2 - u[:, 1] / 1e4 if aliased else u[:, 3]
+        z = u[:, :3] @ [1.0, 2e-4, 3e3] + rng.normal(size=60)
+        gram, moment = u.T @ u, u.T @ z
+        row = ([float(gram[i, j]) for i in range(4) for j in range(i, 4)], [float(m) for m in moment])
+        df = spark.createDataFrame([row], "gram array<double>, moment array<double>")
+        got = df.select(linear.solve(F.col("gram"), F.col("moment"), 4)).first()[0]
+        want = np.linalg.solve(gram[:3, :3], moment[:3]).tolist() + [0.0] if aliased else np.linalg.solve(gram, moment)
+        np.testing.assert_allclose(got, want, rtol=1e-6)
+
+
 def test_one_bad_symbol_does_not_stop_the_others(spark):
     rng = np.random.default_rng(7)
     good = frame(spark, {"close": np.cumsum(rng.normal(size=60)) + 50})
