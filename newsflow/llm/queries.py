@@ -49,7 +49,11 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-STOPS = ", ".join(f"'{w}'" for w in rules.STOP_WORDS)
+# The stop words as the SQL has them, by language.
+STOPS = ", ".join(f"'{w}'" for w in """a an and are as at be by for from in is it of on or that the this to was with
+au aux avec dans de des du elle en est et la le les mais ne pas par pour que qui sur un une
+als auf das dem den der des die ein eine für ist mit nicht sich und von zu
+al como con del el en es las lo los más no para por que se su un una y""".split())
 
 SQL_RULES = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
