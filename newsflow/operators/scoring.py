@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsflow.functions import scores
 from newsflow.functions.text import is_blank
+from newsflow.session import small_batches
 
 Scorer = Callable[[list[str]], np.ndarray]
 """A batch of chunk texts to an array (n, 3) of positive, neutral and negative probabilities."""
@@ -86,42 +88,73 @@ class LexiconScorer:
         return powers / powers.sum(axis=1, keepdims=True)
 
 
-def _probabilities(scorer: Scorer, texts: list[str]) -> tuple[np.ndarray, list[str | None]]:
-    """Scores of the texts in batches; a failing batch is repeated one by one to find the culprit."""
-    out = np.full((len(texts), 3), np.nan)
-    errors: list[str | None] = [None] * len(texts)
-    for at in range(0, len(texts), BATCH):
-        batch = texts[at:at + BATCH]
+def _probabilities(scorer: Scorer, texts: Iterable[str]) -> tuple[np.ndarray, dict[int, str]]:
+    """Scores of the texts and errors by position, taking one batch of texts at a time.
+
+    A failing batch is repeated one by one to find the culprit.
+    """
+    parts: list[np.ndarray] = [np.empty((0, 3))]
+    errors: dict[int, str] = {}
+    texts, at = iter(texts), 0
+    while batch := list(islice(texts, BATCH)):
+        out = np.full((len(batch), 3), np.nan)
         try:
-            out[at:at + len(batch)] = scorer(batch)
+            out[:] = scorer(batch)
         except Exception:
-            for i, text in enumerate(batch, at):
+            out[:] = np.nan
+            for i, text in enumerate(batch):
                 try:
                     out[i] = scorer([text])[0]
                 except Exception as problem:
-                    errors[i] = f"{type(problem).__name__}: {problem}"
-    return out, errors
+                    errors[at + i] = f"{type(problem).__name__}: {problem}"
+        parts.append(out)
+        at += len(batch)
+    return np.concatenate(parts), errors
 
 
-def _score_documents(scorer: Scorer, chunk_lists: pd.Series) -> pd.DataFrame:
-    """Mean probabilities per document; chunks of all documents of a batch are scored together."""
-    lists = [[] if c is None else list(c) for c in chunk_lists]
-    sizes = np.array([len(c) for c in lists], dtype=np.int64)
-    flat, errors = _probabilities(scorer, [t for c in lists for t in c])
-    owner = np.repeat(np.arange(len(lists)), sizes)
-    sums = np.zeros((len(lists), 3))
+def _mean_scores(flat: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Mean probabilities per document."""
+    sums = np.zeros((len(sizes), 3))
     np.add.at(sums, owner, flat)
     with np.errstate(invalid="ignore", divide="ignore"):
-        means = sums / sizes[:, None]
-    out = pd.DataFrame(means, columns=list(scores.LABELS))
-    problem = pd.Series([None] * len(lists), dtype=object)
-    for i, text in zip(owner, errors):
-        if text is not None and problem[i] is None:
-            problem[i] = text
-    failed = problem.notna() | (sizes == 0)
-    out = out.astype(object).where(~failed, None)
-    out["error"] = problem
-    return out
+        return sums / sizes[:, None]
+
+
+def _top1_means(flat: np.ndarray, owner: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per label the mean top score of the chunks it wins, 0.0 when it wins none."""
+    label, top = np.nan_to_num(flat, nan=-1.0).argmax(axis=1), flat.max(axis=1)
+    found = ~np.isnan(top)
+    sums, won = np.zeros((len(sizes), 3)), np.zeros((len(sizes), 3))
+    np.add.at(sums, (owner[found], label[found]), top[found])
+    np.add.at(won, (owner[found], label[found]), 1)
+    return sums / np.maximum(won, 1)
+
+
+def _score_documents(scorer: Scorer, chunk_lists: Iterable[list[str] | None],
+                     top1: bool = False) -> pa.RecordBatch:
+    """Reduced probabilities per document; chunks of successive documents are scored together.
+
+    The lists are taken one by one, so of an iterator only the texts of one batch are held.
+    """
+    counts: list[int] = []
+
+    def texts() -> Iterator[str]:
+        for chunks in chunk_lists:
+            counts.append(0 if chunks is None else len(chunks))
+            if chunks is not None:
+                yield from chunks
+
+    flat, errors = _probabilities(scorer, texts())
+    sizes = np.array(counts, dtype=np.int64)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    means = (_top1_means if top1 else _mean_scores)(flat, owner, sizes)
+    problem: list[str | None] = [None] * len(sizes)
+    for i, text in errors.items():
+        problem[owner[i]] = problem[owner[i]] or text
+    failed = (sizes == 0) | np.array([p is not None for p in problem], dtype=bool)
+    columns = {label: pa.array(means[:, i], mask=failed | np.isnan(means[:, i]))
+               for i, label in enumerate(scores.LABELS)}
+    return pa.RecordBatch.from_pydict({**columns, "error": pa.array(problem, pa.string())})
 
 
 def document_chunks(text: Column, length: int, step: int) -> Column:
@@ -133,14 +166,17 @@ def document_chunks(text: Column, length: int, step: int) -> Column:
 def score_udf(load: Callable[[], Scorer], top1: bool = False):
     """Vectorised UDF from an array of chunk texts to mean scores; loads the scorer once per task.
 
-    Only the chunks travel to Python; the other columns of the row stay in the JVM.
+    Only the chunks travel to Python; the other columns of the row stay in the JVM. The chunks stay in
+    Arrow until their document is scored.
     """
-    @F.pandas_udf(RESULT)
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def texts(chunks: pa.ListScalar) -> list[str] | None:
+        return chunks.values.to_numpy(zero_copy_only=False).tolist() if chunks.is_valid else None
+
+    @F.arrow_udf(RESULT)
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = load()
-        reduce = _top1_documents if top1 else _score_documents
         for chunk_lists in batches:
-            yield reduce(scorer, chunk_lists)
+            yield _score_documents(scorer, map(texts, chunk_lists), top1).to_struct_array()
 
     return score
 
@@ -152,6 +188,7 @@ def add_scores(df: DataFrame, chunks: Column, load: Callable[[], Scorer], name:
     The generator makes the chunks a column of their own. Without it the optimizer puts the array
     functions back into the call, and a UDF called on them may stay in the projection.
     """
+    small_batches(df.sparkSession)
     cut = df.select("*", F.explode(F.array(chunks)).alias("_chunks"))
     return cut.withColumn(name, score_udf(load, top1)("_chunks")).drop("_chunks")
 
@@ -196,22 +233,26 @@ def score_tokens(df: DataFrame, column: str, load: Callable[[], Scorer],
     What `load` returns has `tokenise` and `decode` besides the call. Only the text travels to Python, as
     the windows are cut there. A text that cannot be tokenised keeps its row and gets an error.
     """
-    @F.pandas_udf(RESULT)
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    small_batches(df.sparkSession)
+
+    @F.arrow_udf(RESULT)
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = load()
-        reduce = _top1_documents if top1 else _score_documents
         for texts in batches:
-            cut, problems = [], []
-            for text in texts:
-                try:
-                    cut.append(token_windows(scorer, text, length, step))
-                    problems.append(None)
-                except Exception as problem:
-                    cut.append([])
-                    problems.append(f"{type(problem).__name__}: {problem}")
-            found = reduce(scorer, pd.Series(cut))
-            found["error"] = [p or e for p, e in zip(problems, found["error"])]
-            yield found
+            problems: list[str | None] = []
+
+            def cut() -> Iterator[list[str]]:
+                for text in texts:
+                    try:
+                        found, problem = token_windows(scorer, text.as_py(), length, step), None
+                    except Exception as error:
+                        found, problem = [], f"{type(error).__name__}: {error}"
+                    problems.append(problem)
+                    yield found
+
+            found = _score_documents(scorer, cut(), top1)
+            errors = [p or e for p, e in zip(problems, found["error"].to_pylist())]
+            yield found.set_column(3, "error", pa.array(errors, pa.string())).to_struct_array()
 
     return _as_json(df.withColumn("_scores", score(F.col(column))))
 
@@ -227,27 +268,6 @@ def label_tokens(df: DataFrame, column: str, load: Callable[[], Scorer], length:
             "_scores", "finbert_sentiment")
 
 
-def _top1_documents(scorer: Scorer, chunk_lists: pd.Series) -> pd.DataFrame:
-    """Per label the mean top score of the chunks it wins, 0.0 when it wins none."""
-    lists = [[] if c is None else list(c) for c in chunk_lists]
-    sizes = np.array([len(c) for c in lists], dtype=np.int64)
-    flat, errors = _probabilities(scorer, [t for c in lists for t in c])
-    rows = pd.DataFrame({
-        "doc": np.repeat(np.arange(len(lists)), sizes),
-        "label": [scores.LABELS[i] for i in np.nan_to_num(flat, nan=-1.0).argmax(axis=1)],
-        "score": flat.max(axis=1) if len(flat) else np.empty(0),
-        "error": errors,
-    })
-    means = rows.pivot_table(index="doc", columns="label", values="score", aggfunc="mean")
-    out = means.reindex(index=range(len(lists)), columns=list(scores.LABELS)).fillna(0.0)
-    problem = rows.groupby("doc")["error"].first().reindex(range(len(lists)))
-    problem = problem.astype(object).where(problem.notna(), None)
-    failed = problem.notna() | (sizes == 0)
-    out = out.reset_index(drop=True).astype(object).where(~failed.reset_index(drop=True), None)
-    out["error"] = problem.to_numpy()
-    return out
-
-
 def score_label(df: DataFrame, column: str, load: Callable[[], Scorer],
                 length: int = scores.CHUNK_LENGTH, step: int = scores.CHUNK_STEP,
                 weight: float = scores.NEGATIVE_WEIGHT, only_long: bool = True) -> DataFrame:

@@ -18,6 +18,9 @@ SETTINGS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+# Bytes of an Arrow batch that a Python worker holds at a time.
+BATCH_BYTES = 16 << 20
+
 
 def build_session(app: str = "newsflow", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings the operators are tuned for; `settings` override."""
@@ -29,6 +32,11 @@ def build_session(app: str = "newsflow", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of an Arrow batch, in any session: rows may hold long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read, named by `spark.checkpoint.dir`.
 

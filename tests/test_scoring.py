@@ -82,6 +82,46 @@ def test_chunks_are_scored_across_documents():
     assert out["positive"].tolist() == [pytest.approx(0.2), None, pytest.approx(0.2), None]
 
 
+def test_texts_are_taken_a_batch_at_a_time():
+    taken, seen = [0], []
+
+    def documents():
+        for _ in range(8 * scoring.BATCH):
+            taken[0] += 2
+            yield ["up", "down"]
+
+    def scorer(texts):
+        seen.append(taken[0])
+        return np.tile([0.2, 0.3, 0.5], (len(texts), 1))
+
+    for top1 in (False, True):
+        taken[0], seen[:] = 0, []
+        out = scoring._score_documents(scorer, documents(), top1)
+        assert seen == [scoring.BATCH * (i + 1) for i in range(16)]
+        assert out["negative"].tolist() == [0.5] * (8 * scoring.BATCH)
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    df = spark.createDataFrame([(1, "a b c")], "doc_id int, text string")
+    for make in (scoring.score_map, scoring.score_label, scoring.score_tokens):
+        spark.conf.set(limit, str(64 << 20))
+        make(df, "text", load)
+        assert int(spark.conf.get(limit)) <= 16 << 20
+
+
+def test_top1_of_failed_and_missing_scores():
+    def scorer(texts):
+        if "bad" in texts:
+            raise ValueError("no score")
+        return np.array([[np.nan] * 3 if t == "none" else [0.7, 0.1, 0.2] for t in texts])
+
+    out = scoring._score_documents(scorer, [["a", "none"], ["a", "bad", "bad"], None, ["none"]], top1=True)
+    assert out["positive"].tolist() == [0.7, None, None, 0.0]
+    assert out["neutral"].tolist() == [0.0, None, None, 0.0]
+    assert out["error"].tolist() == [None, "ValueError: no score", None, None]
+
+
 def test_label_cleaning_and_top1_rows(spark):
     rows = spark.createDataFrame([(1, "Positive", .9), (1, "POSITIVE", .7), (1, "negative", .8),
                                   (1, "odd", 1.0)], "id int, label string, score double")
